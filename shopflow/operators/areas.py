@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.functions.exprs import half_up, pct_label
+from shopflow.functions.exprs import half_up, pct_label, percent
 
 # Fixed value: the label of the remainder share, the reference's literal word for "other".
 OTHER_LABEL = "其他"
@@ -36,14 +36,13 @@ def area_product_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:
 def city_remark(cities_col, total_col, n: int = 2, other_label: str = OTHER_LABEL):
     """Remark from ``array<struct(c, city_name)>``: top ``n`` city shares, plus the rest.
 
-    Share = round_half_up(c / total * 100, 1). Order: share desc, then name asc. When there are
+    Share = round_half_up(c / total * 1000) / 10. Order: share desc, then name asc. When there are
     more than ``n`` cities an ``other`` share = 100 - top shares (subtracted in list order),
     rounded to one decimal, is appended.
     """
     rated = F.transform(F.col(cities_col) if isinstance(cities_col, str) else cities_col,
                         lambda x: F.struct(
-                            (-half_up(x["c"].cast("double") / F.col(total_col).cast("double") * 100.0, 1))
-                            .alias("neg_rate"),
+                            (-percent(x["c"], F.col(total_col), 1)).alias("neg_rate"),
                             x["city_name"].alias("name")))
     ordered = F.array_sort(rated)
     top = F.slice(ordered, 1, n)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.operators import areas
+from shopflow.operators import areas, categories, conditions, funnel, sessions
 from shopflow.session import prepare
 from shopflow.sources import fixtures as fx
 
@@ -42,3 +42,108 @@ def area_top3_products(spark, base):
     prepare(spark)
     return areas.area_top_products(fx.user_visit_action(spark, base), fx.city_info(spark, base),
                                    fx.product_info(spark, base), n=3)
+
+
+# ---------------------------------------------------------------- parameters and base frames
+# Request used by ``filtered_actions`` (every field kind of the reference's condition JSON).
+FILTER_PARAMS = {"startDate": "2024-01-05", "endDate": "2024-01-20", "startAge": "20",
+                 "endAge": "45", "gender": "M"}
+TASK_ID = "task-1"
+FLOW = "1,2,3,4,5,6,7"
+
+
+def _actions(spark, base, params=None):
+    """Actions of known users passing the request filters (blank request = no filter)."""
+    return conditions.filter_actions(fx.user_visit_action(spark, base), fx.user_info(spark, base),
+                                     params or {})
+
+
+@query
+def filtered_actions(spark, base):
+    prepare(spark)
+    return _actions(spark, base, FILTER_PARAMS).drop("event_id")
+
+
+# ---------------------------------------------------------------- sessions
+@query
+def session_info(spark, base):
+    prepare(spark)
+    return sessions.session_info(_actions(spark, base))
+
+
+@query
+def session_counts(spark, base):
+    prepare(spark)
+    return sessions.session_counts(sessions.session_stats(_actions(spark, base)))
+
+
+@query
+def session_ratio_stats(spark, base):
+    prepare(spark)
+    return sessions.session_ratio_stats(sessions.session_stats(_actions(spark, base)), TASK_ID,
+                                        conditions.conditions_json({}))
+
+
+@query
+def session_hour_quota(spark, base):
+    prepare(spark)
+    return sessions.session_hour_quota(sessions.session_stats(_actions(spark, base)), k=1000)
+
+
+@query
+def session_sample(spark, base):
+    prepare(spark)
+    return sessions.sample_sessions(sessions.session_stats(_actions(spark, base)), k=1000, seed=42) \
+        .select("session_id", "day_hour")
+
+
+# ---------------------------------------------------------------- categories
+@query
+def category_action_counts(spark, base):
+    prepare(spark)
+    return categories.category_action_counts(_actions(spark, base))
+
+
+@query
+def category_counts(spark, base):
+    prepare(spark)
+    return categories.category_counts(_actions(spark, base))
+
+
+@query
+def category_top10(spark, base):
+    prepare(spark)
+    return categories.category_top(categories.category_counts(_actions(spark, base)), n=10)
+
+
+@query
+def category_session_clicks(spark, base):
+    prepare(spark)
+    return categories.category_session_clicks(_actions(spark, base))
+
+
+@query
+def top_sessions_per_category(spark, base):
+    prepare(spark)
+    acts = _actions(spark, base)
+    top = categories.category_top(categories.category_counts(acts), n=10)
+    return categories.top_sessions_per_category(acts, top, n=10)
+
+
+# ---------------------------------------------------------------- page flow
+@query
+def page_visit_counts(spark, base):
+    prepare(spark)
+    return funnel.page_visit_counts(_actions(spark, base), FLOW)
+
+
+@query
+def page_jump_counts(spark, base):
+    prepare(spark)
+    return funnel.page_jump_counts(_actions(spark, base), FLOW).select("page_jump", "n")
+
+
+@query
+def page_convert_rate(spark, base):
+    prepare(spark)
+    return funnel.page_convert_rate(_actions(spark, base), FLOW)

@@ -45,7 +45,7 @@ cities AS (
 # Actions of known users (the reference's inner join with user_info, no request filter).
 ACTIONS = """,
 actions AS (SELECT * FROM uva WHERE user_id IN (SELECT user_id FROM users)),
-timed AS (SELECT *, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS at FROM actions)"""
+timed AS (SELECT *, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS act_ts FROM actions)"""
 
 ADS = """,
 adslog AS (
@@ -73,7 +73,7 @@ per_city AS (
   FROM area_clicks GROUP BY area, click_product_id, city_name
 ),
 rated AS (
-  SELECT *, CAST(floor(CAST(c AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 * 10.0 + 0.5) / 10.0 AS DOUBLE) AS rate
+  SELECT *, CAST(floor(CAST(c AS DOUBLE) / CAST(total AS DOUBLE) * 1000.0 + 0.5) / 10.0 AS DOUBLE) AS rate
   FROM (SELECT *, sum(c) OVER (PARTITION BY area, click_product_id) AS total,
                count(*) OVER (PARTITION BY area, click_product_id) AS n_cities FROM per_city)
 ),
@@ -106,3 +106,152 @@ SELECT r.area, p.product_name, r.clickcount, r.rk, r.city_remark
 FROM (SELECT *, CAST(rank() OVER (PARTITION BY area ORDER BY clickcount DESC) AS BIGINT) AS rk FROM remarks) r
 JOIN products p ON p.product_id = r.click_product_id
 WHERE r.rk <= 3"""
+
+# ---------------------------------------------------------------- request filter
+SQL["filtered_actions"] = _with(UVA) + """
+SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_category_id,
+       click_product_id, order_category_ids, order_product_ids, pay_category_ids,
+       pay_product_ids, city_id
+FROM uva
+WHERE CAST(date AS DATE) >= DATE '2024-01-05' AND CAST(date AS DATE) <= DATE '2024-01-20'
+  AND user_id IN (SELECT user_id FROM users WHERE age >= 20 AND age <= 45 AND gender = 'M')"""
+
+# ---------------------------------------------------------------- sessions
+SESSIONS = """,
+sessions AS (
+  SELECT session_id, CAST(date_diff('second', min(act_ts), max(act_ts)) AS BIGINT) AS visit_length,
+         CAST(count(*) AS BIGINT) AS step_length, min(act_ts) AS start_ts
+  FROM timed GROUP BY session_id
+),
+hours AS (
+  SELECT strftime(start_ts, '%Y-%m-%d %H') AS day_hour, CAST(count(*) AS BIGINT) AS n_sessions
+  FROM sessions GROUP BY 1
+),
+quota AS (
+  SELECT day_hour, n_sessions,
+         CAST(least(floor(CAST(n_sessions AS DOUBLE) / CAST((SELECT sum(n_sessions) FROM hours) AS DOUBLE)
+                          * 1000.0), n_sessions) AS BIGINT) AS quota
+  FROM hours
+),
+counts AS (
+  SELECT CAST(count_if(visit_length <= 10) AS BIGINT) AS visit_length_le_10s,
+         CAST(count_if(visit_length > 10) AS BIGINT) AS visit_length_gt_10s,
+         CAST(count_if(step_length <= 5) AS BIGINT) AS step_length_le_5,
+         CAST(count_if(step_length > 5) AS BIGINT) AS step_length_gt_5,
+         CAST(count(*) AS BIGINT) AS session_count
+  FROM sessions
+)"""
+
+SQL["session_info"] = _with(UVA, ACTIONS) + """
+SELECT session_id,
+       CAST(date_diff('second', min(act_ts), max(act_ts)) AS BIGINT) AS visit_length,
+       CAST(count(*) AS BIGINT) AS step_length,
+       strftime(min(act_ts), '%Y-%m-%d %H:%M:%S') AS start_time,
+       coalesce(string_agg(search_keyword, ',' ORDER BY act_ts, event_id), '') AS search_keywords,
+       coalesce(string_agg(CASE WHEN click_product_id > 0 THEN CAST(click_product_id AS VARCHAR) END,
+                           ',' ORDER BY act_ts, event_id), '') AS click_product_ids,
+       coalesce(string_agg(order_product_ids, ',' ORDER BY act_ts, event_id), '') AS order_product_ids,
+       coalesce(string_agg(pay_product_ids, ',' ORDER BY act_ts, event_id), '') AS pay_product_ids
+FROM timed GROUP BY session_id"""
+
+SQL["session_counts"] = _with(UVA, ACTIONS, SESSIONS) + "SELECT * FROM counts"
+
+
+def _ratio(name: str) -> str:
+    return (f"coalesce(CAST(floor(CAST({name} AS DOUBLE) / CAST(nullif(session_count, 0) AS DOUBLE)"
+            f" * 10000.0 + 0.5) / 100.0 AS DOUBLE), CAST(0.0 AS DOUBLE)) AS {name}_ratio")
+
+
+SQL["session_ratio_stats"] = _with(UVA, ACTIONS, SESSIONS) + f"""
+SELECT 'task-1' AS task_id,
+       '{{"city": null, "endAge": null, "endDate": null, "gender": null, "professionals": null, "startAge": null, "startDate": null, "targetPageFlow": null}}' AS conditions,
+       session_count,
+       {_ratio('visit_length_le_10s')}, {_ratio('visit_length_gt_10s')},
+       {_ratio('step_length_le_5')}, {_ratio('step_length_gt_5')}
+FROM counts"""
+
+SQL["session_hour_quota"] = _with(UVA, ACTIONS, SESSIONS) + "SELECT * FROM quota"
+
+SQL["session_sample"] = _with(UVA, ACTIONS, SESSIONS) + """
+SELECT session_id, day_hour FROM (
+  SELECT s.session_id, q.day_hour, q.quota,
+         row_number() OVER (PARTITION BY q.day_hour ORDER BY md5(s.session_id || '42'), s.session_id) AS rn
+  FROM sessions s JOIN quota q ON strftime(s.start_ts, '%Y-%m-%d %H') = q.day_hour
+) WHERE rn <= quota"""
+
+# ---------------------------------------------------------------- categories
+CATS = """,
+cat AS (
+  SELECT CAST(click_category_id AS VARCHAR) AS category_id, 'click' AS kind
+  FROM actions WHERE click_category_id > 0
+  UNION ALL
+  SELECT trim(t) AS category_id, 'order' AS kind
+  FROM (SELECT unnest(string_split(order_category_ids, ',')) AS t FROM actions
+        WHERE coalesce(click_category_id, 0) <= 0 AND order_category_ids IS NOT NULL)
+  WHERE trim(t) <> ''
+  UNION ALL
+  SELECT trim(t) AS category_id, 'pay' AS kind
+  FROM (SELECT unnest(string_split(pay_category_ids, ',')) AS t FROM actions
+        WHERE coalesce(click_category_id, 0) <= 0 AND order_category_ids IS NULL
+          AND pay_category_ids IS NOT NULL)
+  WHERE trim(t) <> ''
+),
+catcounts AS (
+  SELECT category_id,
+         CAST(count_if(kind = 'click') AS BIGINT) AS click_count,
+         CAST(count_if(kind = 'order') AS BIGINT) AS order_count,
+         CAST(count_if(kind = 'pay') AS BIGINT) AS pay_count
+  FROM cat GROUP BY category_id
+),
+top10 AS (
+  SELECT * FROM catcounts
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10
+),
+csc AS (
+  SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id, CAST(count(*) AS BIGINT) AS click_count
+  FROM actions WHERE click_category_id > 0 GROUP BY 1, 2
+)"""
+
+SQL["category_action_counts"] = _with(UVA, ACTIONS, CATS) + """
+SELECT category_id, kind, CAST(count(*) AS BIGINT) AS n FROM cat GROUP BY category_id, kind"""
+
+SQL["category_counts"] = _with(UVA, ACTIONS, CATS) + "SELECT * FROM catcounts"
+
+SQL["category_top10"] = _with(UVA, ACTIONS, CATS) + "SELECT * FROM top10"
+
+SQL["category_session_clicks"] = _with(UVA, ACTIONS, CATS) + "SELECT * FROM csc"
+
+SQL["top_sessions_per_category"] = _with(UVA, ACTIONS, CATS) + """
+SELECT * FROM (
+  SELECT category_id, session_id, click_count,
+         CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS BIGINT) AS rn
+  FROM csc WHERE category_id IN (SELECT category_id FROM top10)
+) WHERE rn <= 10"""
+
+# ---------------------------------------------------------------- page flow (R5), flow 1..7
+FUNNEL = """,
+visits AS (
+  SELECT page_id, CAST(count(*) AS BIGINT) AS n FROM actions
+  WHERE page_id IN (1, 2, 3, 4, 5, 6) GROUP BY page_id
+),
+hops AS (
+  SELECT page_id AS from_page,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY act_ts, event_id) AS to_page
+  FROM timed
+),
+jumps AS (
+  SELECT page_jump, from_page, CAST(count(*) AS BIGINT) AS n FROM (
+    SELECT CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) AS page_jump, from_page
+    FROM hops WHERE to_page IS NOT NULL)
+  WHERE page_jump IN ('1_2', '2_3', '3_4', '4_5', '5_6', '6_7')
+  GROUP BY page_jump, from_page
+)"""
+
+SQL["page_visit_counts"] = _with(UVA, ACTIONS, FUNNEL) + "SELECT page_id, n FROM visits"
+
+SQL["page_jump_counts"] = _with(UVA, ACTIONS, FUNNEL) + "SELECT page_jump, n FROM jumps"
+
+SQL["page_convert_rate"] = _with(UVA, ACTIONS, FUNNEL) + """
+SELECT j.page_jump,
+       CAST(floor(CAST(j.n AS DOUBLE) / CAST(v.n AS DOUBLE) * 1000.0 + 0.5) / 10.0 AS DOUBLE) AS rate
+FROM jumps j JOIN visits v ON v.page_id = j.from_page"""
