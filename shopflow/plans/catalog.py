@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.operators import areas, categories, conditions, funnel, sessions
+from pyspark.sql import functions as F
+
+from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
 from shopflow.session import prepare
 from shopflow.sources import fixtures as fx
 
@@ -147,3 +149,83 @@ def page_jump_counts(spark, base):
 def page_convert_rate(spark, base):
     prepare(spark)
     return funnel.page_convert_rate(_actions(spark, base), FLOW)
+
+
+# ---------------------------------------------------------------- ad clicks (R7-R10), batch form
+BLACKLIST_THRESHOLD = 3  # small enough that the test data lists users (the default is 10000)
+
+
+def _ads_log(spark, base):
+    return ads.parse_ads_log(fx.ads_lines(spark, base))
+
+
+@query
+def ads_log_parsed(spark, base):
+    prepare(spark)
+    log = _ads_log(spark, base)
+    return log.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+                      "area", "city", "user_id", "ads_id")
+
+
+@query
+def ads_area_city_daily(spark, base):
+    prepare(spark)
+    return ads.area_city_daily(_ads_log(spark, base))
+
+
+@query
+def ads_area_daily(spark, base):
+    prepare(spark)
+    return ads.area_daily(ads.area_city_daily(_ads_log(spark, base)))
+
+
+@query
+def ads_area_top3(spark, base):
+    prepare(spark)
+    return ads.area_top_ads(ads.area_city_daily(_ads_log(spark, base)), n=3)
+
+
+@query
+def ads_area_top3_json(spark, base):
+    prepare(spark)
+    return ads.area_top_ads_json(ads.area_top_ads(ads.area_city_daily(_ads_log(spark, base)), n=3))
+
+
+@query
+def ads_user_daily(spark, base):
+    prepare(spark)
+    return ads.user_daily(_ads_log(spark, base))
+
+
+@query
+def ads_blacklist(spark, base):
+    prepare(spark)
+    return ads.blacklist(_ads_log(spark, base), BLACKLIST_THRESHOLD)
+
+
+@query
+def ads_kept_events(spark, base):
+    prepare(spark)
+    kept = ads.kept_events(_ads_log(spark, base), BLACKLIST_THRESHOLD)
+    return kept.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+                       "area", "city", "user_id", "ads_id")
+
+
+@query
+def ads_last_hour(spark, base):
+    prepare(spark)
+    return ads.last_hour(_ads_log(spark, base)).select("ads_id", "minute", "n")
+
+
+@query
+def ads_last_hour_json(spark, base):
+    prepare(spark)
+    return ads.last_hour_json(ads.last_hour(_ads_log(spark, base)))
+
+
+@query
+def ads_sliding_counts(spark, base):
+    prepare(spark)
+    s = ads.sliding_counts(_ads_log(spark, base), "60 minutes", "10 minutes")
+    return s.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    "ads_id", "n")

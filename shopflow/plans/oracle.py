@@ -49,7 +49,7 @@ timed AS (SELECT *, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS act_ts FROM ac
 
 ADS = """,
 adslog AS (
-  SELECT epoch_ms(epoch_ms(e.ts)) AS ts, replace(c.area, ' ', '-') AS area, c.city_name AS city,
+  SELECT epoch_ms(epoch_us(e.ts) // 1000) AS ts, replace(c.area, ' ', '-') AS area, c.city_name AS city,
          CAST(e.user_id AS VARCHAR) AS user_id,
          CAST(CAST(json_extract(e.props, '$.k') AS BIGINT) % 5 + 1 AS VARCHAR) AS ads_id,
          e.event_id AS seq
@@ -255,3 +255,65 @@ SQL["page_convert_rate"] = _with(UVA, ACTIONS, FUNNEL) + """
 SELECT j.page_jump,
        CAST(floor(CAST(j.n AS DOUBLE) / CAST(v.n AS DOUBLE) * 1000.0 + 0.5) / 10.0 AS DOUBLE) AS rate
 FROM jumps j JOIN visits v ON v.page_id = j.from_page"""
+
+# ---------------------------------------------------------------- ad clicks
+ADS_AGG = """,
+acd AS (SELECT day, area, city, ads_id, CAST(count(*) AS BIGINT) AS n FROM adsday GROUP BY ALL),
+ad AS (SELECT day, area, ads_id, CAST(sum(n) AS BIGINT) AS n FROM acd GROUP BY ALL),
+top3 AS (
+  SELECT * FROM (
+    SELECT day, area, ads_id, n,
+           CAST(row_number() OVER (PARTITION BY day, area ORDER BY n DESC, ads_id) AS BIGINT) AS rn
+    FROM ad) WHERE rn <= 3
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY day, user_id, ads_id ORDER BY ts, seq) AS rn FROM adsday
+),
+cut AS (
+  SELECT user_id, ts AS cts, seq AS cseq FROM (
+    SELECT user_id, ts, seq, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS r
+    FROM numbered WHERE rn = 3) WHERE r = 1
+),
+lh AS (
+  SELECT ads_id, date_trunc('minute', ts) AS m, CAST(count(*) AS BIGINT) AS n FROM adslog
+  WHERE ts >= date_trunc('minute', (SELECT max(ts) FROM adslog)) - INTERVAL 59 MINUTE
+  GROUP BY 1, 2
+)"""
+
+SQL["ads_log_parsed"] = _with(UVA, ADS) + """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, area, city, user_id, ads_id FROM adslog"""
+
+SQL["ads_area_city_daily"] = _with(UVA, ADS, ADS_AGG) + "SELECT * FROM acd"
+
+SQL["ads_area_daily"] = _with(UVA, ADS, ADS_AGG) + "SELECT * FROM ad"
+
+SQL["ads_area_top3"] = _with(UVA, ADS, ADS_AGG) + "SELECT * FROM top3"
+
+SQL["ads_area_top3_json"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT 'area_top3_ads:' || day AS date_key, area,
+       '[' || string_agg('{"' || ads_id || '":' || CAST(n AS VARCHAR) || '}', ',' ORDER BY rn) || ']' AS top3_json
+FROM top3 GROUP BY day, area"""
+
+SQL["ads_user_daily"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT day, user_id, ads_id, CAST(count(*) AS BIGINT) AS n FROM adsday GROUP BY ALL"""
+
+SQL["ads_blacklist"] = _with(UVA, ADS, ADS_AGG) + "SELECT user_id FROM cut"
+
+SQL["ads_kept_events"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT strftime(l.ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, l.area, l.city, l.user_id, l.ads_id
+FROM adslog l LEFT JOIN cut c ON l.user_id = c.user_id
+WHERE c.cts IS NULL OR l.ts < c.cts OR (l.ts = c.cts AND l.seq <= c.cseq)"""
+
+SQL["ads_last_hour"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT ads_id, strftime(m, '%Y-%m-%d %H:%M') AS minute, n FROM lh"""
+
+SQL["ads_last_hour_json"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT ads_id,
+       '[' || string_agg('{"' || strftime(m, '%H:%M') || '":' || CAST(n AS VARCHAR) || '}', ',' ORDER BY m) || ']' AS series_json
+FROM lh GROUP BY ads_id"""
+
+SQL["ads_sliding_counts"] = _with(UVA, ADS) + """
+SELECT strftime(epoch_ms(p - j * 600000), '%Y-%m-%d %H:%M:%S') AS window_start, ads_id,
+       CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest(range(0, 6)) AS j, (epoch_ms(ts) // 600000) * 600000 AS p, ads_id FROM adslog)
+GROUP BY 1, 2"""
