@@ -1,0 +1,67 @@
+"""``groupby_city_count``: the city-share remark as an aggregate callable from SQL text.
+
+Registered as a grouped-aggregate pandas UDF. A pandas aggregate gets all rows of its group in
+one call and cannot be merged partially, so it takes *pre-counted* input - one row per city
+with its click count - instead of one row per click: the group handed to Python is bounded
+by the number of cities, whatever the click volume. SQL use::
+
+    SELECT area, click_product_id, groupby_city_count(city_name, c) AS city_remark
+    FROM (SELECT area, click_product_id, city_name, count(*) AS c
+          FROM area_clicks GROUP BY area, click_product_id, city_name)
+    GROUP BY area, click_product_id
+
+The DataFrame path (``operators.areas.area_city_remark``) computes the same text with built-in
+expressions and is the one to prefer; this exists for callers who write SQL.
+"""
+
+from __future__ import annotations
+
+import math
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shopflow.operators.areas import OTHER_LABEL, area_clicks
+
+
+def remark_text(names: pd.Series, counts: pd.Series, n: int = 2, other_label: str = OTHER_LABEL) -> str:
+    """Same rule as the built-in path: share = floor(c / total * 1000 + 0.5) / 10, order by share
+    desc then name, top ``n``, then ``other`` = 100 - shares, rounded half up to 1 decimal."""
+    per_city = counts.groupby(names).sum()
+    total = float(per_city.sum())
+    rated = [(math.floor(float(c) / total * 1000.0 + 0.5) / 10.0, str(name)) for name, c in per_city.items()]
+    rated.sort(key=lambda t: (-t[0], t[1]))
+    top = rated[:n]
+    parts = [f"{name}:{rate!r}%" for rate, name in top]
+    if len(rated) > n:
+        rest = 100.0
+        for rate, _ in top:
+            rest -= rate
+        parts.append(f"{other_label}:{math.floor(rest * 10.0 + 0.5) / 10.0!r}%")
+    return ",".join(parts)
+
+
+def make_city_remark_udaf(n: int = 2, other_label: str = OTHER_LABEL):
+    @F.pandas_udf("string")
+    def groupby_city_count(city_name: pd.Series, c: pd.Series) -> str:
+        return remark_text(city_name, c, n, other_label)
+    return groupby_city_count
+
+
+def register_city_remark(spark: SparkSession, name: str = "groupby_city_count", n: int = 2,
+                         other_label: str = OTHER_LABEL):
+    """Register the aggregate for SQL text under ``name``."""
+    return spark.udf.register(name, make_city_remark_udaf(n, other_label))
+
+
+def area_city_remark_sql(spark: SparkSession, actions: DataFrame, cities: DataFrame,
+                         view: str = "area_clicks") -> DataFrame:
+    """The remark through SQL text and the registered aggregate (the reference's SQL path)."""
+    register_city_remark(spark)
+    area_clicks(actions, cities).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT area, click_product_id, groupby_city_count(city_name, c) AS city_remark
+        FROM (SELECT area, click_product_id, city_name, count(*) AS c
+              FROM {view} GROUP BY area, click_product_id, city_name)
+        GROUP BY area, click_product_id""")

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
-from shopflow.session import prepare
+from shopflow.session import fresh_dir, prepare
 from shopflow.sources import fixtures as fx
+from shopflow.sources.sinks import SnapshotStore
+from shopflow.streaming import ads_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,3 +231,56 @@ def ads_sliding_counts(spark, base):
     s = ads.sliding_counts(_ads_log(spark, base), "60 minutes", "10 minutes")
     return s.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     "ads_id", "n")
+
+
+@query
+def area_city_remark_sql(spark, base):
+    prepare(spark)
+    from shopflow.functions.city_remark_udaf import area_city_remark_sql as via_sql
+    return via_sql(spark, fx.user_visit_action(spark, base), fx.city_info(spark, base))
+
+
+# ---------------------------------------------------------------- ad clicks, streaming form
+# The events table is read as a file stream (availableNow), the results are read back from the
+# snapshot folders the streaming jobs wrote (below spark.checkpoint.dir).
+def _ads_stream(spark, base):
+    return ads.parse_ads_log(ads_stream.event_lines(spark, base))
+
+
+@query
+def ads_area_city_daily_stream(spark, base):
+    prepare(spark)
+    root = fresh_dir(spark, "ads_area_city_daily")
+    ads_stream.run_available(ads_stream.start_area_city_daily(
+        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+    return SnapshotStore(spark, f"{root}/totals", ["day", "area", "city", "ads_id"],
+                         ads_stream.TOTALS_SCHEMA).read()
+
+
+@query
+def ads_area_top3_stream(spark, base):
+    prepare(spark)
+    root = fresh_dir(spark, "ads_area_top3")
+    ads_stream.run_available(ads_stream.start_area_city_daily(
+        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+    top = SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], ads_stream.TOP_SCHEMA).read()
+    return top.select("day", "area", "ads_id", "n", "rn")
+
+
+@query
+def ads_blacklist_stream(spark, base):
+    prepare(spark)
+    root = fresh_dir(spark, "ads_blacklist")
+    ads_stream.run_available(ads_stream.start_blacklist(
+        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True}))
+    return SnapshotStore(spark, f"{root}/blacklist", ["user_id"], ads_stream.BLACKLIST_SCHEMA).read()
+
+
+@query
+def ads_last_hour_stream(spark, base):
+    prepare(spark)
+    root = fresh_dir(spark, "ads_last_hour")
+    ads_stream.run_available(ads_stream.start_last_hour(
+        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+    out = SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], ads_stream.LAST_HOUR_SCHEMA)
+    return out.read_latest().select("ads_id", "minute", "n")

@@ -317,3 +317,9 @@ SELECT strftime(epoch_ms(p - j * 600000), '%Y-%m-%d %H:%M:%S') AS window_start,
        CAST(count(*) AS BIGINT) AS n
 FROM (SELECT unnest(range(0, 6)) AS j, (epoch_ms(ts) // 600000) * 600000 AS p, ads_id FROM adslog)
 GROUP BY 1, 2"""
+
+# Streaming forms end in the same results as the batch forms.
+SQL["ads_area_city_daily_stream"] = SQL["ads_area_city_daily"]
+SQL["ads_area_top3_stream"] = SQL["ads_area_top3"]
+SQL["ads_blacklist_stream"] = SQL["ads_blacklist"]
+SQL["ads_last_hour_stream"] = SQL["ads_last_hour"]
