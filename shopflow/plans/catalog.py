@@ -284,3 +284,13 @@ def ads_last_hour_stream(spark, base):
         _ads_stream(spark, base), root, trigger={"availableNow": True}))
     out = SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], ads_stream.LAST_HOUR_SCHEMA)
     return out.read_latest().select("ads_id", "minute", "n")
+
+
+# ---------------------------------------------------------------- generator (rows-only check)
+@query
+def gen_actions(spark, base):
+    """One synthetic session per order: the generator's volume follows the ``orders`` table."""
+    prepare(spark)
+    from shopflow.sources import datagen
+    from shopflow.sources.tables import read_table
+    return datagen.gen_actions(read_table(spark, "orders", base), key="o_orderkey", seed=42)
