@@ -292,5 +292,6 @@ def gen_actions(spark, base):
     """One synthetic session per order: the generator's volume follows the ``orders`` table."""
     prepare(spark)
     from shopflow.sources import datagen
-    from shopflow.sources.tables import read_table
-    return datagen.gen_actions(read_table(spark, "orders", base), key="o_orderkey", seed=42)
+    from shopflow.sources.tables import read_table, spread
+    return datagen.gen_actions(spread(read_table(spark, "orders", base).select("o_orderkey")),
+                               key="o_orderkey", seed=42)

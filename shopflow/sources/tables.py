@@ -25,3 +25,19 @@ def read_bound(spark: SparkSession, name: str, schema, base: str | None = None,
                database: str | None = None) -> DataFrame:
     """Read and bind to a fixed schema by column name."""
     return bind(read_table(spark, name, base, database), schema)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Fan out a batch scan that yields fewer partitions than the cluster has cores.
+
+    A small table stored as one parquet row group is read by one task, and every per-row
+    expression after it (parsing, text building) then runs on one core. Below
+    ``min_partitions`` (default: the default parallelism) the rows are dealt round-robin to
+    that many partitions; a large input already has enough splits and is returned unchanged,
+    so this adds no shuffle at scale. Round-robin repartitioning sorts rows first
+    (``spark.sql.execution.sortBeforeRepartition``), so a retried task gets the same rows.
+    """
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
