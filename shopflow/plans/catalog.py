@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
 from shopflow.session import fresh_dir, prepare
 from shopflow.sources import fixtures as fx
-from shopflow.sources.sinks import SnapshotStore
 from shopflow.streaming import ads_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,8 +252,7 @@ def ads_area_city_daily_stream(spark, base):
     root = fresh_dir(spark, "ads_area_city_daily")
     ads_stream.run_available(ads_stream.start_area_city_daily(
         _ads_stream(spark, base), root, trigger={"availableNow": True}))
-    return SnapshotStore(spark, f"{root}/totals", ["day", "area", "city", "ads_id"],
-                         ads_stream.TOTALS_SCHEMA).read()
+    return ads_stream.totals_store(spark, root).read()
 
 
 @query
@@ -263,7 +261,7 @@ def ads_area_top3_stream(spark, base):
     root = fresh_dir(spark, "ads_area_top3")
     ads_stream.run_available(ads_stream.start_area_city_daily(
         _ads_stream(spark, base), root, trigger={"availableNow": True}))
-    top = SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], ads_stream.TOP_SCHEMA).read()
+    top = ads_stream.top_store(spark, root).read()
     return top.select("day", "area", "ads_id", "n", "rn")
 
 
@@ -273,7 +271,7 @@ def ads_blacklist_stream(spark, base):
     root = fresh_dir(spark, "ads_blacklist")
     ads_stream.run_available(ads_stream.start_blacklist(
         _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True}))
-    return SnapshotStore(spark, f"{root}/blacklist", ["user_id"], ads_stream.BLACKLIST_SCHEMA).read()
+    return ads_stream.blacklist_store(spark, root).read()
 
 
 @query
@@ -282,8 +280,7 @@ def ads_last_hour_stream(spark, base):
     root = fresh_dir(spark, "ads_last_hour")
     ads_stream.run_available(ads_stream.start_last_hour(
         _ads_stream(spark, base), root, trigger={"availableNow": True}))
-    out = SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], ads_stream.LAST_HOUR_SCHEMA)
-    return out.read_latest().select("ads_id", "minute", "n")
+    return ads_stream.last_hour_store(spark, root).read_latest().select("ads_id", "minute", "n")
 
 
 # ---------------------------------------------------------------- generator (rows-only check)

@@ -52,41 +52,62 @@ class SnapshotStore:
     replaces its own output instead of adding to it (idempotent by batch id). Readers see the
     newest row per key (``upsert``, S7) or only the newest batch (``replace``, S8). Reads made
     while processing batch ``b`` pass ``before=b`` and so never see a half-written attempt of b.
-    ``compact`` folds the history into one batch folder; later reads start from it.
+    ``compact`` folds the history into one full snapshot; later reads start from it.
+
+    ``partition_by`` (e.g. the day) lays each batch folder out by that key, so a reader that
+    passes ``where`` on it (the days a micro-batch touches) scans only those partitions.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str | None = None,
+                 partition_by: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
+        self.partition_by = list(partition_by or [])
 
     # -- writing
+    def _write(self, df: DataFrame, folder: str) -> None:
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(folder)
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+        self._write(df, f"{self.path}/batch_id={int(batch_id)}")
 
     # -- reading
     @property
     def full_path(self) -> str:
         return f"{self.path}_full"
 
+    def _reader(self):
+        # With a declared schema, partition columns (batch_id, day) keep their declared types
+        # instead of being inferred from folder names (a day would become a DATE).
+        r = self.spark.read
+        return r.schema(f"{self.schema}, batch_id long") if self.schema else r
+
     def _deltas(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if path_exists(self.spark, self.path) else None
+        return self._reader().parquet(self.path) if path_exists(self.spark, self.path) else None
 
-    def _history(self, before: int | None) -> DataFrame | None:
+    def _history(self, before: int | None, where=None) -> DataFrame | None:
         """Newest full snapshot older than ``before`` plus the deltas after it."""
         deltas = self._deltas()
         if before is not None and deltas is not None:
             deltas = deltas.filter(F.col("batch_id") < before)
+        if where is not None and deltas is not None:
+            deltas = deltas.filter(where)
         if not path_exists(self.spark, self.full_path):
             return deltas
-        full = self.spark.read.parquet(self.full_path)
+        full = self._reader().parquet(self.full_path)
         if before is not None:
             full = full.filter(F.col("batch_id") < before)
         m = full.agg(F.max("batch_id")).first()[0]
         if m is None:
             return deltas
         snap = full.filter(F.col("batch_id") == m)
+        if where is not None:
+            snap = snap.filter(where)
         if deltas is None:
             return snap
         return snap.unionByName(deltas.filter(F.col("batch_id") > m))
@@ -96,9 +117,10 @@ class SnapshotStore:
             raise ValueError(f"no data under {self.path} and no schema given")
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Newest row per key (upsert semantics)."""
-        df = self._history(before)
+    def read(self, before: int | None = None, where=None) -> DataFrame:
+        """Newest row per key (upsert semantics); ``where`` filters before the merge (use it on
+        ``partition_by`` columns for partition pruning)."""
+        df = self._history(before, where)
         if df is None:
             return self._empty()
         values = [c for c in df.columns if c not in self.keys and c != "batch_id"]
@@ -123,4 +145,4 @@ class SnapshotStore:
         current = self.read(before=int(batch_id) + 1)
         if keep is not None:
             current = current.filter(keep)
-        current.write.mode("overwrite").parquet(f"{self.full_path}/batch_id={int(batch_id)}")
+        self._write(current, f"{self.full_path}/batch_id={int(batch_id)}")

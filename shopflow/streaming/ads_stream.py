@@ -33,6 +33,33 @@ MINUTES_SCHEMA = "ads_id string, minute_ts timestamp, n long"
 LAST_HOUR_SCHEMA = "ads_id string, minute string, hh_mm string, n long"
 
 
+# ---------------------------------------------------------------- result stores (readers use these)
+def totals_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/totals", ["day", "area", "city", "ads_id"], TOTALS_SCHEMA,
+                         partition_by=["day"])
+
+
+def top_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], TOP_SCHEMA, partition_by=["day"])
+
+
+def user_daily_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/user_daily", ["day", "user_id", "ads_id"], USER_DAILY_SCHEMA,
+                         partition_by=["day"])
+
+
+def blacklist_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/blacklist", ["user_id"], BLACKLIST_SCHEMA)
+
+
+def minutes_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA)
+
+
+def last_hour_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], LAST_HOUR_SCHEMA)
+
+
 # ---------------------------------------------------------------- sources (S3)
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                 options: dict | None = None) -> DataFrame:
@@ -67,6 +94,12 @@ def event_lines(spark: SparkSession, base: str, max_files_per_trigger: int | Non
     return fx.ads_lines(spark, base, events_df=stream)
 
 
+def batch_days(batch: DataFrame) -> list[str]:
+    """Days present in a micro-batch: a handful of values (a batch spans seconds), used to
+    prune the day-partitioned snapshots to what the batch can change."""
+    return [r.day for r in batch.select("day").distinct().collect()]
+
+
 def _trigger(writer, trigger: dict | None):
     # The reference used 5 s micro-batches; tests use availableNow.
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -74,7 +107,8 @@ def _trigger(writer, trigger: dict | None):
 
 # ---------------------------------------------------------------- R8 + R9
 def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None,
-                          watermark: str | None = None, top_n: int = 3) -> StreamingQuery:
+                          watermark: str | None = None, top_n: int = 3,
+                          compact_every: int = 100) -> StreamingQuery:
     """Running totals per (day, area, city, ad) and the top ``top_n`` ads per (day, area).
 
     Without ``watermark`` the state keeps every key, as the reference did (keys are
@@ -90,15 +124,22 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
         day = F.date_format("ts", "yyyy-MM-dd")
         src = log
     counts = src.groupBy(day.alias("day"), "area", "city", "ads_id").agg(F.count(F.lit(1)).alias("n"))
-    totals = SnapshotStore(spark, f"{root}/totals", ["day", "area", "city", "ads_id"], TOTALS_SCHEMA)
-    top = SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], TOP_SCHEMA)
+    totals = totals_store(spark, root)
+    top = top_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        totals.write_batch(batch.select("day", "area", "city", "ads_id", "n"), batch_id)
-        touched = batch.select("day").distinct()
-        current = totals.read(before=batch_id + 1).join(touched, "day", "left_semi")
-        top.write_batch(ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n"),
-                        batch_id)
+        batch = batch.select("day", "area", "city", "ads_id", "n").persist()
+        try:
+            totals.write_batch(batch, batch_id)
+            days = batch_days(batch)
+            current = totals.read(before=batch_id + 1, where=F.col("day").isin(days))
+            top.write_batch(ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n"),
+                            batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                totals.compact(batch_id)
+                top.compact(batch_id)
+        finally:
+            batch.unpersist()
 
     w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
@@ -107,15 +148,16 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
 
 # ---------------------------------------------------------------- R7
 def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
-                    trigger: dict | None = None, keep_events: bool = False) -> StreamingQuery:
+                    trigger: dict | None = None, keep_events: bool = False,
+                    compact_every: int = 100) -> StreamingQuery:
     """Per-batch blacklist (T5, T6, T10, F6): the list is re-read at every batch, events of
     listed users are dropped, the rest counted per (day, user, ad) and added to the totals;
     a user whose total reaches ``threshold`` is listed for good (all ads and days) from the
     next batch on. Results: ``{root}/user_daily``, ``{root}/blacklist`` (and the kept events
     per batch in ``{root}/kept`` when ``keep_events``)."""
     spark = log.sparkSession
-    totals = SnapshotStore(spark, f"{root}/user_daily", ["day", "user_id", "ads_id"], USER_DAILY_SCHEMA)
-    listed = SnapshotStore(spark, f"{root}/blacklist", ["user_id"], BLACKLIST_SCHEMA)
+    totals = user_daily_store(spark, root)
+    listed = blacklist_store(spark, root)
     kept_store = SnapshotStore(spark, f"{root}/kept", ["seq"])
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -123,8 +165,9 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
         try:
             black = listed.read(before=batch_id)
             kept = batch.join(black, "user_id", "left_anti")
-            counts = ads.user_daily(kept)
-            prev = totals.read(before=batch_id).withColumnRenamed("n", "prev")
+            counts = ads.user_daily(kept).persist()
+            days = batch_days(counts)
+            prev = totals.read(before=batch_id, where=F.col("day").isin(days)).withColumnRenamed("n", "prev")
             merged = (counts.join(prev, ["day", "user_id", "ads_id"], "left")
                       .select("day", "user_id", "ads_id",
                               (F.col("n") + F.coalesce(F.col("prev"), F.lit(0))).alias("n")))
@@ -134,7 +177,11 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
                                batch_id)
             if keep_events:
                 kept_store.write_batch(kept, batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                totals.compact(batch_id)
+                listed.compact(batch_id)
             merged.unpersist()
+            counts.unpersist()
         finally:
             batch.unpersist()
 
@@ -156,8 +203,8 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
     counts = (log.withWatermark("ts", watermark)
               .groupBy("ads_id", F.window("ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
-    store = SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA)
-    result = SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], LAST_HOUR_SCHEMA)
+    store = minutes_store(spark, root)
+    result = last_hour_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n"), batch_id)

@@ -53,11 +53,11 @@ def test_daily_totals_stream_equals_batch(spark, lines, tmp_root, n_files):
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     q = ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True})
     ads_stream.run_available(q)
-    got = SnapshotStore(spark, f"{tmp_root}/totals", ["day", "area", "city", "ads_id"]).read()
+    got = ads_stream.totals_store(spark, tmp_root).read()
     cols = ["day", "area", "city", "ads_id", "n"]
     batch = ads.area_city_daily(_batch_log(spark, src))
     assert _set(got, cols) == _set(batch, cols)
-    top = SnapshotStore(spark, f"{tmp_root}/top", ["day", "area", "rn"]).read()
+    top = ads_stream.top_store(spark, tmp_root).read()
     tcols = ["day", "area", "ads_id", "n", "rn"]
     assert _set(top, tcols) == _set(ads.area_top_ads(batch), tcols)
 
@@ -78,7 +78,7 @@ def test_daily_totals_restart_from_checkpoint(spark, lines, tmp_root):
         with open(os.path.join(staging, name)) as a, open(os.path.join(src, name), "w") as b:
             b.write(a.read())
     run()  # resumes from the checkpoint: only the new files are read, state carries the totals
-    got = SnapshotStore(spark, f"{tmp_root}/totals", ["day", "area", "city", "ads_id"]).read()
+    got = ads_stream.totals_store(spark, tmp_root).read()
     cols = ["day", "area", "city", "ads_id", "n"]
     assert _set(got, cols) == _set(ads.area_city_daily(_batch_log(spark, src)), cols)
 
@@ -90,7 +90,7 @@ def test_last_hour_stream_equals_batch(spark, lines, tmp_root, n_files):
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     ads_stream.run_available(ads_stream.start_last_hour(log, tmp_root, trigger={"availableNow": True},
                                                         compact_every=2))
-    got = SnapshotStore(spark, f"{tmp_root}/last_hour", ["ads_id", "minute"]).read_latest()
+    got = ads_stream.last_hour_store(spark, tmp_root).read_latest()
     cols = ["ads_id", "minute", "n"]
     assert _set(got, cols) == _set(ads.last_hour(_batch_log(spark, src)), cols)
 
@@ -108,12 +108,12 @@ def test_g13_blacklist_per_batch(spark, tmp_root):
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     ads_stream.run_available(ads_stream.start_blacklist(log, tmp_root, threshold=2, keep_events=True,
                                                         trigger={"availableNow": True}))
-    listed = SnapshotStore(spark, f"{tmp_root}/blacklist", ["user_id"]).read()
+    listed = ads_stream.blacklist_store(spark, tmp_root).read()
     assert [r.user_id for r in listed.collect()] == ["u"]
     kept = spark.read.parquet(f"{tmp_root}/kept")
     per_batch = sorted((r.batch_id, r.user_id) for r in kept.collect())
     assert per_batch == [(0, "u"), (0, "u"), (0, "u"), (0, "v"), (1, "v")]
-    totals = SnapshotStore(spark, f"{tmp_root}/user_daily", ["day", "user_id", "ads_id"]).read()
+    totals = ads_stream.user_daily_store(spark, tmp_root).read()
     assert _set(totals, ["user_id", "ads_id", "n"]) == [("u", "1", 3), ("v", "1", 1), ("v", "2", 1)]
 
 
@@ -130,3 +130,18 @@ def test_snapshot_store_idempotent_and_compact(spark, tmp_root):
     store.write_batch(mk([("b", 5)]), 2)
     assert _set(store.read(), ["k", "v"]) == [("a", 2), ("b", 5)]
     assert _set(store.read_latest(), ["k", "v"]) == [("b", 5)]
+
+
+def test_daily_totals_with_compaction(spark, lines, tmp_root):
+    src = _local(f"{tmp_root}/src")
+    _write_line_files(spark, lines, src, 5)
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True},
+                                                              compact_every=2))
+    assert os.path.isdir(_local(f"{tmp_root}/totals_full"))
+    got = ads_stream.totals_store(spark, tmp_root).read()
+    cols = ["day", "area", "city", "ads_id", "n"]
+    batch = ads.area_city_daily(_batch_log(spark, src))
+    assert _set(got, cols) == _set(batch, cols)
+    one_day = ads_stream.totals_store(spark, tmp_root).read(where=F.col("day") == "2024-01-01")
+    assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
