@@ -292,3 +292,15 @@ def gen_actions(spark, base):
     from shopflow.sources.tables import read_table, spread
     return datagen.gen_actions(spread(read_table(spark, "orders", base).select("o_orderkey")),
                                key="o_orderkey", seed=42)
+
+
+@query
+def ads_kept_events_stream(spark, base):
+    """Event-exact blacklist filter as a stateful stream (per-user state, threshold 3)."""
+    prepare(spark)
+    root = fresh_dir(spark, "ads_kept_events")
+    ads_stream.run_available(ads_stream.start_blacklist_per_event(
+        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True}))
+    kept = ads_stream.kept_events_store(spark, root).read_all()
+    return kept.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+                       "area", "city", "user_id", "ads_id")

@@ -323,3 +323,4 @@ SQL["ads_area_city_daily_stream"] = SQL["ads_area_city_daily"]
 SQL["ads_area_top3_stream"] = SQL["ads_area_top3"]
 SQL["ads_blacklist_stream"] = SQL["ads_blacklist"]
 SQL["ads_last_hour_stream"] = SQL["ads_last_hour"]
+SQL["ads_kept_events_stream"] = SQL["ads_kept_events"]

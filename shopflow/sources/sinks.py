@@ -74,6 +74,10 @@ class SnapshotStore:
         w.parquet(folder)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        # A batch's changes are small: one writer per partition value keeps it to one file each
+        # (without this every task writes a file into every day it holds).
+        if self.partition_by:
+            df = df.repartition(*self.partition_by)
         self._write(df, f"{self.path}/batch_id={int(batch_id)}")
 
     # -- reading
@@ -129,6 +133,11 @@ class SnapshotStore:
         newest = df.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
         return newest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
+    def read_all(self) -> DataFrame:
+        """Every row of every batch (append semantics), without the batch id."""
+        df = self._deltas()
+        return self._empty() if df is None else df.drop("batch_id")
+
     def read_latest(self) -> DataFrame:
         """Rows of the newest batch only (replace semantics)."""
         df = self._deltas()

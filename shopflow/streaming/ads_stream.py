@@ -56,6 +56,13 @@ def minutes_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA)
 
 
+def kept_events_store(spark: SparkSession, root: str) -> SnapshotStore:
+    """Events that passed the blacklist, one folder per batch (read all of them)."""
+    return SnapshotStore(spark, f"{root}/kept", ["seq"],
+                         "ts timestamp, area string, city string, user_id string, ads_id string, "
+                         "seq long, day string")
+
+
 def last_hour_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], LAST_HOUR_SCHEMA)
 
@@ -189,6 +196,78 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
     return _trigger(w, trigger).start()
 
 
+# ---------------------------------------------------------------- R7, event by event
+KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id string, ads_id string, seq long, "
+               "day string, lists_user boolean")
+PER_USER_STATE = "listed boolean, groups array<string>, counts array<long>"
+
+
+def _per_user_cutoff(threshold: int):
+    """Stateful step per user and micro-batch: the user's events in (ts, seq) order; running
+    count per (day, ad) = count kept so far (state) + position in this batch; events after the
+    first one that reaches ``threshold`` are dropped, and the user stays listed for good.
+    Vectorised per group (sort + cumcount), no loop over rows."""
+    import pandas as pd
+
+    def step(key, pdfs, state):
+        listed, counts = False, {}
+        if state.exists:
+            listed, groups, values = state.get
+            counts = dict(zip(groups, values))
+        batch = pd.concat(list(pdfs), ignore_index=True)
+        if listed or batch.empty:
+            if not state.exists:
+                state.update((listed, [], []))
+            return
+        batch = batch.sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True)
+        group = batch["day"] + "\x00" + batch["ads_id"]
+        running = group.map(counts).fillna(0).astype("int64") + batch.groupby(group).cumcount() + 1
+        hits = (running >= threshold).to_numpy().nonzero()[0]
+        lists_user = pd.Series(False, index=batch.index)
+        if len(hits):
+            cut = int(hits[0])
+            batch, group, lists_user = batch.iloc[:cut + 1], group.iloc[:cut + 1], lists_user.iloc[:cut + 1].copy()
+            lists_user.iloc[cut] = True
+            listed = True
+        for g, n in group.value_counts().items():
+            counts[g] = counts.get(g, 0) + int(n)
+        state.update((listed, list(counts), [int(v) for v in counts.values()]))
+        out = batch.copy()
+        out["lists_user"] = lists_user.to_numpy()
+        yield out[["ts", "area", "city", "user_id", "ads_id", "seq", "day", "lists_user"]]
+
+    return step
+
+
+def start_blacklist_per_event(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
+                              trigger: dict | None = None) -> StreamingQuery:
+    """Event-exact blacklist (T6 per-event rule, the batch ``ads.kept_events`` semantics): the
+    result does not depend on how events fall into micro-batches, provided they arrive in
+    time order. State per user: the listed flag (kept for good) and counts per (day, ad).
+    Results: ``{root}/kept`` (events that pass, per batch) and ``{root}/blacklist``."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    spark = log.sparkSession
+    keyed = ads.with_day(log).select("ts", "area", "city", "user_id", "ads_id", "seq", "day")
+    out = keyed.groupBy("user_id").applyInPandasWithState(
+        _per_user_cutoff(threshold), KEPT_SCHEMA, PER_USER_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+    kept = kept_events_store(spark, root)
+    listed = blacklist_store(spark, root)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            kept.write_batch(batch.drop("lists_user"), batch_id)
+            listed.write_batch(batch.filter("lists_user").select("user_id").distinct(), batch_id)
+        finally:
+            batch.unpersist()
+
+    w = out.writeStream.outputMode("append").foreachBatch(process) \
+        .option("checkpointLocation", f"{root}/checkpoint")
+    return _trigger(w, trigger).start()
+
+
 # ---------------------------------------------------------------- R10
 def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
                     watermark: str = "60 minutes", minutes: int = 60,

@@ -145,3 +145,18 @@ def test_daily_totals_with_compaction(spark, lines, tmp_root):
     assert _set(got, cols) == _set(batch, cols)
     one_day = ads_stream.totals_store(spark, tmp_root).read(where=F.col("day") == "2024-01-01")
     assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
+
+
+@pytest.mark.parametrize("n_files", [1, 4])
+def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files):
+    src = _local(f"{tmp_root}/src")
+    _write_line_files(spark, lines, src, n_files)
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3,
+                                                                  trigger={"availableNow": True}))
+    batch_log = _batch_log(spark, src)
+    cols = ["ts", "area", "city", "user_id", "ads_id", "seq"]
+    kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
+    assert _set(kept, cols) == _set(ads.kept_events(batch_log, 3), cols)
+    listed = ads_stream.blacklist_store(spark, tmp_root).read()
+    assert _set(listed, ["user_id"]) == _set(ads.blacklist(batch_log, 3), ["user_id"])
