@@ -123,7 +123,9 @@ def session_ratio_stats(sessions: DataFrame, task_id: str, conditions: str = "{}
                     *[percent(n, "session_count", 2).alias(f"{n}_ratio") for n in names])
 
 
-def _day_hour(start: str = "start_ts") -> Column:
+def _day_hour(sessions: DataFrame) -> Column:
+    """Start hour label, from ``start_ts`` or else the ``start_time`` text."""
+    start = F.col("start_ts") if "start_ts" in sessions.columns else parse_action_time("start_time")
     return F.date_format(start, "yyyy-MM-dd HH")
 
 
@@ -133,7 +135,7 @@ def session_hour_quota(sessions: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
     quota = floor(n_hour / n_all * k), capped at n_hour (D4: no repeats). The total is a
     scalar subquery over the (small) hour table - no global window, no cross join.
     """
-    hours = sessions.groupBy(_day_hour().alias("day_hour")).agg(F.count(F.lit(1)).alias("n_sessions"))
+    hours = sessions.groupBy(_day_hour(sessions).alias("day_hour")).agg(F.count(F.lit(1)).alias("n_sessions"))
     total = hours.select(F.sum("n_sessions")).scalar()
     quota = F.floor(F.col("n_sessions").cast("double") / total.cast("double") * F.lit(float(k)))
     return hours.select("day_hour", "n_sessions",
@@ -150,7 +152,7 @@ def sample_sessions(sessions: DataFrame, k: int = SAMPLE_SIZE, seed: int = 42) -
     quota = session_hour_quota(sessions, k).select("day_hour", "quota")
     h = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
     w = Window.partitionBy("day_hour").orderBy("_h", "session_id")
-    ranked = (sessions.withColumn("day_hour", _day_hour()).withColumn("_h", h)
+    ranked = (sessions.withColumn("day_hour", _day_hour(sessions)).withColumn("_h", h)
               .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k))
     return (ranked.join(quota, "day_hour").filter(F.col("_rn") <= F.col("quota"))
             .drop("_h", "_rn", "quota"))
