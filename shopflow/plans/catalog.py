@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
@@ -304,3 +303,27 @@ def ads_kept_events_stream(spark, base):
     kept = ads_stream.kept_events_store(spark, root).read_all()
     return kept.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
                        "area", "city", "user_id", "ads_id")
+
+
+# ---------------------------------------------------------------- request options
+@query
+def session_ratio_stats_filtered(spark, base):
+    """R1 for a request with every filter kind (dates, ages, gender)."""
+    prepare(spark)
+    return sessions.session_ratio_stats(sessions.session_stats(_actions(spark, base, FILTER_PARAMS)),
+                                        TASK_ID, conditions.conditions_json(FILTER_PARAMS))
+
+
+@query
+def page_convert_rate_zero(spark, base):
+    """R5 for a flow with a page that is never visited, hops that never happen kept as 0.0."""
+    prepare(spark)
+    return funnel.page_convert_rate(_actions(spark, base), "1,3,5,9", include_zero=True)
+
+
+@query
+def category_bottom10(spark, base):
+    """The ten least active categories (the reference's comparator order, D5)."""
+    prepare(spark)
+    return categories.category_top(categories.category_counts(_actions(spark, base)), n=10,
+                                   ascending=True)

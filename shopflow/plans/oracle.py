@@ -228,11 +228,15 @@ SELECT * FROM (
   FROM csc WHERE category_id IN (SELECT category_id FROM top10)
 ) WHERE rn <= 10"""
 
-# ---------------------------------------------------------------- page flow (R5), flow 1..7
-FUNNEL = """,
+# ---------------------------------------------------------------- page flow
+def _funnel(pages: list[int]) -> str:
+    """Visits of the flow's pages but the last, every consecutive hop, the flow's hops."""
+    visit_pages = ", ".join(str(p) for p in pages[:-1])
+    jumps = ", ".join(f"'{a}_{b}'" for a, b in zip(pages[:-1], pages[1:]))
+    return f""",
 visits AS (
   SELECT page_id, CAST(count(*) AS BIGINT) AS n FROM actions
-  WHERE page_id IN (1, 2, 3, 4, 5, 6) GROUP BY page_id
+  WHERE page_id IN ({visit_pages}) GROUP BY page_id
 ),
 hops AS (
   SELECT page_id AS from_page,
@@ -243,10 +247,13 @@ jumps AS (
   SELECT page_jump, from_page, CAST(count(*) AS BIGINT) AS n FROM (
     SELECT CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) AS page_jump, from_page
     FROM hops WHERE to_page IS NOT NULL)
-  WHERE page_jump IN ('1_2', '2_3', '3_4', '4_5', '5_6', '6_7')
+  WHERE page_jump IN ({jumps})
   GROUP BY page_jump, from_page
 )"""
 
+
+FUNNEL = _funnel([1, 2, 3, 4, 5, 6, 7])
+
 SQL["page_visit_counts"] = _with(UVA, ACTIONS, FUNNEL) + "SELECT page_id, n FROM visits"
 
 SQL["page_jump_counts"] = _with(UVA, ACTIONS, FUNNEL) + "SELECT page_jump, n FROM jumps"
@@ -324,3 +331,32 @@ SQL["ads_area_top3_stream"] = SQL["ads_area_top3"]
 SQL["ads_blacklist_stream"] = SQL["ads_blacklist"]
 SQL["ads_last_hour_stream"] = SQL["ads_last_hour"]
 SQL["ads_kept_events_stream"] = SQL["ads_kept_events"]
+
+# ---------------------------------------------------------------- request options
+FILTERED_ACTIONS = """,
+actions AS (
+  SELECT * FROM uva
+  WHERE CAST(date AS DATE) >= DATE '2024-01-05' AND CAST(date AS DATE) <= DATE '2024-01-20'
+    AND user_id IN (SELECT user_id FROM users WHERE age >= 20 AND age <= 45 AND gender = 'M')
+),
+timed AS (SELECT *, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS act_ts FROM actions)"""
+
+SQL["session_ratio_stats_filtered"] = _with(UVA, FILTERED_ACTIONS, SESSIONS) + f"""
+SELECT 'task-1' AS task_id,
+       '{{"city": null, "endAge": "45", "endDate": "2024-01-20", "gender": "M", "professionals": null, "startAge": "20", "startDate": "2024-01-05", "targetPageFlow": null}}' AS conditions,
+       session_count,
+       {_ratio('visit_length_le_10s')}, {_ratio('visit_length_gt_10s')},
+       {_ratio('step_length_le_5')}, {_ratio('step_length_gt_5')}
+FROM counts"""
+
+SQL["page_convert_rate_zero"] = _with(UVA, ACTIONS, _funnel([1, 3, 5, 9])) + """
+SELECT w.page_jump,
+       coalesce(CASE WHEN v.n > 0 THEN CAST(floor(CAST(j.n AS DOUBLE) / CAST(v.n AS DOUBLE) * 1000.0 + 0.5) / 10.0 AS DOUBLE) END,
+                CAST(0.0 AS DOUBLE)) AS rate
+FROM (VALUES ('1_3', 1), ('3_5', 3), ('5_9', 5)) AS w(page_jump, from_page)
+LEFT JOIN jumps j ON j.page_jump = w.page_jump
+LEFT JOIN visits v ON v.page_id = w.from_page"""
+
+SQL["category_bottom10"] = _with(UVA, ACTIONS, CATS) + """
+SELECT * FROM catcounts
+ORDER BY click_count, order_count, pay_count, category_id LIMIT 10"""
