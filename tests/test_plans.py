@@ -61,3 +61,32 @@ def test_scan_reads_only_needed_columns(spark):
     events_scan = [line for line in scans if "event_type" in line]
     assert events_scan and "value:" not in events_scan[0]
     assert any(line == "ReadSchema: struct<c_custkey:bigint>" for line in scans)
+
+
+def test_bucketed_tables_semi_join_without_shuffle(spark):
+    from shopflow.operators import conditions
+    from shopflow.session import prepare
+    from shopflow.sources import fixtures as fx
+    from shopflow.sources.tables import read_table, write_bucketed
+    prepare(spark)
+    write_bucketed(fx.user_visit_action(spark, SF_SMALL), "sf_actions_b", "user_id", 8)
+    write_bucketed(fx.user_info(spark, SF_SMALL), "sf_users_b", "user_id", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if users were too many
+    try:
+        joined = conditions.filter_actions(read_table(spark, "sf_actions_b"), read_table(spark, "sf_users_b"),
+                                           {"gender": "M"})
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        p = buf.getvalue()
+        assert "SortMergeJoin" in p and "LeftSemi" in p
+        assert "Exchange hashpartitioning(user_id" not in p
+        plain = conditions.filter_actions(fx.user_visit_action(spark, SF_SMALL), fx.user_info(spark, SF_SMALL),
+                                          {"gender": "M"})
+        rows = lambda df: sorted(tuple(str(v) for v in r) for r in df.collect())
+        assert rows(joined) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE sf_actions_b")
+        spark.sql("DROP TABLE sf_users_b")
