@@ -1,6 +1,5 @@
 """Managed-table overwrite (S5) and the Kafka reader without its connector (S3)."""
 
-
 from shopflow.sources import sinks
 from shopflow.streaming import ads_stream
 
