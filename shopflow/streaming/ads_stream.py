@@ -56,6 +56,10 @@ def minutes_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA)
 
 
+def last_hour_json_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/last_hour_json", ["ads_id"], "ads_id string, series_json string")
+
+
 def kept_events_store(spark: SparkSession, root: str) -> SnapshotStore:
     """Events that passed the blacklist, one folder per batch (read all of them)."""
     return SnapshotStore(spark, f"{root}/kept", ["seq"],
@@ -271,27 +275,41 @@ def start_blacklist_per_event(log: DataFrame, root: str, threshold: int = ads.BL
 # ---------------------------------------------------------------- R10
 def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
                     watermark: str = "60 minutes", minutes: int = 60,
-                    compact_every: int = 100) -> StreamingQuery:
+                    compact_every: int = 100, as_of: str = "newest_event") -> StreamingQuery:
     """Clicks per (ad, minute) for the last ``minutes`` minutes, refreshed every trigger.
 
     Events are counted once per (ad, minute) in the state store (no copy per sliding window);
     the watermark evicts minutes that can no longer fall in the last hour. Each batch upserts
-    the changed minute counts and replaces the result with the minutes ending at the newest
-    event's minute. Results: ``{root}/last_hour`` (read with ``read_latest``)."""
+    the changed minute counts and replaces the result with the ``minutes`` minutes ending at
+    ``as_of``: the newest event's minute (``"newest_event"``, reproducible) or the trigger's
+    wall-clock minute (``"trigger"``, a live dashboard; D17). Results: ``{root}/last_hour``
+    (rows) and ``{root}/last_hour_json`` (one JSON series per ad), both read with
+    ``read_latest``."""
+    if as_of not in ("newest_event", "trigger"):
+        raise ValueError("as_of is 'newest_event' or 'trigger'")
     spark = log.sparkSession
     counts = (log.withWatermark("ts", watermark)
               .groupBy("ads_id", F.window("ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
     store = minutes_store(spark, root)
     result = last_hour_store(spark, root)
+    series = last_hour_json_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n"), batch_id)
         current = store.read(before=batch_id + 1)
-        newest = current.select(F.max("minute_ts")).scalar()
-        start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), newest)
-        recent = current.filter(F.col("minute_ts") >= start)
-        result.write_batch(ads.last_hour_from_minutes(recent), batch_id)
+        if as_of == "trigger":
+            end = F.date_trunc("minute", F.current_timestamp())
+        else:
+            end = current.select(F.max("minute_ts")).scalar()
+        start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), end)
+        recent = ads.last_hour_from_minutes(
+            current.filter((F.col("minute_ts") >= start) & (F.col("minute_ts") <= end))).persist()
+        try:
+            result.write_batch(recent, batch_id)
+            series.write_batch(ads.last_hour_json(recent), batch_id)
+        finally:
+            recent.unpersist()
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             store.compact(batch_id, keep=F.col("minute_ts") >= start)
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
 
-ACTION_COLS = ("date user_id session_id page_id action_time search_keyword click_category_id "
-               "click_product_id order_category_ids order_product_ids pay_category_ids "
-               "pay_product_ids city_id event_id").split()
 ACTION_SCHEMA = ("date string, user_id long, session_id string, page_id long, action_time string, "
                  "search_keyword string, click_category_id long, click_product_id long, "
                  "order_category_ids string, order_product_ids string, pay_category_ids string, "
@@ -250,3 +247,16 @@ def test_sliding_counts_match_window(spark):
     native = {(r.w.start, r.ads_id): r.n for r in log.groupBy(F.window("ts", "60 minutes", "10 minutes").alias("w"), "ads_id")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert ours == native
+
+
+def test_area_top_ads_map_and_json(spark):
+    totals = spark.createDataFrame(
+        [("2024-01-01", "A", "c1", "1", 5), ("2024-01-01", "A", "c2", "1", 2), ("2024-01-01", "A", "c1", "2", 7),
+         ("2024-01-01", "A", "c1", "3", 1), ("2024-01-01", "A", "c1", "4", 1), ("2024-01-01", "B", "c3", "9", 4)],
+        "day string, area string, city string, ads_id string, n long")
+    top = ads.area_top_ads(totals, 3)
+    js = {(r.date_key, r.area): r.top3_json for r in ads.area_top_ads_json(top).collect()}
+    assert js == {("area_top3_ads:2024-01-01", "A"): '[{"1":7},{"2":7},{"3":1}]',
+                  ("area_top3_ads:2024-01-01", "B"): '[{"9":4}]'}
+    m = ads.area_top_ads_map(ads.area_top_ads_json(top)).first()
+    assert m.date_key == "area_top3_ads:2024-01-01" and set(m.areas) == {"A", "B"}

@@ -160,3 +160,19 @@ def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files
     assert _set(kept, cols) == _set(ads.kept_events(batch_log, 3), cols)
     listed = ads_stream.blacklist_store(spark, tmp_root).read()
     assert _set(listed, ["user_id"]) == _set(ads.blacklist(batch_log, 3), ["user_id"])
+
+
+def test_last_hour_json_stream_and_trigger_clock(spark, lines, tmp_root):
+    src = _local(f"{tmp_root}/src")
+    _write_line_files(spark, lines, src, 2)
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_last_hour(log, tmp_root, trigger={"availableNow": True}))
+    got = ads_stream.last_hour_json_store(spark, tmp_root).read_latest()
+    want = ads.last_hour_json(ads.last_hour(_batch_log(spark, src)))
+    assert _set(got, ["ads_id", "series_json"]) == _set(want, ["ads_id", "series_json"])
+    # Wall-clock "as of": the test events are from 2024, so nothing is in the last hour now.
+    live = f"{tmp_root}/live"
+    log2 = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_last_hour(log2, live, trigger={"availableNow": True},
+                                                        as_of="trigger"))
+    assert ads_stream.last_hour_store(spark, live).read_latest().count() == 0
