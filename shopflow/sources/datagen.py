@@ -98,14 +98,15 @@ def gen_cities(spark: SparkSession) -> DataFrame:
 def gen_actions(seeds: DataFrame, key: str, seed: int = 42, users: int = 100, products: int = 100,
                 pages: int = 50, categories: int = 20, cities: int = 26,
                 start: str = "2018-11-26", end: str = "2018-11-27", steps: int = 100000,
-                bucket_sessions: int = 1000) -> DataFrame:
+                bucket_sessions: int = 10000) -> DataFrame:
     """One session per row of ``seeds`` (its ``key`` column, a long), S11.
 
     Session length: each draw ends the session with the ``quit`` weight (10 of 100), so the
     number of actions is geometric; a zero-length session gives no rows. Action times follow
     one increasing clock over all sessions in key order: each step uniform in [0, 2*span/steps)
-    ms (S16). The running sum is two-level - per bucket of ``bucket_sessions`` sessions, then
-    bucket offsets from the (small) bucket totals - so no window spans the whole data.
+    ms (S16). The running sum is two-level - per bucket of ``bucket_sessions`` sessions (about
+    9 rows each), then bucket offsets from the bucket totals (one row per bucket: 10^5 rows
+    for 10^9 sessions) - so no window spans the whole data.
     """
     quit_w = dict(ACTIONS)["quit"]
     total_w = sum(w for _, w in ACTIONS)

@@ -206,7 +206,7 @@ KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id string, ads_id s
 PER_USER_STATE = "listed boolean, groups array<string>, counts array<long>"
 
 
-def _per_user_cutoff(threshold: int):
+def _per_user_cutoff(threshold: int, keep_days: int | None = None):
     """Stateful step per user and micro-batch: the user's events in (ts, seq) order; running
     count per (day, ad) = count kept so far (state) + position in this batch; events after the
     first one that reaches ``threshold`` are dropped, and the user stays listed for good.
@@ -224,7 +224,7 @@ def _per_user_cutoff(threshold: int):
                 state.update((listed, [], []))
             return
         batch = batch.sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True)
-        group = batch["day"] + "\x00" + batch["ads_id"]
+        group = batch["day"] + "|" + batch["ads_id"]
         running = group.map(counts).fillna(0).astype("int64") + batch.groupby(group).cumcount() + 1
         hits = (running >= threshold).to_numpy().nonzero()[0]
         lists_user = pd.Series(False, index=batch.index)
@@ -235,6 +235,11 @@ def _per_user_cutoff(threshold: int):
             listed = True
         for g, n in group.value_counts().items():
             counts[g] = counts.get(g, 0) + int(n)
+        if keep_days is not None and counts:
+            # Only recent days can still reach the threshold; older day counts leave the state.
+            newest = max(pd.Timestamp(g.split("|", 1)[0]) for g in counts)
+            oldest_kept = newest - pd.Timedelta(days=keep_days)
+            counts = {g: v for g, v in counts.items() if pd.Timestamp(g.split("|", 1)[0]) >= oldest_kept}
         state.update((listed, list(counts), [int(v) for v in counts.values()]))
         out = batch.copy()
         out["lists_user"] = lists_user.to_numpy()
@@ -244,17 +249,21 @@ def _per_user_cutoff(threshold: int):
 
 
 def start_blacklist_per_event(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
-                              trigger: dict | None = None) -> StreamingQuery:
+                              trigger: dict | None = None, keep_days: int | None = None) -> StreamingQuery:
     """Event-exact blacklist (T6 per-event rule, the batch ``ads.kept_events`` semantics): the
     result does not depend on how events fall into micro-batches, provided they arrive in
-    time order. State per user: the listed flag (kept for good) and counts per (day, ad).
+    time order. State per user: the listed flag (kept for good) and counts per (day, ad);
+    ``keep_days`` drops day counts older than that many days before the user's newest day
+    (bounded state; an event arriving later than that would start its day from zero, so the
+    default keeps all). One group is one user's events of one micro-batch, bounded by the
+    trigger's batch size (e.g. ``maxOffsetsPerTrigger``).
     Results: ``{root}/kept`` (events that pass, per batch) and ``{root}/blacklist``."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     spark = log.sparkSession
     keyed = ads.with_day(log).select("ts", "area", "city", "user_id", "ads_id", "seq", "day")
     out = keyed.groupBy("user_id").applyInPandasWithState(
-        _per_user_cutoff(threshold), KEPT_SCHEMA, PER_USER_STATE, "append",
+        _per_user_cutoff(threshold, keep_days), KEPT_SCHEMA, PER_USER_STATE, "append",
         GroupStateTimeout.NoTimeout)
     kept = kept_events_store(spark, root)
     listed = blacklist_store(spark, root)

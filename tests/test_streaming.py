@@ -147,12 +147,12 @@ def test_daily_totals_with_compaction(spark, lines, tmp_root):
     assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
 
 
-@pytest.mark.parametrize("n_files", [1, 4])
-def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files):
+@pytest.mark.parametrize("n_files,keep_days", [(1, None), (4, None), (4, 2)])
+def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files, keep_days):
     src = _local(f"{tmp_root}/src")
     _write_line_files(spark, lines, src, n_files)
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3,
+    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3, keep_days=keep_days,
                                                                   trigger={"availableNow": True}))
     batch_log = _batch_log(spark, src)
     cols = ["ts", "area", "city", "user_id", "ads_id", "seq"]
