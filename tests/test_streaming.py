@@ -176,3 +176,21 @@ def test_last_hour_json_stream_and_trigger_clock(spark, lines, tmp_root):
     ads_stream.run_available(ads_stream.start_last_hour(log2, live, trigger={"availableNow": True},
                                                         as_of="trigger"))
     assert ads_stream.last_hour_store(spark, live).read_latest().count() == 0
+
+
+def test_per_event_counts_carry_across_batches(spark, tmp_root):
+    src = _local(f"{tmp_root}/src")
+    os.makedirs(src)
+    t0 = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    with open(os.path.join(src, "b1.txt"), "w") as f:
+        f.write(f"{t0} A c u 1\n{t0 + 1} A c u 1\n{t0 + 2} A c u 2\n")
+    with open(os.path.join(src, "b2.txt"), "w") as f:
+        f.write(f"{t0 + 10} A c u 1\n{t0 + 11} A c u 1\n{t0 + 12} A c u 2\n")
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3,
+                                                                  trigger={"availableNow": True}))
+    kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
+    got = sorted((r.ads_id, r.ts.second, r.ts.microsecond // 1000) for r in kept.collect())
+    # the third click on ad 1 (first of batch 2) lists u; later events are dropped
+    assert got == [("1", 0, 0), ("1", 0, 1), ("1", 0, 10), ("2", 0, 2)]
+    assert [r.user_id for r in ads_stream.blacklist_store(spark, tmp_root).read().collect()] == ["u"]
