@@ -169,32 +169,33 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
     spark = log.sparkSession
     totals = user_daily_store(spark, root)
     listed = blacklist_store(spark, root)
-    kept_store = SnapshotStore(spark, f"{root}/kept", ["seq"])
+    kept_store = kept_events_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # T11: one read of the batch for several outputs
+        cached = [batch]
         try:
             black = listed.read(before=batch_id)
             kept = batch.join(black, "user_id", "left_anti")
             counts = ads.user_daily(kept).persist()
+            cached.append(counts)
             days = batch_days(counts)
             prev = totals.read(before=batch_id, where=F.col("day").isin(days)).withColumnRenamed("n", "prev")
             merged = (counts.join(prev, ["day", "user_id", "ads_id"], "left")
                       .select("day", "user_id", "ads_id",
-                              (F.col("n") + F.coalesce(F.col("prev"), F.lit(0))).alias("n")))
-            merged = merged.persist()
+                              (F.col("n") + F.coalesce(F.col("prev"), F.lit(0))).alias("n"))).persist()
+            cached.append(merged)
             totals.write_batch(merged, batch_id)
             listed.write_batch(merged.filter(F.col("n") >= threshold).select("user_id").distinct(),
                                batch_id)
             if keep_events:
-                kept_store.write_batch(kept, batch_id)
+                kept_store.write_batch(ads.with_day(kept), batch_id)
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
                 totals.compact(batch_id)
                 listed.compact(batch_id)
-            merged.unpersist()
-            counts.unpersist()
         finally:
-            batch.unpersist()
+            for df in cached:
+                df.unpersist()
 
     w = log.writeStream.foreachBatch(process).option("checkpointLocation", f"{root}/checkpoint")
     return _trigger(w, trigger).start()

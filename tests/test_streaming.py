@@ -194,3 +194,14 @@ def test_per_event_counts_carry_across_batches(spark, tmp_root):
     # the third click on ad 1 (first of batch 2) lists u; later events are dropped
     assert got == [("1", 0, 0), ("1", 0, 1), ("1", 0, 10), ("2", 0, 2)]
     assert [r.user_id for r in ads_stream.blacklist_store(spark, tmp_root).read().collect()] == ["u"]
+
+
+def test_daily_totals_with_watermark_equals_batch(spark, lines, tmp_root):
+    src = _local(f"{tmp_root}/src")
+    _write_line_files(spark, lines, src, 3)
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True},
+                                                              watermark="2 days"))
+    cols = ["day", "area", "city", "ads_id", "n"]
+    got = ads_stream.totals_store(spark, tmp_root).read()
+    assert _set(got, cols) == _set(ads.area_city_daily(_batch_log(spark, src)), cols)
