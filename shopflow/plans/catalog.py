@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.operators import ads, areas, categories, conditions, funnel, sessions
+from shopflow.schemas import USER_VISIT_ACTION, bind
 from shopflow.session import fresh_dir, prepare
 from shopflow.sources import fixtures as fx
 from shopflow.streaming import ads_stream
@@ -63,7 +64,7 @@ def _actions(spark, base, params=None):
 @query
 def filtered_actions(spark, base):
     prepare(spark)
-    return _actions(spark, base, FILTER_PARAMS).drop("event_id")
+    return bind(_actions(spark, base, FILTER_PARAMS), USER_VISIT_ACTION)  # S2: fixed schema by name
 
 
 # ---------------------------------------------------------------- sessions
