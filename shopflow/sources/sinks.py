@@ -44,6 +44,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the ``batch_id=N`` folders under ``path`` (a listing, no Spark job)."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    ids = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("batch_id="):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
 class SnapshotStore:
     """Keyed result table fed by ``foreachBatch``.
 
@@ -101,15 +116,11 @@ class SnapshotStore:
             deltas = deltas.filter(F.col("batch_id") < before)
         if where is not None and deltas is not None:
             deltas = deltas.filter(where)
-        if not path_exists(self.spark, self.full_path):
-            return deltas
-        full = self._reader().parquet(self.full_path)
-        if before is not None:
-            full = full.filter(F.col("batch_id") < before)
-        m = full.agg(F.max("batch_id")).first()[0]
-        if m is None:
+        fulls = [b for b in batch_ids(self.spark, self.full_path) if before is None or b < before]
+        if not fulls:
             return deltas
-        snap = full.filter(F.col("batch_id") == m)
+        m = fulls[-1]
+        snap = self._reader().parquet(self.full_path).filter(F.col("batch_id") == m)
         if where is not None:
             snap = snap.filter(where)
         if deltas is None:
@@ -140,11 +151,10 @@ class SnapshotStore:
 
     def read_latest(self) -> DataFrame:
         """Rows of the newest batch only (replace semantics)."""
-        df = self._deltas()
-        if df is None:
+        ids = batch_ids(self.spark, self.path)
+        if not ids:
             return self._empty()
-        newest = df.agg(F.max("batch_id")).first()[0]
-        return df.filter(F.col("batch_id") == newest).drop("batch_id")
+        return self._deltas().filter(F.col("batch_id") == ids[-1]).drop("batch_id")
 
     def compact(self, batch_id: int, keep=None) -> None:
         """Fold everything up to and including ``batch_id`` into one full snapshot; later reads
