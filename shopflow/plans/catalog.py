@@ -328,3 +328,13 @@ def category_bottom10(spark, base):
     prepare(spark)
     return categories.category_top(categories.category_counts(_actions(spark, base)), n=10,
                                    ascending=True)
+
+
+@query
+def ads_area_top3_json_stream(spark, base):
+    """The per-day top-3 JSON (the reference's ``area_top3_ads:<day>`` hashes) from the stream."""
+    prepare(spark)
+    root = fresh_dir(spark, "ads_area_top3_json")
+    ads_stream.run_available(ads_stream.start_area_city_daily(
+        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+    return ads_stream.top_json_store(spark, root).read()

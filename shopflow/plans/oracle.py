@@ -360,3 +360,4 @@ LEFT JOIN visits v ON v.page_id = w.from_page"""
 SQL["category_bottom10"] = _with(UVA, ACTIONS, CATS) + """
 SELECT * FROM catcounts
 ORDER BY click_count, order_count, pay_count, category_id LIMIT 10"""
+SQL["ads_area_top3_json_stream"] = SQL["ads_area_top3_json"]

@@ -43,6 +43,12 @@ def top_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], TOP_SCHEMA, partition_by=["day"])
 
 
+def top_json_store(spark: SparkSession, root: str) -> SnapshotStore:
+    """Per (day, area) the top list as JSON, keyed like the reference's ``area_top3_ads:<day>``."""
+    return SnapshotStore(spark, f"{root}/top_json", ["date_key", "area"],
+                         "date_key string, area string, top3_json string")
+
+
 def user_daily_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/user_daily", ["day", "user_id", "ads_id"], USER_DAILY_SCHEMA,
                          partition_by=["day"])
@@ -125,7 +131,7 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
     Without ``watermark`` the state keeps every key, as the reference did (keys are
     days x areas x cities x ads, so it grows by day, not by event). With a watermark the day
     becomes an event-time window and days older than the watermark leave the state; their
-    totals stay in the snapshot. Results: ``{root}/totals`` and ``{root}/top``.
+    totals stay in the snapshot. Results: ``{root}/totals``, ``{root}/top`` and ``{root}/top_json``.
     """
     spark = log.sparkSession
     if watermark:
@@ -137,20 +143,26 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
     counts = src.groupBy(day.alias("day"), "area", "city", "ads_id").agg(F.count(F.lit(1)).alias("n"))
     totals = totals_store(spark, root)
     top = top_store(spark, root)
+    top_json = top_json_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("day", "area", "city", "ads_id", "n").persist()
+        ranked = None
         try:
             totals.write_batch(batch, batch_id)
             days = batch_days(batch)
             current = totals.read(before=batch_id + 1, where=F.col("day").isin(days))
-            top.write_batch(ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n"),
-                            batch_id)
+            ranked = ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n").persist()
+            top.write_batch(ranked, batch_id)
+            top_json.write_batch(ads.area_top_ads_json(ranked), batch_id)
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
                 totals.compact(batch_id)
                 top.compact(batch_id)
+                top_json.compact(batch_id)
         finally:
             batch.unpersist()
+            if ranked is not None:
+                ranked.unpersist()
 
     w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
