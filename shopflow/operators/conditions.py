@@ -7,6 +7,7 @@ Values become typed literals; no SQL text is ever built from them.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from functools import reduce
 
@@ -43,14 +44,25 @@ def _all(preds: list[Column]) -> Column | None:
     return reduce(lambda a, b: a & b, preds) if preds else None
 
 
+def _day_text(value: str) -> str:
+    """A request date as canonical ``yyyy-MM-dd`` text (``2024-1-5`` -> ``2024-01-05``)."""
+    y, m, d = (int(x) for x in value.split("-"))
+    return dt.date(y, m, d).isoformat()
+
+
 def action_predicate(params) -> Column | None:
-    """Predicates on action columns: day range (compared as dates) and city."""
+    """Predicates on action columns: day range and city.
+
+    The day column is ``yyyy-MM-dd`` text and is compared as text, as the reference did; with
+    the parameter in the same canonical form this is date order, and a literal text bound
+    reaches the parquet scan as a pushed filter (a cast of the column would not).
+    """
     p = parse_conditions(params)
     preds = []
     if p["startDate"]:
-        preds.append(F.col("date").cast("date") >= F.lit(p["startDate"]).cast("date"))
+        preds.append(F.col("date") >= F.lit(_day_text(p["startDate"])))
     if p["endDate"]:
-        preds.append(F.col("date").cast("date") <= F.lit(p["endDate"]).cast("date"))
+        preds.append(F.col("date") <= F.lit(_day_text(p["endDate"])))
     if p["city"]:
         preds.append(F.col("city_id") == F.lit(int(p["city"])))
     return _all(preds)

@@ -113,7 +113,7 @@ SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_ca
        click_product_id, order_category_ids, order_product_ids, pay_category_ids,
        pay_product_ids, city_id
 FROM uva
-WHERE CAST(date AS DATE) >= DATE '2024-01-05' AND CAST(date AS DATE) <= DATE '2024-01-20'
+WHERE date >= '2024-01-05' AND date <= '2024-01-20'
   AND user_id IN (SELECT user_id FROM users WHERE age >= 20 AND age <= 45 AND gender = 'M')"""
 
 # ---------------------------------------------------------------- sessions
@@ -336,7 +336,7 @@ SQL["ads_kept_events_stream"] = SQL["ads_kept_events"]
 FILTERED_ACTIONS = """,
 actions AS (
   SELECT * FROM uva
-  WHERE CAST(date AS DATE) >= DATE '2024-01-05' AND CAST(date AS DATE) <= DATE '2024-01-20'
+  WHERE date >= '2024-01-05' AND date <= '2024-01-20'
     AND user_id IN (SELECT user_id FROM users WHERE age >= 20 AND age <= 45 AND gender = 'M')
 ),
 timed AS (SELECT *, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS act_ts FROM actions)"""

@@ -223,6 +223,8 @@ def test_g16_blank_parameters(spark):
     assert conditions.filter_actions(df, users, "{}").count() == 2
     assert conditions.filter_actions(df, users, '{"gender": "F", "professionals": "q"}').count() == 1
     assert conditions.filter_actions(df, users, {"startAge": "25", "city": 1}).count() == 1
+    assert conditions.filter_actions(df, users, {"startDate": "2024-1-1", "endDate": "2024-01-1"}).count() == 2
+    assert conditions.filter_actions(df, users, {"startDate": "2024-1-2"}).count() == 0
 
 
 # G17
