@@ -102,23 +102,33 @@ def user_daily(log: DataFrame) -> DataFrame:
     return with_day(log).groupBy("day", "user_id", "ads_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def offending_groups(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+    """(day, user, ad) groups whose click count reaches ``threshold``: a partial + final count,
+    so no event row crosses the network."""
+    return user_daily(log).filter(F.col("n") >= threshold).select("day", "user_id", "ads_id")
+
+
 def blacklist_cutoffs(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """Per listed user, the event that listed it: the earliest event (by ts, seq) that is the
     ``threshold``-th click of some (day, user, ad) (T6, per-event rule).
 
-    ``row_number == threshold`` is a literal limit, so each task keeps at most ``threshold``
-    rows per (day, user, ad) before the shuffle: a hot user or ad does not gather all its
-    events in one task.
+    Only events of offending groups are numbered: the log is first cut to those groups (a
+    semi join against a table that Spark broadcasts when it is small), so the ordered window
+    moves only offenders' events. ``row_number == threshold`` is a literal limit, so each task
+    also keeps at most ``threshold`` rows per group before the shuffle.
     """
+    events = with_day(log).select("day", "user_id", "ads_id", "ts", "seq")
+    candidates = events.join(offending_groups(log, threshold), ["day", "user_id", "ads_id"], "left_semi")
     w = Window.partitionBy("day", "user_id", "ads_id").orderBy("ts", "seq")
-    nth = (with_day(log).select("day", "user_id", "ads_id", "ts", "seq")
-           .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == threshold))
+    nth = candidates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == threshold)
     return nth.groupBy("user_id").agg(F.min(F.struct("ts", "seq")).alias("cut"))
 
 
 def blacklist(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
-    """Users listed for good once one of their (day, ad) counts reaches ``threshold``."""
-    return blacklist_cutoffs(log, threshold).select("user_id")
+    """Users listed for good once one of their (day, ad) counts reaches ``threshold``.
+    Under the per-event rule every event before the listing one passes, so a user is listed
+    exactly when some group's full count reaches the threshold: counts alone decide it."""
+    return offending_groups(log, threshold).select("user_id").distinct()
 
 
 def kept_events(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:

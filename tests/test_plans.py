@@ -25,7 +25,7 @@ def plan(spark, name):
     ("area_top3_products", "WindowGroupLimit"),
     ("top_sessions_per_category", "WindowGroupLimit"),
     ("ads_area_top3", "WindowGroupLimit"),
-    ("ads_blacklist", "WindowGroupLimit"),
+    ("ads_kept_events", "WindowGroupLimit"),
     ("session_sample", "WindowGroupLimit"),
     ("category_top10", "TakeOrderedAndProject"),
     ("top_sessions_per_category", "BroadcastExchange"),
@@ -35,6 +35,11 @@ def test_operator_present(spark, name, op):
     assert op in plan(spark, name)
 
 
+def test_blacklist_needs_counts_only(spark):
+    p = plan(spark, "ads_blacklist")
+    assert "Window" not in p and "partial_count" in p
+
+
 def test_top_k_limited_before_the_shuffle(spark):
     p = plan(spark, "top_sessions_per_category")
     assert "Partial" in p and "Final" in p  # WindowGroupLimit on both sides of the exchange
