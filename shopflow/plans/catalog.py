@@ -296,11 +296,12 @@ def gen_actions(spark, base):
 
 @query
 def ads_kept_events_stream(spark, base):
-    """Event-exact blacklist filter as a stateful stream (per-user state, threshold 3)."""
+    """Event-exact blacklist filter on the stream (threshold 3), read back from its kept events."""
     prepare(spark)
     root = fresh_dir(spark, "ads_kept_events")
-    ads_stream.run_available(ads_stream.start_blacklist_per_event(
-        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True}))
+    ads_stream.run_available(ads_stream.start_blacklist(
+        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True},
+        rule="per_event", keep_events=True))
     kept = ads_stream.kept_events_store(spark, root).read_all()
     return kept.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
                        "area", "city", "user_id", "ads_id")

@@ -90,12 +90,10 @@ def realtime_job(lines: DataFrame, root: str, threshold: int = ads.BLACKLIST_THR
     the daily totals with the top ads, and the last hour, each with its own checkpoint under
     ``root``. Statistics use the unfiltered stream, as the reference did (D14)."""
     log = ads.parse_ads_log(lines)
-    if blacklist_rule == "per_event":
-        black = ads_stream.start_blacklist_per_event(log, f"{root}/blacklist", threshold, trigger)
-    elif blacklist_rule == "per_batch":
-        black = ads_stream.start_blacklist(log, f"{root}/blacklist", threshold, trigger)
-    else:
-        raise ValueError("blacklist_rule is 'per_batch' or 'per_event'")
+    if blacklist_rule == "per_event_state":
+        black = ads_stream.start_blacklist_per_event_state(log, f"{root}/blacklist", threshold, trigger)
+    else:  # "per_batch" (the reference's behaviour) or "per_event"
+        black = ads_stream.start_blacklist(log, f"{root}/blacklist", threshold, trigger, rule=blacklist_rule)
     daily = ads_stream.start_area_city_daily(log, f"{root}/daily", trigger, watermark)
     hour = ads_stream.start_last_hour(log, f"{root}/last_hour", trigger)
     return [black, daily, hour]

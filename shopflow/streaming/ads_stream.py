@@ -17,7 +17,7 @@ resumes from its checkpoint with the same totals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -170,38 +170,75 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
 
 
 # ---------------------------------------------------------------- R7
+KEYS = ["day", "user_id", "ads_id"]
+
+
+def _cutoffs_in_batch(fresh: DataFrame, counts: DataFrame, prev: DataFrame, threshold: int) -> DataFrame:
+    """Per user, the batch event that brings one of its (day, ad) totals to ``threshold``.
+
+    Only groups that cross the threshold in this batch (prior total below it, prior + batch
+    count at or above it) are numbered, so the ordered window moves just their events; the
+    crossing event is the (threshold - prior)-th of the group in this batch."""
+    crossing = (counts.join(prev, KEYS, "left")
+                .withColumn("prior", F.coalesce(F.col("prev"), F.lit(0)))
+                .filter((F.col("prior") < threshold) & (F.col("prior") + F.col("n") >= threshold))
+                .select(*KEYS, (F.lit(threshold) - F.col("prior")).alias("k")))
+    w = Window.partitionBy(*KEYS).orderBy("ts", "seq")
+    nth = (fresh.join(crossing, KEYS).withColumn("_rn", F.row_number().over(w))
+           .filter(F.col("_rn") == F.col("k")))
+    return nth.groupBy("user_id").agg(F.min(F.struct("ts", "seq")).alias("cut"))
+
+
 def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
                     trigger: dict | None = None, keep_events: bool = False,
-                    compact_every: int = 100) -> StreamingQuery:
-    """Per-batch blacklist (T5, T6, T10, F6): the list is re-read at every batch, events of
-    listed users are dropped, the rest counted per (day, user, ad) and added to the totals;
-    a user whose total reaches ``threshold`` is listed for good (all ads and days) from the
-    next batch on. Results: ``{root}/user_daily``, ``{root}/blacklist`` (and the kept events
-    per batch in ``{root}/kept`` when ``keep_events``)."""
+                    compact_every: int = 100, rule: str = "per_batch") -> StreamingQuery:
+    """Blacklist on a stream (T5, T6, T10, F6). At every batch the list is re-read, events of
+    listed users are dropped, the rest counted per (day, user, ad) and added to the totals; a
+    user whose total reaches ``threshold`` is listed for good (all ads and days).
+
+    ``rule="per_batch"`` (the reference's behaviour): a user listed in a batch is dropped from
+    the next batch on, so all of that batch's events pass. ``rule="per_event"``: events of a
+    user after the one that reaches the threshold are dropped already in that batch, which
+    gives the batch ``ads.kept_events`` result whatever the batch boundaries (for events that
+    arrive in time order). Both run on DataFrames only; totals count passed events only.
+    Results: ``{root}/user_daily``, ``{root}/blacklist`` (and passed events per batch in
+    ``{root}/kept`` when ``keep_events``)."""
+    if rule not in ("per_batch", "per_event"):
+        raise ValueError("rule is 'per_batch' or 'per_event'")
     spark = log.sparkSession
     totals = user_daily_store(spark, root)
     listed = blacklist_store(spark, root)
     kept_store = kept_events_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # T11: one read of the batch for several outputs
-        cached = [batch]
+        cached = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            cached.append(df.persist())  # T11: read once, used by several outputs
+            return df
+
         try:
             black = listed.read(before=batch_id)
-            kept = batch.join(black, "user_id", "left_anti")
-            counts = ads.user_daily(kept).persist()
-            cached.append(counts)
+            fresh = keep(ads.with_day(batch).join(black, "user_id", "left_anti"))
+            counts = keep(fresh.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")))
             days = batch_days(counts)
-            prev = totals.read(before=batch_id, where=F.col("day").isin(days)).withColumnRenamed("n", "prev")
-            merged = (counts.join(prev, ["day", "user_id", "ads_id"], "left")
-                      .select("day", "user_id", "ads_id",
-                              (F.col("n") + F.coalesce(F.col("prev"), F.lit(0))).alias("n"))).persist()
-            cached.append(merged)
+            prev = keep(totals.read(before=batch_id, where=F.col("day").isin(days))
+                        .withColumnRenamed("n", "prev"))
+            if rule == "per_event":
+                cut = _cutoffs_in_batch(fresh, counts, prev, threshold)
+                kept = keep(fresh.join(cut, "user_id", "left")
+                            .filter(F.col("cut").isNull() | (F.struct("ts", "seq") <= F.col("cut")))
+                            .drop("cut"))
+                counts = kept.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+            else:
+                kept = fresh
+            merged = keep(counts.join(prev, KEYS, "left")
+                          .select(*KEYS, (F.col("n") + F.coalesce(F.col("prev"), F.lit(0))).alias("n")))
             totals.write_batch(merged, batch_id)
             listed.write_batch(merged.filter(F.col("n") >= threshold).select("user_id").distinct(),
                                batch_id)
             if keep_events:
-                kept_store.write_batch(ads.with_day(kept), batch_id)
+                kept_store.write_batch(kept, batch_id)
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
                 totals.compact(batch_id)
                 listed.compact(batch_id)
@@ -261,11 +298,11 @@ def _per_user_cutoff(threshold: int, keep_days: int | None = None):
     return step
 
 
-def start_blacklist_per_event(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
+def start_blacklist_per_event_state(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
                               trigger: dict | None = None, keep_days: int | None = None) -> StreamingQuery:
-    """Event-exact blacklist (T6 per-event rule, the batch ``ads.kept_events`` semantics): the
-    result does not depend on how events fall into micro-batches, provided they arrive in
-    time order. State per user: the listed flag (kept for good) and counts per (day, ad);
+    """Event-exact blacklist kept in the state store (``applyInPandasWithState`` keyed by user)
+    instead of snapshot tables: the same result as ``start_blacklist(rule="per_event")`` and the
+    batch ``ads.kept_events``, whatever the batch boundaries, for events in time order. State per user: the listed flag (kept for good) and counts per (day, ad);
     ``keep_days`` drops day counts older than that many days before the user's newest day
     (bounded state; an event arriving later than that would start its day from zero, so the
     default keeps all). One group is one user's events of one micro-batch, bounded by the

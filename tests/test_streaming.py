@@ -147,13 +147,21 @@ def test_daily_totals_with_compaction(spark, lines, tmp_root):
     assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
 
 
-@pytest.mark.parametrize("n_files,keep_days", [(1, None), (4, None), (4, 2)])
-def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files, keep_days):
+def _start_per_event(kind, log, root, threshold, keep_days=None):
+    if kind == "frames":
+        return ads_stream.start_blacklist(log, root, threshold=threshold, rule="per_event", keep_events=True,
+                                          trigger={"availableNow": True})
+    return ads_stream.start_blacklist_per_event_state(log, root, threshold=threshold, keep_days=keep_days,
+                                                      trigger={"availableNow": True})
+
+
+@pytest.mark.parametrize("kind,n_files,keep_days", [("frames", 1, None), ("frames", 4, None),
+                                                    ("state", 1, None), ("state", 4, None), ("state", 4, 2)])
+def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, kind, n_files, keep_days):
     src = _local(f"{tmp_root}/src")
     _write_line_files(spark, lines, src, n_files)
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3, keep_days=keep_days,
-                                                                  trigger={"availableNow": True}))
+    ads_stream.run_available(_start_per_event(kind, log, tmp_root, 3, keep_days))
     batch_log = _batch_log(spark, src)
     cols = ["ts", "area", "city", "user_id", "ads_id", "seq"]
     kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
@@ -178,7 +186,8 @@ def test_last_hour_json_stream_and_trigger_clock(spark, lines, tmp_root):
     assert ads_stream.last_hour_store(spark, live).read_latest().count() == 0
 
 
-def test_per_event_counts_carry_across_batches(spark, tmp_root):
+@pytest.mark.parametrize("kind", ["frames", "state"])
+def test_per_event_counts_carry_across_batches(spark, tmp_root, kind):
     src = _local(f"{tmp_root}/src")
     os.makedirs(src)
     t0 = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
@@ -187,8 +196,7 @@ def test_per_event_counts_carry_across_batches(spark, tmp_root):
     with open(os.path.join(src, "b2.txt"), "w") as f:
         f.write(f"{t0 + 10} A c u 1\n{t0 + 11} A c u 1\n{t0 + 12} A c u 2\n")
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(ads_stream.start_blacklist_per_event(log, tmp_root, threshold=3,
-                                                                  trigger={"availableNow": True}))
+    ads_stream.run_available(_start_per_event(kind, log, tmp_root, 3))
     kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
     got = sorted((r.ads_id, r.ts.second, r.ts.microsecond // 1000) for r in kept.collect())
     # the third click on ad 1 (first of batch 2) lists u; later events are dropped
