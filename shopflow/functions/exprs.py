@@ -35,11 +35,6 @@ def csv_ids(c) -> Column:
     return F.filter(F.transform(F.split(col_(c), ","), lambda s: F.trim(s)), lambda s: s != "")
 
 
-def part(c, sep_regex: str, i: int) -> Column:
-    """i-th (0-based) field of a split, null when the text is short."""
-    return F.get(F.split(col_(c), sep_regex), i)
-
-
 def parse_action_time(c, fmt: str = ACTION_TIME_FORMAT) -> Column:
     """Text instant -> timestamp; unparsable text gives null instead of an error."""
     return F.try_to_timestamp(col_(c), F.lit(fmt))
@@ -63,9 +58,3 @@ def sorted_join(items, sep: str = ",") -> Column:
 def json_pairs(arr, key: str, value: str) -> Column:
     """Array of structs -> compact JSON ``[{"k":v},...]``, one object per pair, array order kept."""
     return F.to_json(F.transform(col_(arr), lambda x: F.create_map(x[key].cast("string"), x[value])))
-
-
-def blank_to_null(c) -> Column:
-    """Blank or whitespace-only text -> null (so 'missing', 'null' and '' all mean 'no value')."""
-    c = col_(c)
-    return F.when(F.trim(c) == "", F.lit(None).cast("string")).otherwise(c)

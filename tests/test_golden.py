@@ -262,3 +262,12 @@ def test_area_top_ads_map_and_json(spark):
                   ("area_top3_ads:2024-01-01", "B"): '[{"9":4}]'}
     m = ads.area_top_ads_map(ads.area_top_ads_json(top)).first()
     assert m.date_key == "area_top3_ads:2024-01-01" and set(m.areas) == {"A", "B"}
+
+
+def test_unparsable_action_time_is_rejected_not_counted(spark):
+    rows = [action(1, time="2024-01-01 10:00:00"), action(2, time="2024-01-01 10:00:07"),
+            action(3, time="not a time")]
+    df = actions_df(spark, rows)
+    assert [r.reason for r in sessions.rejected_actions(df).collect()] == ["unparsable action_time"]
+    r = sessions.session_info(df).first()
+    assert (r.step_length, r.visit_length) == (2, 7)
