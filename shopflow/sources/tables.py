@@ -44,8 +44,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    n = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(n) if splits < n else df
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, database: str | None = None,
