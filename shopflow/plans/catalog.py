@@ -242,6 +242,11 @@ def area_city_remark_sql(spark, base):
 # ---------------------------------------------------------------- ad clicks, streaming form
 # The events table is read as a file stream (availableNow), the results are read back from the
 # snapshot folders the streaming jobs wrote (below spark.checkpoint.dir).
+def _cores(spark):
+    """State partitions for the catalogue's streams: one per core (a stream keeps the number)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _ads_stream(spark, base):
     return ads.parse_ads_log(ads_stream.event_lines(spark, base))
 
@@ -251,7 +256,8 @@ def ads_area_city_daily_stream(spark, base):
     prepare(spark)
     root = fresh_dir(spark, "ads_area_city_daily")
     ads_stream.run_available(ads_stream.start_area_city_daily(
-        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+        _ads_stream(spark, base), root, trigger={"availableNow": True},
+        state_partitions=_cores(spark)))
     return ads_stream.totals_store(spark, root).read()
 
 
@@ -260,7 +266,8 @@ def ads_area_top3_stream(spark, base):
     prepare(spark)
     root = fresh_dir(spark, "ads_area_top3")
     ads_stream.run_available(ads_stream.start_area_city_daily(
-        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+        _ads_stream(spark, base), root, trigger={"availableNow": True},
+        state_partitions=_cores(spark)))
     top = ads_stream.top_store(spark, root).read()
     return top.select("day", "area", "ads_id", "n", "rn")
 
@@ -270,7 +277,8 @@ def ads_blacklist_stream(spark, base):
     prepare(spark)
     root = fresh_dir(spark, "ads_blacklist")
     ads_stream.run_available(ads_stream.start_blacklist(
-        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True}))
+        _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True},
+        state_partitions=_cores(spark)))
     return ads_stream.blacklist_store(spark, root).read()
 
 
@@ -279,7 +287,8 @@ def ads_last_hour_stream(spark, base):
     prepare(spark)
     root = fresh_dir(spark, "ads_last_hour")
     ads_stream.run_available(ads_stream.start_last_hour(
-        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+        _ads_stream(spark, base), root, trigger={"availableNow": True},
+        state_partitions=_cores(spark)))
     return ads_stream.last_hour_store(spark, root).read_latest().select("ads_id", "minute", "n")
 
 
@@ -301,7 +310,7 @@ def ads_kept_events_stream(spark, base):
     root = fresh_dir(spark, "ads_kept_events")
     ads_stream.run_available(ads_stream.start_blacklist(
         _ads_stream(spark, base), root, threshold=BLACKLIST_THRESHOLD, trigger={"availableNow": True},
-        rule="per_event", keep_events=True))
+        rule="per_event", keep_events=True, state_partitions=_cores(spark)))
     kept = ads_stream.kept_events_store(spark, root).read_all()
     return kept.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
                        "area", "city", "user_id", "ads_id")
@@ -337,5 +346,6 @@ def ads_area_top3_json_stream(spark, base):
     prepare(spark)
     root = fresh_dir(spark, "ads_area_top3_json")
     ads_stream.run_available(ads_stream.start_area_city_daily(
-        _ads_stream(spark, base), root, trigger={"availableNow": True}))
+        _ads_stream(spark, base), root, trigger={"availableNow": True},
+        state_partitions=_cores(spark)))
     return ads_stream.top_json_store(spark, root).read()

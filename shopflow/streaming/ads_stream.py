@@ -117,15 +117,29 @@ def batch_days(batch: DataFrame) -> list[str]:
     return [r.day for r in batch.select("day").distinct().collect()]
 
 
-def _trigger(writer, trigger: dict | None):
-    # The reference used 5 s micro-batches; tests use availableNow.
-    return writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
+def _start(writer, spark: SparkSession, trigger: dict | None, state_partitions: int | None):
+    """Start a query. T1: the reference used 5 s micro-batches; tests use availableNow.
+
+    ``state_partitions`` sets the shuffle (and state-store) partitions of a query started on a
+    new checkpoint - a stream keeps the number it started with - without changing the caller's
+    session: the query runs on a copy of the session conf taken at start."""
+    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 # ---------------------------------------------------------------- R8 + R9
 def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None,
                           watermark: str | None = None, top_n: int = 3,
-                          compact_every: int = 100) -> StreamingQuery:
+                          compact_every: int = 100,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Running totals per (day, area, city, ad) and the top ``top_n`` ads per (day, area).
 
     Without ``watermark`` the state keeps every key, as the reference did (keys are
@@ -166,7 +180,7 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
 
     w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- R7
@@ -191,7 +205,8 @@ def _cutoffs_in_batch(fresh: DataFrame, counts: DataFrame, prev: DataFrame, thre
 
 def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
                     trigger: dict | None = None, keep_events: bool = False,
-                    compact_every: int = 100, rule: str = "per_batch") -> StreamingQuery:
+                    compact_every: int = 100, rule: str = "per_batch",
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Blacklist on a stream (T5, T6, T10, F6). At every batch the list is re-read, events of
     listed users are dropped, the rest counted per (day, user, ad) and added to the totals; a
     user whose total reaches ``threshold`` is listed for good (all ads and days).
@@ -247,7 +262,7 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
                 df.unpersist()
 
     w = log.writeStream.foreachBatch(process).option("checkpointLocation", f"{root}/checkpoint")
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- R7, event by event
@@ -298,8 +313,10 @@ def _per_user_cutoff(threshold: int, keep_days: int | None = None):
     return step
 
 
-def start_blacklist_per_event_state(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
-                              trigger: dict | None = None, keep_days: int | None = None) -> StreamingQuery:
+def start_blacklist_per_event_state(log: DataFrame, root: str,
+                                    threshold: int = ads.BLACKLIST_THRESHOLD,
+                                    trigger: dict | None = None, keep_days: int | None = None,
+                                    state_partitions: int | None = None) -> StreamingQuery:
     """Event-exact blacklist kept in the state store (``applyInPandasWithState`` keyed by user)
     instead of snapshot tables: the same result as ``start_blacklist(rule="per_event")`` and the
     batch ``ads.kept_events``, whatever the batch boundaries, for events in time order. State per user: the listed flag (kept for good) and counts per (day, ad);
@@ -328,13 +345,14 @@ def start_blacklist_per_event_state(log: DataFrame, root: str, threshold: int =
 
     w = out.writeStream.outputMode("append").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- R10
 def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
                     watermark: str = "60 minutes", minutes: int = 60,
-                    compact_every: int = 100, as_of: str = "newest_event") -> StreamingQuery:
+                    compact_every: int = 100, as_of: str = "newest_event",
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Clicks per (ad, minute) for the last ``minutes`` minutes, refreshed every trigger.
 
     Events are counted once per (ad, minute) in the state store (no copy per sliding window);
@@ -374,7 +392,7 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
 
     w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger, state_partitions)
 
 
 def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:

@@ -213,3 +213,15 @@ def test_daily_totals_with_watermark_equals_batch(spark, lines, tmp_root):
     cols = ["day", "area", "city", "ads_id", "n"]
     got = ads_stream.totals_store(spark, tmp_root).read()
     assert _set(got, cols) == _set(ads.area_city_daily(_batch_log(spark, src)), cols)
+
+
+def test_state_partitions_do_not_leak_into_the_session(spark, lines, tmp_root):
+    src = _local(f"{tmp_root}/src")
+    _write_line_files(spark, lines, src, 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src))
+    ads_stream.run_available(ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True},
+                                                              state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = _local(f"{tmp_root}/checkpoint/state/0")
+    assert sorted(d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
