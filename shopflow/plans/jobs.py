@@ -1,8 +1,8 @@
 """Job-level entry points: the reference's three applications as Spark jobs.
 
 * ``offline_job``  - R1-R5 on one filtered action set (the reference's offline application):
-  actions are filtered once and the session table is built once, both persisted for the
-  several questions that read them; every result is stamped with the run's task id.
+  the session table is built once and persisted for the questions that read it; every result
+  is stamped with the run's task id.
 * ``area_job``     - R6, top products per area with city shares.
 * ``realtime_job`` - R7-R10: three streaming queries on one parsed ad-click stream.
 
@@ -38,18 +38,24 @@ def jdbc_sink(url: str, user: str | None = None, password: str | None = None,
 def offline_job(spark: SparkSession, actions: DataFrame, users: DataFrame, params=None,
                 task_id: str | None = None, sample_size: int = sessions.SAMPLE_SIZE, seed: int = 42,
                 top_n: int = 10, sink: Sink | None = None,
-                storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, DataFrame]:
+                storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                persist_actions: bool = False) -> dict[str, DataFrame]:
     """R1-R5 for one request. Returns the five result tables under the reference's names.
 
-    With a ``sink`` the results are written and the persisted inputs released; without one the
-    caller owns the returned frames (and may ``unpersist`` the inputs, exposed as ``_actions``
-    and ``_sessions``). Persisted blocks lost with an executor are recomputed from the plan,
-    which is deterministic.
+    The session table (one row per session, read by R1 and R2) is persisted. The filtered
+    actions are not by default: each question reads only a few of their columns, and a
+    column-pruned re-scan of parquet costs less than holding every column of every action;
+    ``persist_actions=True`` caches them when they are small or expensive to recompute.
+    With a ``sink`` the results are written and the persisted frames released; without one the
+    caller owns the returned frames (and may ``unpersist`` ``_actions`` and ``_sessions``).
+    Persisted blocks lost with an executor are recomputed from the plan, which is deterministic.
     """
     task_id = task_id or str(uuid.uuid4())
     cond_text = conditions.conditions_json(params)
     flow = conditions.target_flow(params)
-    acts = conditions.filter_actions(actions, users, params).persist(storage_level)
+    acts = conditions.filter_actions(actions, users, params)
+    if persist_actions:
+        acts = acts.persist(storage_level)
     sess = sessions.session_info(acts).persist(storage_level)
     tid = F.lit(task_id).alias("task_id")
 
@@ -70,7 +76,8 @@ def offline_job(spark: SparkSession, actions: DataFrame, users: DataFrame, param
             if not name.startswith("_"):
                 sink(name, df)
         sess.unpersist()
-        acts.unpersist()
+        if persist_actions:
+            acts.unpersist()
     return results
 
 
