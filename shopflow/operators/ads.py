@@ -114,8 +114,9 @@ def blacklist_cutoffs(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> D
 
     Only events of offending groups are numbered: the log is first cut to those groups (a
     semi join against a table that Spark broadcasts when it is small), so the ordered window
-    moves only offenders' events. ``row_number == threshold`` is a literal limit, so each task
-    also keeps at most ``threshold`` rows per group before the shuffle.
+    moves only offenders' events. When the semi join shuffles, its partitioning on
+    (day, user, ad) already serves the window; ``row_number == threshold`` is a literal limit
+    (WindowGroupLimit), so each group stops at its threshold-th row.
     """
     events = with_day(log).select("day", "user_id", "ads_id", "ts", "seq")
     candidates = events.join(offending_groups(log, threshold), ["day", "user_id", "ads_id"], "left_semi")
