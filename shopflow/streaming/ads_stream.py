@@ -79,11 +79,14 @@ def last_hour_store(spark: SparkSession, root: str) -> SnapshotStore:
 
 # ---------------------------------------------------------------- sources (S3)
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
-                options: dict | None = None) -> DataFrame:
+                max_offsets_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
     """Lines from a Kafka topic (value as text) with a unique ``seq`` from (partition, offset).
+    ``max_offsets_per_trigger`` bounds a micro-batch, and with it every per-batch group.
     Needs the Kafka connector on the classpath."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load()
