@@ -95,3 +95,20 @@ def test_bucketed_tables_semi_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE sf_actions_b")
         spark.sql("DROP TABLE sf_users_b")
+
+
+def test_snapshot_reads_prune_day_partitions(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from shopflow.sources.sinks import SnapshotStore
+    store = SnapshotStore(spark, f"{tmp_root}/kv", ["day", "k"], "day string, k string, n long",
+                          partition_by=["day"])
+    rows = [("2024-01-01", "a", 1), ("2024-01-02", "a", 2), ("2024-01-03", "b", 3)]
+    store.write_batch(spark.createDataFrame(rows, "day string, k string, n long"), 0)
+    df = store.read(where=F.col("day").isin(["2024-01-02"]))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    scan = [line for line in buf.getvalue().splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [" in scan and "day" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [tuple(r) for r in df.collect()] == [("2024-01-02", "a", 2)]
