@@ -22,8 +22,18 @@ def _write_line_files(spark, lines, folder, n_files):
     rows = ordered.orderBy("_ms", "value").select("_part", "value").collect()  # test data: 1000 rows
     os.makedirs(folder, exist_ok=True)
     for p in range(1, n_files + 1):
-        with open(os.path.join(folder, f"part-{p:03d}.txt"), "w") as f:
+        path = os.path.join(folder, f"part-{p:03d}.txt")
+        with open(path, "w") as f:
             f.writelines(r.value + "\n" for r in rows if r._part == p)
+        # The file source takes files in modification-time order; files written within the
+        # same millisecond would tie, so give them strictly increasing times (time order).
+        os.utime(path, (1_700_000_000 + p, 1_700_000_000 + p))
+
+
+def _in_order(folder, names):
+    """Strictly increasing modification times, so the file source reads them in this order."""
+    for i, name in enumerate(names, 1):
+        os.utime(os.path.join(folder, name), (1_700_000_000 + i, 1_700_000_000 + i))
 
 
 def _local(path):
@@ -105,6 +115,7 @@ def test_g13_blacklist_per_batch(spark, tmp_root):
     with open(os.path.join(src, "b2.txt"), "w") as f:
         f.write(f"{t0 + 10} A c u 1\n")
         f.write(f"{t0 + 11} A c v 2\n")
+    _in_order(src, ["b1.txt", "b2.txt"])
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     ads_stream.run_available(ads_stream.start_blacklist(log, tmp_root, threshold=2, keep_events=True,
                                                         trigger={"availableNow": True}))
@@ -195,6 +206,7 @@ def test_per_event_counts_carry_across_batches(spark, tmp_root, kind):
         f.write(f"{t0} A c u 1\n{t0 + 1} A c u 1\n{t0 + 2} A c u 2\n")
     with open(os.path.join(src, "b2.txt"), "w") as f:
         f.write(f"{t0 + 10} A c u 1\n{t0 + 11} A c u 1\n{t0 + 12} A c u 2\n")
+    _in_order(src, ["b1.txt", "b2.txt"])
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     ads_stream.run_available(_start_per_event(kind, log, tmp_root, 3))
     kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
