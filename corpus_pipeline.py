@@ -1,2 +1,88 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, mixing, sharding over ``documents``."""
-STAGES = []
+"""The corpus pipeline over ``documents``: quality, near duplicates, decontamination, mixing, sharding.
+
+Every stage is a function ``(spark, docs, sf_dir) -> DataFrame`` over all rows its predecessor kept;
+:func:`run` writes each result as Parquet in the shared folder and reads it back for the next one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shopflow.llm import decontaminate, jaccard_join, mixing, quality, sharding
+from shopflow.llm.store import written
+
+BROADCAST_IDS = 4_000_000
+ORACLE_SQL = None  # a trained classifier and the thresholds it moves have no SQL form
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts 1 for."""
+    cols = docs.columns
+    rows = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id", "text")
+    kept = quality.scored(rows, _table(spark, sf_dir, "labels")).where("predicted = 1")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in cols])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near copies; of repeated rows of one id one.
+    Rows without an id stay unless a document with an id is in their group."""
+    found = written(jaccard_join.near_duplicates(docs).select("doc_id", "component_id"), "near")
+    ids = found.where("doc_id <> component_id").select("doc_id").distinct()
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    out = written(ids.withColumn("why", F.lit("copy")).union(twice.join(ids, "doc_id", "left_anti")
+                                                             .withColumn("why", F.lit("repeat"))), "losers")
+    small = out.count() <= BROADCAST_IDS
+    marked = docs.alias("d").join((F.broadcast(out) if small else out).withColumnRenamed("doc_id", "_id"),
+                                  F.col("d.doc_id") == F.col("_id"), "left").where("why is null or why = 'repeat'")
+    cols = docs.columns
+    if out.where("why = 'repeat'").limit(1).count():
+        once = marked.where("why is null").select(*_columns(docs))
+        marked = once.union(marked.where("why = 'repeat'").select(*_columns(docs)).dropDuplicates(["doc_id"]))
+    if found.where("doc_id is null and component_id is not null").limit(1).count():
+        # Copies without an id of documents that have one, by their text.
+        named = marked.where("doc_id is not null").select(F.xxhash64("text").alias("_t")).distinct()
+        marked = marked.where("doc_id is not null").unionByName(
+            marked.where("doc_id is null").withColumn("_t", F.xxhash64("text")).join(named, "_t", "left_anti").drop("_t"))
+    return marked.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy or edited copy of a benchmark item (decided by text, so rows without
+    an id are judged too)."""
+    keyed = docs.select("text", F.xxhash64("text").alias("key"))
+    bad = written(decontaminate.leaks(keyed, _table(spark, sf_dir, "benchmark"), key="key").select("key").distinct(),
+                  "leaks")
+    bad = bad.withColumnRenamed("key", "_key")
+    if bad.count() <= BROADCAST_IDS:
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.xxhash64(docs["text"]) == F.col("_key"), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: left out, once, or repeated."""
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard."""
+    return sharding.sharded(docs)
+
+
+STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates),
+          ("decontamination", drop_contaminated), ("mixing", mix_sources), ("sharding", shard)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import jaccard_join
+from shopflow.llm import decontaminate, jaccard_join, mixing, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +25,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quality_classifier(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query
+def op6_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")) \
+        .select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op10_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -43,6 +43,9 @@ class _Powers:
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, dtype=np.uint64)
 
+    def __reduce__(self):  # executors fill their own
+        return _Powers, ()
+
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             steps = np.full(max(n, SLICE_BYTES + 64), _R, dtype=np.uint64)
