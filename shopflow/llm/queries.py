@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.llm import decontaminate, jaccard_join, mixing, quality, sharding
+from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pseudo_lm, quality, secrets_crf, sharding,
+                          url_rules, vector_search)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +55,49 @@ def op10_sharding(spark, sf_dir):
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op2_url_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rule_table(spark))
+
+
+SQL["op2_url_rules"] = r"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END r FROM pages),
+q AS (SELECT page_id, coalesce(translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') host,
+             coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') path FROM p),
+rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+m AS (SELECT q.page_id, max_by(struct_pack(rule := h || p, verdict := verdict), length(h || p)) b
+      FROM q JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY 1)
+SELECT q.page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM q LEFT JOIN m USING (page_id)
+"""
+
+
+@query
+def op3_vector_search(spark, sf_dir):
+    return vector_search.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op8_legacy_archives(spark, sf_dir):
+    return archives.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+SQL["op8_legacy_archives"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+h AS (SELECT payload_digest, max(page_id) AS head FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM p LEFT JOIN h USING (payload_digest)
+"""
+
+
+@query
+def op7_pseudo_likelihood(spark, sf_dir):
+    return pseudo_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_secret_scan(spark, sf_dir):
+    return secrets_crf.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
