@@ -13,8 +13,10 @@ words: the whole sequence as one shingle). Steps, each a Spark job over all docu
    single one of its first p. The set size that parts light from heavy minimises the estimated
    cost: subsets to enumerate against list entries times the mean list length (as profiled). Light
    sets that can link to heavy ones are listed in both ways.
-3. *Stars.* Every class of a list is compared with the list's smallest class only, on whole texts.
-   Links give components.
+   An element's place in the set's order bounds the overlap of pairs it could be the first common
+   element of; entries that no set in their list can be linked by are left out.
+3. *Stars.* Every class of a list is compared, on whole texts, with one class only: the one with most
+   list entries, which for edited copies is their original. Links give components.
 4. *Rest.* Lists that still hold several components compare the classes across components (sizes
    permitting), so no link that could join two components is lost, while a list of mutual copies
    never emits its pairs.
@@ -34,12 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.llm.components import components
-from shopflow.llm.store import written
+from shopflow.llm.store import dropped, written
 from shopflow.llm.text import SHINGLE_WORDS, mix64, shingle_sets
 
 HOT_LEAST = 3           # a task reports shingles that so many of its classes hold
 HOT_MOST = 1 << 19      # at most so many common shingles are ordered last (an 8 MB broadcast)
-HOT_KEEP = 1 << 22      # shingles a task keeps before it forgets those seen once
+HOT_KEEP = 1 << 20      # shingles a task keeps before it forgets those seen once
 LIGHT_MOST = 64         # no set above this size is ever light
 BROADCAST_IDS = 4_000_000
 
@@ -138,12 +140,13 @@ def _postings(shingle_words: int, boundary: int, hot_b):
         hot, rank = hot_b.value
         seen: set[int] = set()
         for batch in batches:
-            tokens, owners, sizes = [], [], []
+            tokens, owners, sizes, places = [], [], [], []
 
-            def put(t: np.ndarray, d: int, n: int) -> None:
+            def put(t: np.ndarray, d: int, n: int, at: np.ndarray) -> None:
                 tokens.append(t.view(np.int64))
                 owners.append(np.full(len(t), d, dtype=np.int64))
                 sizes.append(np.full(len(t), n, dtype=np.int32))
+                places.append(at.astype(np.int32))
 
             for _, s in shingle_sets(batch.column(0), shingle_words):
                 n = len(s)
@@ -156,14 +159,15 @@ def _postings(shingle_words: int, boundary: int, hot_b):
                 p = prefix_length(n)
                 first = _ordered(s, hot, rank, p + 1)
                 if 5 * n > 4 * boundary:
-                    put(first[:p], d, n)
+                    put(first[:p], d, n, np.arange(p))
                 if n <= boundary:
                     i, j = np.triu_indices(len(first), 1)
                     lo, hi = np.minimum(first[i], first[j]), np.maximum(first[i], first[j])
-                    put(mix64(lo * _SALT_SUBSET + hi), d, n)
+                    put(mix64(lo * _SALT_SUBSET + hi), d, n, np.zeros(len(lo)))
             if tokens:
                 yield pa.record_batch([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(owners)),
-                                       pa.array(np.concatenate(sizes))], names=["token", "cls", "n"])
+                                       pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))],
+                                      names=["token", "cls", "n", "pos"])
 
     return run
 
@@ -189,6 +193,11 @@ def _verify(shingle_words: int):
     return run
 
 
+def _may_link(n: str, pos: str, m: str, other: str) -> str:
+    """Whether sets of n and m elements can be linked with their first common element at these places."""
+    return f"5 * {n} >= 4 * {m} and 5 * {m} >= 4 * {n} and 9 * least({n} - {pos}, {m} - {other}) >= 4 * ({n} + {m})"
+
+
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: int) -> DataFrame:
     """Pairs of classes (a, b) whose sets reach the similarity, checked on the texts of one document
     per class."""
@@ -201,7 +210,9 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
     j = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b") \
         .select("a", "b", "text_a", "text_b")
-    return written(j.mapInArrow(_verify(shingle_words), "a long, b long"), "linked")
+    linked = written(j.mapInArrow(_verify(shingle_words), "a long, b long"), "linked")
+    dropped(pairs.sparkSession, pairs, need, texts)
+    return linked
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -225,25 +236,37 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     o = np.argsort(hot_keys)
     hot_b = spark.sparkContext.broadcast((hot_keys[o], hot["c"].to_numpy(dtype=np.int64)[o]))
 
-    lists = docs.select("text").mapInArrow(_postings(shingle_words, boundary, hot_b), "token long, cls long, n int") \
-        .repartition("token").groupBy("token", "cls").agg(F.first("n").alias("n"))
-    lists = written(lists.selectExpr("*", "count(*) over (partition by token) c",
-                                     "min(struct(cls, n)) over (partition by token) low")
-                    .where("c > 1").select("token", "cls", "n", "low"), "lists")
-
-    stars = lists.where("cls <> low.cls and 5 * n >= 4 * low.n and 5 * low.n >= 4 * n") \
-        .select(F.col("cls").alias("a"), F.col("low.cls").alias("b")).distinct()
+    lists = docs.select("text").mapInArrow(_postings(shingle_words, boundary, hot_b),
+                                           "token long, cls long, n int, pos int") \
+        .repartition("token").groupBy("token", "cls").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
+    # An element can only be the first common one of a linked pair if what follows it in either set
+    # is enough for the overlap, 4/9 of both sizes; the list's smallest size is the easiest partner.
+    lists = lists.withColumns({"c": F.expr("count(*) over (partition by token)"),
+                               "least": F.expr("min(n) over (partition by token)")}) \
+        .where("c > 1 and 9 * (n - pos) >= 4 * (n + greatest(least, cast(ceil(0.8 * n) as int)))") \
+        .withColumn("c", F.expr("count(*) over (partition by token)")).where("c > 1")
+    lists = written(lists.select("token", "cls", "n", "pos"), "lists")
+    # The class with most list entries is the likeliest to link with the others: the original of
+    # edited copies shares more of its elements than any copy does.
+    degree = lists.groupBy("cls").agg(F.count("*").alias("degree"))
+    hubs = written(lists.join(degree, "cls").selectExpr(
+        "token", "cls", "n", "pos", "max(struct(degree, cls, n, pos)) over (partition by token) hub"), "hubs")
+    dropped(spark, lists)
+    lists = hubs
+
+    stars = lists.where(f"cls <> hub.cls and {_may_link('n', 'pos', 'hub.n', 'hub.pos')}") \
+        .select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()
     links = _linked(stars, reps, docs, shingle_words)
     comp = written(components(links), "stars")
 
     at = lists.join(comp, lists.cls == comp.node, "left") \
-        .select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.col("low.cls").alias("low"))
+        .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"), F.col("hub.cls").alias("hub"))
     at = at.withColumns({"c0": F.expr("min(comp) over (partition by token)"),
                          "c1": F.expr("max(comp) over (partition by token)")}).where("c0 <> c1")
-    at = written(at.select("token", "cls", "n", "comp", "low"), "mixed")
+    at = written(at.select("token", "cls", "n", "pos", "comp", "hub"), "mixed")
     x, y = at.alias("x"), at.alias("y")
-    rest = x.join(y, F.expr("x.token = y.token and x.cls > y.cls and x.comp <> y.comp and y.cls <> x.low "
-                            "and 5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n")) \
+    rest = x.join(y, F.expr("x.token = y.token and x.cls > y.cls and x.comp <> y.comp and x.cls <> x.hub "
+                            f"and y.cls <> x.hub and {_may_link('x.n', 'x.pos', 'y.n', 'y.pos')}")) \
         .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
     more = _linked(rest, reps, docs, shingle_words)
     comp = written(components(links.union(more)), "comps")
