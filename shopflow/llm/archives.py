@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm.store import fresh, written
+from shopflow.llm.store import fresh, small_batches, written
 
 MIN_REVISIT = 1000
 ARC_DATE = "20240101000000"
@@ -305,6 +305,7 @@ def round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) per page, from the WARC files that
     the pages' ARC files were converted to."""
     spark = pages.sparkSession
+    small_batches(spark)
     arc, warc = fresh(spark, "arc"), fresh(spark, "warc")
     write_arc(pages, arc)
     write_warc(spark, arc, warc, min_revisit)

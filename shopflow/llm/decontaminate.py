@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.store import written
-from shopflow.llm.text import hash_spans, mix64, ngrams, slices
+from shopflow.llm.store import small_batches, written
+from shopflow.llm.text import hash_spans, lean, mix64, ngrams, slices
 
 SEED_WORDS = 3
 MIN_SCORE = 0.45
@@ -194,6 +194,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", min_score:
     ``key`` names a long column of ``docs`` beside ``text``; ``end_word`` is where the best
     alignment ends, in words from the document's start."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = int((bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes) + 1
@@ -205,7 +206,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", min_score:
         if not items.words:
             continue
         items_b = spark.sparkContext.broadcast(vars(items))
-        hits = written(docs.mapInArrow(_find(items_b), "key long, seed int"), "hits")
+        hits = written(docs.mapInArrow(lean(_find(items_b)), "key long, seed int"), "hits")
         # At most one row per seed of the block.
         df = hits.groupBy("seed").agg(F.count("*").alias("n")).toPandas()
         held = np.zeros(len(items.seed), dtype=np.int64)
@@ -221,7 +222,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", min_score:
         small = keys.count() <= BROADCAST_KEYS
         rare_b = spark.sparkContext.broadcast(rare)
         near = docs.join(F.broadcast(keys) if small else keys, docs.key.eqNullSafe(keys.key), "left_semi")
-        found = near.mapInArrow(_align(items_b, rare_b, min_score),
+        found = near.mapInArrow(lean(_align(items_b, rare_b, min_score)),
                                 "key long, item_id long, score double, end_word long")
         out = found if out is None else out.union(found)
     if out is None:

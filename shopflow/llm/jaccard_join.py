@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.llm.components import components
-from shopflow.llm.store import dropped, written
-from shopflow.llm.text import SHINGLE_WORDS, mix64, shingle_sets
+from shopflow.llm.store import dropped, small_batches, written
+from shopflow.llm.text import SHINGLE_WORDS, lean, mix64, shingle_sets
 
 HOT_LEAST = 3           # a task reports shingles that so many of its classes hold
 HOT_MOST = 1 << 19      # at most so many common shingles are ordered last (an 8 MB broadcast)
@@ -79,12 +79,12 @@ def _profile(shingle_words: int):
                         seen.add(d)
                         todo.append(s)
                         held += len(s)
+                        if held > HOT_KEEP:
+                            fold()
+                            if len(keys) > HOT_KEEP:
+                                keys, counts = keys[counts > 1], counts[counts > 1]
             yield pa.record_batch([pa.array(np.zeros(len(n), dtype=np.int8)), batch.column(0).cast(pa.int64()),
                                    pa.array(n), pa.array(cls)], names=["kind", "id", "n", "cls"])
-            if held > HOT_KEEP:
-                fold()
-                if len(keys) > HOT_KEEP:
-                    keys, counts = keys[counts > 1], counts[counts > 1]
         if todo:
             fold()
         total, squares = int(counts.sum()), int((counts * counts).sum())
@@ -210,7 +210,7 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
     j = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b") \
         .select("a", "b", "text_a", "text_b")
-    linked = written(j.mapInArrow(_verify(shingle_words), "a long, b long"), "linked")
+    linked = written(j.mapInArrow(lean(_verify(shingle_words)), "a long, b long"), "linked")
     dropped(pairs.sparkSession, pairs, need, texts)
     return linked
 
@@ -218,8 +218,9 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_size) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prof = written(docs.mapInArrow(_profile(shingle_words), "kind byte, id long, n long, cls long"), "profile")
+    prof = written(docs.mapInArrow(lean(_profile(shingle_words)), "kind byte, id long, n long, cls long"), "profile")
     sets = prof.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cls")
     classes = written(sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                              F.count("*").alias("class_size")), "classes")
@@ -236,7 +237,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     o = np.argsort(hot_keys)
     hot_b = spark.sparkContext.broadcast((hot_keys[o], hot["c"].to_numpy(dtype=np.int64)[o]))
 
-    lists = docs.select("text").mapInArrow(_postings(shingle_words, boundary, hot_b),
+    lists = docs.select("text").mapInArrow(lean(_postings(shingle_words, boundary, hot_b)),
                                            "token long, cls long, n int, pos int") \
         .repartition("token").groupBy("token", "cls").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
     # An element can only be the first common one of a linked pair if what follows it in either set

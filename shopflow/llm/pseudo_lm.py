@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.store import written
-from shopflow.llm.text import hash_spans, slices, words
+from shopflow.llm.store import small_batches, written
+from shopflow.llm.text import hash_spans, lean, slices, words
 
 CLASSES, PER_CLASS = 48, 48
 VOCAB = CLASSES * PER_CLASS         # tokens, of which the first RARE are buckets of rare words
@@ -70,7 +70,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vocabulary(docs: DataFrame) -> np.ndarray:
     """Hashes of the VOCAB - RARE most frequent words, most frequent first (counts over all documents)."""
-    counts = docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(lean(_word_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - RARE).toPandas()
     return top["word"].to_numpy(dtype=np.int64).view(np.uint64)
 
@@ -262,7 +262,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, step: int = STEP) -> tuple[np.nda
     top_b, rows = sc.broadcast(top), Model().rows()
     for _ in range(rounds):
         rows_b = sc.broadcast(rows)
-        moves = written(docs.select("text").mapInArrow(_train(top_b, rows_b, step), "at int, n double, w array<double>"), "moves")
+        moves = written(docs.select("text").mapInArrow(lean(_train(top_b, rows_b, step)), "at int, n double, w array<double>"), "moves")
         # Every weight vector moves by the mean of the tasks that met it, weighted by their examples.
         got = moves.repartition("at").mapInArrow(_summed, "at int, w array<double>").toPandas()  # a row per weight vector
         if len(got):
@@ -293,8 +293,9 @@ def _score(top_b, rows_b):
 
 def score(docs: DataFrame, rounds: int = ROUNDS, step: int = STEP) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob) per row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     top, rows = fit(docs, rounds, step)
     sc = docs.sparkSession.sparkContext
-    return docs.mapInArrow(_score(sc.broadcast(top), sc.broadcast(rows)),
+    return docs.mapInArrow(lean(_score(sc.broadcast(top), sc.broadcast(rows))),
                            "doc_id long, n_tokens long, log_prob double, mean_log_prob double")

@@ -20,15 +20,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.text import IS_WORD, hash_spans, mix64, slices
+from shopflow.llm.store import small_batches
+from shopflow.llm.text import IS_WORD, hash_spans, lean, mix64, slices
 
 BUCKET_BITS = 18
-MAX_TRAIN = 20_000
+MAX_TRAIN = 10_000
 EPOCHS = 3
 THRESHOLD = 0.3
 SCALE = 40.0
@@ -62,15 +63,15 @@ def _features(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
                np.concatenate([row, row[two]]))
 
 
-def train(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias. Texts are read in the order given."""
+def train(texts: Iterator[pa.Array], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """Weights and bias. Texts come in pieces and are read in the order given."""
     data: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, rows, bucket, row in _features(texts):
+    for _, rows, bucket, row in (f for piece in texts for f in _features(piece)):
         o = np.argsort(row, kind="stable")
         bucket, cuts = bucket[o], np.searchsorted(row[o], np.arange(rows + 1))
         for r in range(rows):
             i, c = np.unique(bucket[cuts[r]:cuts[r + 1]], return_counts=True)
-            data.append((i, SCALE * c / max(1, c.sum())))
+            data.append((i.astype(np.int32), (SCALE * c / max(1, c.sum())).astype(np.float32)))
     size = 1 << BUCKET_BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
@@ -80,7 +81,7 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np
 
     for _ in range(epochs):
         for (i, x), y in zip(data, labels):
-            i, x = np.append(i, size), np.append(x, 1.0)
+            i, x = np.append(i, size), np.append(x, 1.0).astype(np.float64)
             w = weights(i)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - y) * x
@@ -106,6 +107,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
     """Weights and bias from documents joined with their labels (doc_id, quality)."""
+    small_batches(docs.sparkSession)
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_train)
@@ -114,16 +116,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple
         .select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if not got:
+        t = [b for b in batches if b.num_rows]
+        if not t:
             return
-        t = pa.Table.from_batches(got).sort_by([("h", "ascending"), ("doc_id", "ascending"), ("quality", "ascending")])
-        w, b = train(t.column("text").combine_chunks(), t.column("quality").to_numpy())
+        t = pa.Table.from_batches(t)
+        o = pc.sort_indices(t.select(["h", "doc_id", "quality"]), [("h", "ascending"), ("doc_id", "ascending"), ("quality", "ascending")])
+        w, b = train((t.column("text").take(o.slice(k, 512)) for k in range(0, len(o), 512)), t.column("quality").take(o).to_numpy())
         at = np.flatnonzero(w)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(w[at].astype(np.float64), b))],
                               names=["at", "w"])
 
-    model = rows.repartition(1).mapInArrow(run, "at long, w double").toPandas()  # at most 2**18 + 1 rows
+    model = rows.repartition(1).mapInArrow(lean(run), "at long, w double").toPandas()  # at most 2**18 + 1 rows
     w = np.zeros(1 << BUCKET_BITS, dtype=np.float32)
     at = model["at"].to_numpy()
     w[at[at >= 0]] = model["w"].to_numpy()[at >= 0]
@@ -135,9 +138,9 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """``docs`` with ``score`` and ``predicted``; all other columns as they are."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
 
-    @F.pandas_udf("double")
-    def rate(text):
-        return pd.Series(score(pa.array(text, pa.large_string(), from_pandas=True), *model.value))
+    @F.arrow_udf("double")
+    def rate(text: pa.Array) -> pa.Array:
+        return pa.array(score(text, *model.value))
 
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")]
     out = docs.select(*keep, rate(F.col("text").cast("string")).alias("score"))
@@ -156,5 +159,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                                   names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, score double, predicted int") \
+        .mapInArrow(lean(run), "doc_id long, score double, predicted int") \
         .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

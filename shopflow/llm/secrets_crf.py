@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.store import written
-from shopflow.llm.text import slices
+from shopflow.llm.store import small_batches, written
+from shopflow.llm.text import lean, slices
 
 MAX_TRAIN = 3000
 BUCKETS = 1 << 14
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, np.nda
     """The CRF from at most ``max_train`` texts with candidates, the smallest by hash."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.xxhash64("text").alias("h"))
-    ids = keyed.mapInArrow(_sample(max_train), "doc_id long, h long").select("h").distinct().orderBy("h").limit(max_train)
+    ids = keyed.mapInArrow(lean(_sample(max_train)), "doc_id long, h long").select("h").distinct().orderBy("h").limit(max_train)
     rows = keyed.join(F.broadcast(written(ids, "sample")), "h").dropDuplicates(["h"]).select("h", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +266,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, np.nda
         yield pa.record_batch([pa.array(np.concatenate([at, [-1, -2, -3]])),
                                pa.array(np.concatenate([w[at], trans]).tolist(), pa.list_(pa.float64()))], names=["at", "w"])
 
-    model = rows.repartition(1).mapInArrow(run, "at long, w array<double>").collect()  # at most BUCKETS + 3 rows
+    model = rows.repartition(1).mapInArrow(lean(run), "at long, w array<double>").collect()  # at most BUCKETS + 3 rows
     w, trans = np.zeros((BUCKETS, 3)), np.zeros((3, 3))
     w[:, B] = -1.0  # without training everything is outside
     for at, row in model:
@@ -314,7 +314,8 @@ def _scan(model_b):
 
 def scan(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_crf) per row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     model_b = docs.sparkSession.sparkContext.broadcast(fit(docs, max_train))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(_scan(model_b), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
+        .mapInArrow(lean(_scan(model_b)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
                                     "spans string, n_crf long")

@@ -8,6 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows and bytes of an Arrow batch between Spark and a Python worker. Whole texts travel in them, so
+# the defaults (10000 rows) would let a few long documents fill a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, where they are larger."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if now is not None and (not now.isdigit() or not 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder. A local session that names none gets a folder of its own (tests); on a
     cluster a missing setting is an error, as executors do not share local folders."""

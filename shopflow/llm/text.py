@@ -7,6 +7,7 @@ of text bytes (or one document, if that alone is longer), so memory does not fol
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def lean(run):
+    """A map over Arrow batches that hands the memory it has freed back to the system when its partition is
+    done. Spark keeps Python workers between tasks, and what their allocators hold on to adds up."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.up = _POWERS.down = np.ones(1, dtype=np.uint64)
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 class _Powers:
     """r**i and r**-i mod 2**64 for i below the longest slice seen."""
 
@@ -63,15 +82,14 @@ def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int,
     """(first row, row count, bytes, offsets) of consecutive slices; nulls count as empty texts."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    if not pa.types.is_large_string(col.type) and not pa.types.is_large_binary(col.type):
-        col = col.cast(pa.large_binary() if pa.types.is_binary(col.type) else pa.large_string())
     if col.null_count:
-        col = pc.fill_null(col, b"" if pa.types.is_large_binary(col.type) else "")
+        col = pc.fill_null(col, b"" if pa.types.is_large_binary(col.type) or pa.types.is_binary(col.type) else "")
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
     n = len(col)
     if n == 0:
         return
     buffers = col.buffers()
-    off = np.frombuffer(buffers[1], dtype=np.int64)[col.offset:col.offset + n + 1]
+    off = np.frombuffer(buffers[1], dtype=np.int64 if wide else np.int32)[col.offset:col.offset + n + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None else _BYTE[:0]
     i = 0
     while i < n:
