@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.llm.components import components
-from shopflow.llm.store import dropped, small_batches, written
+from shopflow.llm.store import collected, dropped, small_batches, written
 from shopflow.llm.text import SHINGLE_WORDS, lean, mix64, shingle_sets
 
 HOT_LEAST = 3           # a task reports shingles that so many of its classes hold
@@ -205,8 +205,9 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
     need = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
                    .join(reps, "cls").select("cls", "doc_id"), "need")
     small = need.count() <= BROADCAST_IDS
-    texts = written(docs.join(F.broadcast(need) if small else need, "doc_id").select("cls", "text")
-                    .dropDuplicates(["cls"]), "texts")
+    texts = written(docs.join(F.broadcast(need) if small else need, "doc_id").select("cls", "text"), "texts")
+    if texts.count() > need.count():  # repeated ids; otherwise the texts need no shuffle
+        texts = written(texts.dropDuplicates(["cls"]), "texts")
     j = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b") \
         .select("a", "b", "text_a", "text_b")
@@ -247,6 +248,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
         .where("c > 1 and 9 * (n - pos) >= 4 * (n + greatest(least, cast(ceil(0.8 * n) as int)))") \
         .withColumn("c", F.expr("count(*) over (partition by token)")).where("c > 1")
     lists = written(lists.select("token", "cls", "n", "pos"), "lists")
+    collected(spark)
     # The class with most list entries is the likeliest to link with the others: the original of
     # edited copies shares more of its elements than any copy does.
     degree = lists.groupBy("cls").agg(F.count("*").alias("degree"))
@@ -258,6 +260,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     stars = lists.where(f"cls <> hub.cls and {_may_link('n', 'pos', 'hub.n', 'hub.pos')}") \
         .select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()
     links = _linked(stars, reps, docs, shingle_words)
+    collected(spark)
     comp = written(components(links), "stars")
 
     at = lists.join(comp, lists.cls == comp.node, "left") \
@@ -270,6 +273,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
                             f"and y.cls <> x.hub and {_may_link('x.n', 'x.pos', 'y.n', 'y.pos')}")) \
         .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
     more = _linked(rest, reps, docs, shingle_words)
+    collected(spark)
     comp = written(components(links.union(more)), "comps")
 
     labelled = classes.join(comp, classes.cls == comp.node, "left") \

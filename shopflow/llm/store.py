@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -59,3 +60,10 @@ def dropped(spark: SparkSession, *frames: DataFrame) -> None:
             if root.lstrip("/") in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
+
+
+def collected(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more: it does so when the
+    driver collects garbage, which a driver with a large heap may not do for hours."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
