@@ -21,7 +21,7 @@ TOP_ADS = 3
 # ---------------------------------------------------------------- S4: text line -> record
 def _fields(value: Column) -> Column:
     # Trailing blanks carry no fields (as with Java's split), inner empty fields are kept.
-    return F.split(F.regexp_replace(value, " +$", ""), " ")
+    return F.split(F.rtrim(value), " ")
 
 
 def parse_ads_log(lines: DataFrame, value: str = "value", seq: str | None = "seq") -> DataFrame:

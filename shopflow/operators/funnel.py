@@ -26,9 +26,9 @@ def _flow(flow) -> list[int]:
 
 
 def flow_jumps(flow) -> list[str]:
-    """``a_b`` labels of consecutive flow pages."""
+    """``a_b`` labels of consecutive flow pages (L5); a hop that the flow repeats is listed once."""
     pages = _flow(flow)
-    return [f"{a}_{b}" for a, b in zip(pages[:-1], pages[1:])]
+    return list(dict.fromkeys(f"{a}_{b}" for a, b in zip(pages[:-1], pages[1:])))
 
 
 def page_visit_counts(actions: DataFrame, flow) -> DataFrame:

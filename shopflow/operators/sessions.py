@@ -82,11 +82,11 @@ def session_info(actions: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS)
     lvl1 = a.groupBy("session_id", "chunk").agg(
         F.min("action_ts").alias("t0"), F.max("action_ts").alias("t1"),
         F.count(F.lit(1)).alias("n"),
-        *[sorted_join(F.collect_list(mk())).alias(name) for name, mk in _LISTS.items()])
+        *[F.when(F.count(mk()) > 0, sorted_join(F.collect_list(mk()))).alias(name) for name, mk in _LISTS.items()])
 
     def chunks_joined(name: str) -> Column:
         parts = F.array_sort(F.collect_list(F.struct(F.col("chunk"), F.col(name).alias("v"))))
-        return F.array_join(F.filter(F.transform(parts, lambda x: x["v"]), lambda s: s != ""), ",")
+        return F.array_join(F.transform(parts, lambda x: x["v"]), ",")  # chunks without items are null: skipped
 
     lvl2 = lvl1.groupBy("session_id").agg(
         F.min("t0").alias("start_ts"), F.max("t1").alias("end_ts"),

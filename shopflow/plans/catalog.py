@@ -48,7 +48,7 @@ def area_top3_products(spark, base):
 
 
 # ---------------------------------------------------------------- parameters and base frames
-# Request used by ``filtered_actions`` (every field kind of the reference's condition JSON).
+# Request used by ``filtered_actions``: dates, ages and gender.
 FILTER_PARAMS = {"startDate": "2024-01-05", "endDate": "2024-01-20", "startAge": "20",
                  "endAge": "45", "gender": "M"}
 TASK_ID = "task-1"
@@ -292,17 +292,6 @@ def ads_last_hour_stream(spark, base):
     return ads_stream.last_hour_store(spark, root).read_latest().select("ads_id", "minute", "n")
 
 
-# ---------------------------------------------------------------- generator (rows-only check)
-@query
-def gen_actions(spark, base):
-    """One synthetic session per order: the generator's volume follows the ``orders`` table."""
-    prepare(spark)
-    from shopflow.sources import datagen
-    from shopflow.sources.tables import read_table, spread
-    return datagen.gen_actions(spread(read_table(spark, "orders", base).select("o_orderkey")),
-                               key="o_orderkey", seed=42)
-
-
 @query
 def ads_kept_events_stream(spark, base):
     """Event-exact blacklist filter on the stream (threshold 3), read back from its kept events."""
@@ -319,7 +308,7 @@ def ads_kept_events_stream(spark, base):
 # ---------------------------------------------------------------- request options
 @query
 def session_ratio_stats_filtered(spark, base):
-    """R1 for a request with every filter kind (dates, ages, gender)."""
+    """R1 for a request with dates, ages and gender."""
     prepare(spark)
     return sessions.session_ratio_stats(sessions.session_stats(_actions(spark, base, FILTER_PARAMS)),
                                         TASK_ID, conditions.conditions_json(FILTER_PARAMS))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.sources.tables import read_table, spread
+from shopflow.sources.tables import read_table
 
 
 def _k() -> Column:
@@ -18,8 +18,8 @@ def _k() -> Column:
 
 
 def events(spark: SparkSession, base: str) -> DataFrame:
-    """The fact table, fanned out when it arrives in fewer splits than cores (see ``spread``)."""
-    return spread(read_table(spark, "events", base))
+    """The fact table."""
+    return read_table(spark, "events", base)
 
 
 def user_visit_action(spark: SparkSession, base: str) -> DataFrame:

@@ -45,7 +45,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Ids of the ``batch_id=N`` folders under ``path`` (a listing, no Spark job)."""
+    """Ids of the committed ``batch_id=N`` folders under ``path`` (a listing, no Spark job). A folder is
+    committed once Spark's job commit has put ``_SUCCESS`` into it; what an unfinished or running
+    write leaves is not seen."""
     if not path_exists(spark, path):
         return []
     jvm = spark.sparkContext._jvm
@@ -54,11 +56,17 @@ def batch_ids(spark: SparkSession, path: str) -> list[int]:
     ids = []
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("batch_id="):
+        if status.isDirectory() and name.startswith("batch_id=") and \
+                fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
             ids.append(int(name.split("=", 1)[1]))
     return sorted(ids)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class SnapshotStore:
     """Keyed result table fed by ``foreachBatch``.
 
@@ -67,7 +75,8 @@ class SnapshotStore:
     replaces its own output instead of adding to it (idempotent by batch id). Readers see the
     newest row per key (``upsert``, S7) or only the newest batch (``replace``, S8). Reads made
     while processing batch ``b`` pass ``before=b`` and so never see a half-written attempt of b.
-    ``compact`` folds the history into one full snapshot; later reads start from it.
+    ``compact`` folds the history into one full snapshot; later reads start from it. Only committed
+    folders are read, and a committed full snapshot is never written again.
 
     ``partition_by`` (e.g. the day) lays each batch folder out by that key, so a reader that
     passes ``where`` on it (the days a micro-batch touches) scans only those partitions.
@@ -106,36 +115,34 @@ class SnapshotStore:
         r = self.spark.read
         return r.schema(f"{self.schema}, batch_id long") if self.schema else r
 
-    def _deltas(self) -> DataFrame | None:
-        return self._reader().parquet(self.path) if path_exists(self.spark, self.path) else None
-
-    def _history(self, before: int | None, where=None) -> DataFrame | None:
-        """Newest full snapshot older than ``before`` plus the deltas after it."""
-        deltas = self._deltas()
-        if before is not None and deltas is not None:
-            deltas = deltas.filter(F.col("batch_id") < before)
-        if where is not None and deltas is not None:
-            deltas = deltas.filter(where)
-        fulls = [b for b in batch_ids(self.spark, self.full_path) if before is None or b < before]
-        if not fulls:
-            return deltas
-        m = fulls[-1]
-        snap = self._reader().parquet(self.full_path).filter(F.col("batch_id") == m)
-        if where is not None:
-            snap = snap.filter(where)
-        if deltas is None:
-            return snap
-        return snap.unionByName(deltas.filter(F.col("batch_id") > m))
+    def _folders(self, path: str, ids: list[int]) -> DataFrame | None:
+        if not ids:
+            return None
+        return self._reader().option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in ids])
+
+    def _deltas(self, after: int = -1, before: int | None = None) -> DataFrame | None:
+        """Committed batches with ``after`` < id < ``before``."""
+        return self._folders(self.path, [b for b in batch_ids(self.spark, self.path)
+                                         if b > after and (before is None or b < before)])
+
+    def _history(self, before: int | None, where=None, full_before: int | None = None) -> DataFrame | None:
+        """Newest full snapshot older than ``before`` (and ``full_before``) plus the deltas after it."""
+        fulls = [b for b in batch_ids(self.spark, self.full_path)
+                 if (before is None or b < before) and (full_before is None or b < full_before)]
+        m = fulls[-1] if fulls else -1
+        parts = [p if where is None else p.filter(where)
+                 for p in (self._folders(self.full_path, fulls[-1:]), self._deltas(m, before)) if p is not None]
+        return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0] if parts else None
 
     def _empty(self) -> DataFrame:
         if self.schema is None:
             raise ValueError(f"no data under {self.path} and no schema given")
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, before: int | None = None, where=None) -> DataFrame:
+    def read(self, before: int | None = None, where=None, full_before: int | None = None) -> DataFrame:
         """Newest row per key (upsert semantics); ``where`` filters before the merge (use it on
         ``partition_by`` columns for partition pruning)."""
-        df = self._history(before, where)
+        df = self._history(before, where, full_before)
         if df is None:
             return self._empty()
         values = [c for c in df.columns if c not in self.keys and c != "batch_id"]
@@ -154,14 +161,29 @@ class SnapshotStore:
         ids = batch_ids(self.spark, self.path)
         if not ids:
             return self._empty()
-        return self._deltas().filter(F.col("batch_id") == ids[-1]).drop("batch_id")
+        return self._folders(self.path, ids[-1:]).drop("batch_id")
 
     def compact(self, batch_id: int, keep=None) -> None:
         """Fold everything up to and including ``batch_id`` into one full snapshot; later reads
         start from it. Call from the batch function after the batch's own write, e.g. every
         N batches, so reads stay proportional to the live keys instead of the history.
-        ``keep`` (a Column predicate) drops rows no reader needs any more."""
-        current = self.read(before=int(batch_id) + 1)
-        if keep is not None:
-            current = current.filter(keep)
-        self._write(current, f"{self.full_path}/batch_id={int(batch_id)}")
+        ``keep`` (a Column predicate) drops rows no reader needs any more.
+
+        The base is a full snapshot strictly older than ``batch_id``; if this one is committed already
+        (the batch runs again) nothing is written. Folders that the previous full snapshot already
+        covers are removed, so readers of the last compaction are not disturbed and the listing
+        stays as long as two compaction intervals."""
+        batch_id = int(batch_id)
+        fulls = batch_ids(self.spark, self.full_path)
+        if batch_id not in fulls:
+            current = self.read(before=batch_id + 1, full_before=batch_id)
+            if keep is not None:
+                current = current.filter(keep)
+            self._write(current, f"{self.full_path}/batch_id={batch_id}")
+        older = [b for b in fulls if b < batch_id]
+        if older:
+            for b in older[:-1]:
+                remove(self.spark, f"{self.full_path}/batch_id={b}")
+            for b in batch_ids(self.spark, self.path):
+                if b <= older[-1]:
+                    remove(self.spark, f"{self.path}/batch_id={b}")

@@ -27,31 +27,6 @@ def read_bound(spark: SparkSession, name: str, schema, base: str | None = None,
     return bind(read_table(spark, name, base, database), schema)
 
 
-SPREAD_PARTITIONS = 8
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Fan out a batch scan that yields very few partitions.
-
-    A small table stored as one parquet row group is read by one task, and every per-row
-    expression after it (parsing, text building) then runs on one core. A scan with fewer than
-    ``min_partitions`` splits (default: the default parallelism, at most 8) is dealt
-    round-robin to that many partitions. Each split holds at most
-    ``spark.sql.files.maxPartitionBytes``, so this moves at most 8 splits' worth of data, and
-    any larger input is returned unchanged - no shuffle is added at scale. Round-robin
-    repartitioning sorts rows first (``spark.sql.execution.sortBeforeRepartition``), so a
-    retried task gets the same rows.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        n = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(n) if splits < n else df
-
-
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, database: str | None = None,
                    sort_by: list[str] | None = None) -> None:
     """Store ``df`` as a managed table bucketed (and optionally sorted) on ``key``.

@@ -352,14 +352,24 @@ def start_blacklist_per_event_state(log: DataFrame, root: str,
 
 
 # ---------------------------------------------------------------- R10
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(interval: str) -> float:
+    """Seconds of a watermark such as ``90 minutes``."""
+    n, unit = interval.split()
+    return float(n) * _UNIT_SECONDS[unit.rstrip("s")]
+
+
 def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
-                    watermark: str = "60 minutes", minutes: int = 60,
+                    watermark: str | None = None, minutes: int = 60,
                     compact_every: int = 100, as_of: str = "newest_event",
                     state_partitions: int | None = None) -> StreamingQuery:
     """Clicks per (ad, minute) for the last ``minutes`` minutes, refreshed every trigger.
 
     Events are counted once per (ad, minute) in the state store (no copy per sliding window);
-    the watermark evicts minutes that can no longer fall in the last hour. Each batch upserts
+    the watermark (``minutes`` unless a longer one is given; a shorter one is refused) evicts minutes
+    that can no longer fall in the window. Each batch upserts
     the changed minute counts and replaces the result with the ``minutes`` minutes ending at
     ``as_of``: the newest event's minute (``"newest_event"``, reproducible) or the trigger's
     wall-clock minute (``"trigger"``, a live dashboard; D17). Results: ``{root}/last_hour``
@@ -368,6 +378,9 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
     if as_of not in ("newest_event", "trigger"):
         raise ValueError("as_of is 'newest_event' or 'trigger'")
     spark = log.sparkSession
+    watermark = watermark or f"{minutes} minutes"
+    if _seconds(watermark) < 60 * minutes:
+        raise ValueError(f"a watermark of {watermark} drops events inside the last {minutes} minutes")
     counts = (log.withWatermark("ts", watermark)
               .groupBy("ads_id", F.window("ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
@@ -398,11 +411,8 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
     return _start(w, spark, trigger, state_partitions)
 
 
-def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to drain its input; re-raise its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming query did not finish in time")
+def run_available(query: StreamingQuery) -> None:
+    """Wait for an ``availableNow`` query to drain its input, however long; re-raise its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

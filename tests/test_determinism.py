@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 QUERIES = ["session_info", "session_sample", "top_sessions_per_category", "page_jump_counts",
-           "ads_kept_events", "area_top3_products", "gen_actions"]
+           "ads_kept_events", "area_top3_products"]
 
 
 def _rows(df):

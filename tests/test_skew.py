@@ -29,7 +29,7 @@ def skewed(spark):
         t = t0 + dt.timedelta(seconds=rnd.randrange(0, 2 * 86400 if hot else 4000))
         kind = rnd.choice(["search", "click", "order", "pay", "none"])
         rows.append((t.strftime("%Y-%m-%d"), 1, sess, rnd.randrange(1, 8), t.strftime("%Y-%m-%d %H:%M:%S"),
-                     f"w{rnd.randrange(5)}" if kind == "search" else None,
+                     ("" if eid % 4 == 0 else f"w{rnd.randrange(5)}") if kind == "search" else None,
                      rnd.randrange(1, 20) if kind == "click" else -1,
                      rnd.randrange(1, 50) if kind == "click" else -1,
                      "1,2" if kind == "order" else None, f"{eid},{eid + 1}" if kind == "order" else None,
