@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from shopflow.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
@@ -46,7 +47,7 @@ def test_top_k_limited_before_the_shuffle(spark):
 
 
 def test_no_python_in_batch_plans(spark):
-    for name in entry.queries():
+    for name in QUERIES:
         if name.endswith("_stream") or name == "area_city_remark_sql":
             continue
         p = plan(spark, name)
