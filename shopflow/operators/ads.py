@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.functions.exprs import json_pairs
+from shopflow.functions.exprs import json_pairs, time_chunk
 
 BLACKLIST_THRESHOLD = 10000
 TOP_ADS = 3
@@ -108,20 +108,36 @@ def offending_groups(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> Da
     return user_daily(log).filter(F.col("n") >= threshold).select("day", "user_id", "ads_id")
 
 
-def blacklist_cutoffs(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+GROUP = ["day", "user_id", "ads_id"]
+CHUNK_SECONDS = 60
+
+
+def threshold_events(events: DataFrame, threshold: int, prior: DataFrame | None = None,
+                     chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Per (day, user, ad) the event that brings its count to ``threshold`` (``ts``, ``seq``), counting on
+    from ``prev`` of ``prior``. Clicks are counted per (group, time chunk), partially before the
+    shuffle; running sums over those counts (at most a day's chunks a group) name the chunk that holds
+    the event, and only that chunk's events are ordered, so no task sorts a whole busy group."""
+    keyed = events.select(*GROUP, "ts", "seq", time_chunk("ts", chunk_seconds).alias("_chunk"))
+    chunks = keyed.groupBy(*GROUP, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*GROUP).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunks = chunks.withColumn("_total", F.sum("_n").over(w))
+    if prior is not None:
+        chunks = (chunks.join(prior, GROUP, "left")
+                  .withColumn("_total", F.col("_total") + F.coalesce("prev", F.lit(0))).drop("prev"))
+    before = F.col("_total") - F.col("_n")
+    crossing = (chunks.filter((before < threshold) & (F.col("_total") >= threshold))
+                .select(*GROUP, "_chunk", (F.lit(threshold) - before).alias("_k")))
+    wn = Window.partitionBy(*GROUP, "_chunk").orderBy("ts", "seq")
+    return (keyed.join(crossing, [*GROUP, "_chunk"]).withColumn("_rn", F.row_number().over(wn))
+            .filter(F.col("_rn") == F.col("_k")).select(*GROUP, "ts", "seq"))
+
+
+def blacklist_cutoffs(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
+                      chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Per listed user, the event that listed it: the earliest event (by ts, seq) that is the
-    ``threshold``-th click of some (day, user, ad) (T6, per-event rule).
-
-    Only events of offending groups are numbered: the log is first cut to those groups (a
-    semi join against a table that Spark broadcasts when it is small), so the ordered window
-    moves only offenders' events. When the semi join shuffles, its partitioning on
-    (day, user, ad) already serves the window; ``row_number == threshold`` is a literal limit
-    (WindowGroupLimit), so each group stops at its threshold-th row.
-    """
-    events = with_day(log).select("day", "user_id", "ads_id", "ts", "seq")
-    candidates = events.join(offending_groups(log, threshold), ["day", "user_id", "ads_id"], "left_semi")
-    w = Window.partitionBy("day", "user_id", "ads_id").orderBy("ts", "seq")
-    nth = candidates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == threshold)
+    ``threshold``-th click of some (day, user, ad) (T6, per-event rule)."""
+    nth = threshold_events(with_day(log), threshold, chunk_seconds=chunk_seconds)
     return nth.groupBy("user_id").agg(F.min(F.struct("ts", "seq")).alias("cut"))
 
 
@@ -156,18 +172,17 @@ def last_hour(log: DataFrame, as_of=None, minutes: int = 60) -> DataFrame:
     """Clicks per (ad, minute) over the ``minutes`` whole minutes ending at ``as_of``'s minute
     (D16, D17). ``as_of`` defaults to the newest event time.
 
-    The newest time is fetched as one value (a small job reading only the ``ts`` column) and
-    the window applied as literal bounds: literals reach the parquet scan as pushed filters and
-    skip every row group outside the hour, which a scalar subquery in the filter would not.
+    With ``as_of`` the log is cut to the window before it is counted. Without, one pass counts every
+    (ad, minute), and the newest minute of those counts (a scalar subquery) bounds the result.
     """
-    if as_of is None:
-        as_of = log.agg(F.max("ts")).first()[0]
-        if as_of is None:  # empty log
-            return last_hour_from_minutes(minute_counts(log))
-    end = F.lit(as_of).cast("timestamp")
-    start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), F.date_trunc("minute", end))
-    recent = log.filter((F.col("ts") >= start) & (F.col("ts") <= end))
-    return last_hour_from_minutes(minute_counts(recent))
+    if as_of is not None:
+        end = F.lit(as_of).cast("timestamp")
+        start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), F.date_trunc("minute", end))
+        return last_hour_from_minutes(minute_counts(log.filter((F.col("ts") >= start) & (F.col("ts") <= end))))
+    counts = minute_counts(log)
+    newest = counts.select(F.max("minute_ts")).scalar()
+    return last_hour_from_minutes(
+        counts.filter(F.col("minute_ts") >= F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), newest)))
 
 
 def last_hour_from_minutes(counts: DataFrame) -> DataFrame:
@@ -196,10 +211,10 @@ def sliding_counts(log: DataFrame, size: str = "60 minutes", slide: str = "10 mi
 
     When ``slide`` divides ``size``, events are first counted per slide-long pane and each pane
     count is then added to its size/slide windows, instead of copying every event into each
-    window it belongs to.
+    window it belongs to. A stream counts per window of its watermarked ``ts``.
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
-    if size_s % slide_s != 0:
+    if size_s % slide_s != 0 or log.isStreaming:  # a stream needs the window column to carry its watermark
         g = log.groupBy(F.window("ts", size, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
         return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
     step_ms = slide_s * 1000

@@ -52,9 +52,8 @@ def city_remark(cities_col, total_col, n: int = 2, other_label: str = OTHER_LABE
     return F.array_join(F.concat(labels, F.coalesce(other, F.array().cast("array<string>"))), ",")
 
 
-def area_city_remark(actions: DataFrame, cities: DataFrame, n: int = 2,
-                     other_label: str = OTHER_LABEL) -> DataFrame:
-    """Per (area, product): click count and the city-share remark (A10, L2).
+def area_cities(actions: DataFrame, cities: DataFrame) -> DataFrame:
+    """Per (area, product): click count and the unsorted list of its cities with their counts (A10).
 
     Counted per city first (partial aggregation before the shuffle), so the collected list per
     (area, product) holds at most one entry per city, whatever the click volume.
@@ -62,9 +61,15 @@ def area_city_remark(actions: DataFrame, cities: DataFrame, n: int = 2,
     per_city = (area_clicks(actions, cities)
                 .groupBy("area", "click_product_id", "city_name")
                 .agg(F.count(F.lit(1)).alias("c")))
-    grouped = (per_city.groupBy("area", "click_product_id")
-               .agg(F.sum("c").alias("clickcount"),
-                    F.collect_list(F.struct("c", "city_name")).alias("cities")))
+    return (per_city.groupBy("area", "click_product_id")
+            .agg(F.sum("c").alias("clickcount"),
+                 F.collect_list(F.struct("c", "city_name")).alias("cities")))
+
+
+def area_city_remark(actions: DataFrame, cities: DataFrame, n: int = 2,
+                     other_label: str = OTHER_LABEL) -> DataFrame:
+    """Per (area, product): click count and the city-share remark (A10, L2)."""
+    grouped = area_cities(actions, cities)
     return grouped.select("area", "click_product_id", "clickcount",
                           city_remark("cities", "clickcount", n, other_label).alias("city_remark"))
 
@@ -74,12 +79,13 @@ def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame
     """Top ``n`` products per area by clicks, ties kept (``rank``), then named.
 
     The rank is computed before the product join, as in the reference: a product missing from
-    ``products`` uses up its rank and then drops out.
+    ``products`` uses up its rank and then drops out. City lists are sorted and worded only for
+    the products that stay.
     """
-    counted = area_city_remark(actions, cities, other_label=other_label)
+    counted = area_cities(actions, cities)
     w = Window.partitionBy("area").orderBy(F.col("clickcount").desc())
     ranked = counted.withColumn("rk", F.rank().over(w)).filter(F.col("rk") <= n)
     named = ranked.join(products.select(F.col("product_id").alias("click_product_id"), "product_name"),
                         "click_product_id")
     return named.select("area", "product_name", "clickcount", F.col("rk").cast("long").alias("rk"),
-                        "city_remark")
+                        city_remark("cities", "clickcount", other_label=other_label).alias("city_remark"))

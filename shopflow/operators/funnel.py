@@ -10,12 +10,12 @@ first action of the session's next chunk through a small window over one row per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.functions.exprs import percent, time_chunk
+from shopflow.functions.exprs import parse_action_time, percent, time_chunk
 from shopflow.operators.conditions import target_flow
-from shopflow.operators.sessions import DEFAULT_CHUNK_SECONDS, with_action_ts
+from shopflow.operators.sessions import DEFAULT_CHUNK_SECONDS, tiebreak_col, with_action_ts
 
 
 def _flow(flow) -> list[int]:
@@ -25,10 +25,15 @@ def _flow(flow) -> list[int]:
     return pages
 
 
-def flow_jumps(flow) -> list[str]:
-    """``a_b`` labels of consecutive flow pages (L5); a hop that the flow repeats is listed once."""
+def flow_hops(flow) -> list[tuple[int, int]]:
+    """Consecutive pages of the flow; a hop that the flow repeats is listed once."""
     pages = _flow(flow)
-    return list(dict.fromkeys(f"{a}_{b}" for a, b in zip(pages[:-1], pages[1:])))
+    return list(dict.fromkeys(zip(pages[:-1], pages[1:])))
+
+
+def flow_jumps(flow) -> list[str]:
+    """``a_b`` labels of the flow's hops."""
+    return [f"{a}_{b}" for a, b in flow_hops(flow)]
 
 
 def page_visit_counts(actions: DataFrame, flow) -> DataFrame:
@@ -60,36 +65,50 @@ def page_hops(actions: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) ->
     return inner.unionByName(across)
 
 
+def flow_counts(actions: DataFrame, flow, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Per target hop: ``page_jump``, ``from_page``, ``n`` (times it happened, 0 included) and ``visits``
+    of its first page (L5, F3, F5, A7, A8). One pass: actions are ordered once per (session, chunk) and
+    folded, in the same partitioning, to one row per chunk with its hop and visit counters and its
+    border pages; only those rows are ordered per session, to count the hops across chunks.
+    Actions whose time does not parse count as visits and make no hop."""
+    hops = flow_hops(flow)
+    starts = list(dict.fromkeys(x for x, _ in hops))
+    a = (actions.withColumn("action_ts", parse_action_time("action_time")).withColumn("_tb", tiebreak_col(actions))
+         .select("session_id", "page_id", "action_ts", "_tb")
+         .withColumn("chunk", time_chunk("action_ts", chunk_seconds)))
+    w = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "_tb")
+    page, timed = F.col("page_id"), F.col("action_ts").isNotNull()
+    marked = (a.withColumn("_next", F.lead("page_id").over(w)).withColumn("_more", F.lead(F.lit(True)).over(w))
+              .withColumn("_pos", F.row_number().over(w)))
+    chunks = marked.groupBy("session_id", "chunk").agg(
+        F.max(F.when(timed & (F.col("_pos") == 1), page)).alias("_first"),
+        F.max(F.when(timed & F.col("_more").isNull(), page)).alias("_last"),
+        *[F.count_if(timed & (page == x) & (F.col("_next") == y)).alias(f"h{i}") for i, (x, y) in enumerate(hops)],
+        *[F.count_if(page == x).alias(f"v{i}") for i, x in enumerate(starts)])
+    wc = Window.partitionBy("session_id").orderBy("chunk")
+    timed_chunk = F.col("chunk").isNotNull()
+    total = chunks.withColumn("_over", F.when(timed_chunk, F.lead("_first").over(wc))).agg(
+        *[F.sum(F.col(f"h{i}") + F.when((F.col("_last") == x) & (F.col("_over") == y), 1).otherwise(0)).alias(f"h{i}")
+          for i, (x, y) in enumerate(hops)],
+        *[F.sum(f"v{i}").alias(f"v{i}") for i in range(len(starts))])
+    zero = F.lit(0).cast("long")
+    return total.select(F.inline(F.array(*[
+        F.struct(F.lit(f"{x}_{y}").alias("page_jump"), F.lit(x).cast("long").alias("from_page"),
+                 F.coalesce(f"h{i}", zero).alias("n"), F.coalesce(f"v{starts.index(x)}", zero).alias("visits"))
+        for i, (x, y) in enumerate(hops)])))
+
+
 def page_jump_counts(actions: DataFrame, flow, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Count of each target hop ``a_b`` (F5, A8). Hops that never happen are absent."""
-    pages = _flow(flow)
-    jumps = flow_jumps(pages)
-    hops = (page_hops(actions, chunk_seconds)
-            .filter(F.col("from_page").isin(pages[:-1]) & F.col("to_page").isin(pages[1:]))
-            .select(F.concat_ws("_", F.col("from_page").cast("string"),
-                                F.col("to_page").cast("string")).alias("page_jump"),
-                    F.col("from_page")))
-    return (hops.filter(F.col("page_jump").isin(jumps))
-            .groupBy("page_jump", "from_page").agg(F.count(F.lit(1)).alias("n")))
+    return flow_counts(actions, flow, chunk_seconds).filter(F.col("n") > 0).select("page_jump", "from_page", "n")
 
 
 def page_convert_rate(actions: DataFrame, flow, include_zero: bool = False,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                      spark: SparkSession | None = None) -> DataFrame:
-    """Conversion rate per target hop (J6, C10). Both inputs have at most len(flow) rows.
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Conversion rate per target hop (J6, C10), from one pass over the actions.
 
     ``include_zero=True`` adds hops that never happen with rate 0.0 (D12).
     """
-    pages = _flow(flow)
-    jumps = page_jump_counts(actions, pages, chunk_seconds)
-    visits = page_visit_counts(actions, pages).select(F.col("page_id").alias("from_page"),
-                                                      F.col("n").alias("visits"))
-    rate = percent("n", "visits", 1)
-    if not include_zero:
-        return jumps.join(visits, "from_page").select("page_jump", rate.alias("rate"))
-    spark = spark or actions.sparkSession
-    wanted = spark.createDataFrame([(j, int(j.split("_")[0])) for j in flow_jumps(pages)],
-                                   "page_jump string, from_page long")
-    full = (wanted.join(jumps.drop("from_page"), "page_jump", "left")
-            .join(visits, "from_page", "left"))
-    return full.select("page_jump", F.coalesce(F.when(F.col("visits") > 0, rate), F.lit(0.0)).alias("rate"))
+    counts = flow_counts(actions, flow, chunk_seconds)
+    counts = counts if include_zero else counts.filter(F.col("n") > 0)
+    return counts.select("page_jump", percent("n", "visits", 1).alias("rate"))

@@ -135,7 +135,10 @@ def session_hour_quota(sessions: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
     quota = floor(n_hour / n_all * k), capped at n_hour (D4: no repeats). The total is a
     scalar subquery over the (small) hour table - no global window, no cross join.
     """
-    hours = sessions.groupBy(_day_hour(sessions).alias("day_hour")).agg(F.count(F.lit(1)).alias("n_sessions"))
+    return _quota(sessions.groupBy(_day_hour(sessions).alias("day_hour")).agg(F.count(F.lit(1)).alias("n_sessions")), k)
+
+
+def _quota(hours: DataFrame, k: int) -> DataFrame:
     total = hours.select(F.sum("n_sessions")).scalar()
     quota = F.floor(F.col("n_sessions").cast("double") / total.cast("double") * F.lit(float(k)))
     return hours.select("day_hour", "n_sessions",
@@ -146,13 +149,19 @@ def sample_sessions(sessions: DataFrame, k: int = SAMPLE_SIZE, seed: int = 42) -
     """Seeded sample without replacement, proportional to sessions per start hour.
 
     Inside an hour, sessions are ordered by md5(session_id || seed) and the first ``quota``
-    kept. ``row_number <= k`` is a literal limit (every quota is <= k), so Spark plans a
-    partial WindowGroupLimit before the shuffle: a crowded hour ships at most k rows per task.
+    kept. The order is cut by the hash's first three digits: sessions are counted per (hour, prefix),
+    running sums over those counts name the prefixes the quota reaches into, and only their sessions
+    are joined and ordered, each prefix on its own. No task holds a crowded hour, whatever ``k``.
     """
-    quota = session_hour_quota(sessions, k).select("day_hour", "quota")
-    h = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
-    w = Window.partitionBy("day_hour").orderBy("_h", "session_id")
-    ranked = (sessions.withColumn("day_hour", _day_hour(sessions)).withColumn("_h", h)
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k))
-    return (ranked.join(quota, "day_hour").filter(F.col("_rn") <= F.col("quota"))
-            .drop("_h", "_rn", "quota"))
+    named = (sessions.withColumn("day_hour", _day_hour(sessions))
+             .withColumn("_h", F.md5(F.concat(F.col("session_id"), F.lit(str(seed)))))
+             .withColumn("_cell", F.substring("_h", 1, 3)))
+    cells = named.groupBy("day_hour", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    quota = _quota(cells.groupBy("day_hour").agg(F.sum("_n").alias("n_sessions")), k).select("day_hour", "quota")
+    w = Window.partitionBy("day_hour").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (cells.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).join(quota, "day_hour")
+               .withColumn("_left", F.col("quota") - F.col("_before")).filter(F.col("_left") > 0)
+               .select("day_hour", "_cell", "_left"))
+    wc = Window.partitionBy("day_hour", "_cell").orderBy("_h", "session_id")
+    return (named.join(reached, ["day_hour", "_cell"]).withColumn("_rn", F.row_number().over(wc))
+            .filter(F.col("_rn") <= F.col("_left")).drop("_h", "_cell", "_rn", "_left"))

@@ -1,7 +1,8 @@
 """The query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per question / operator.
 
 Every callable reads the given tables in full (through the views of ``sources/fixtures.py``)
-and returns a lazy DataFrame whose column names equal the oracle's (``plans/oracle.py``).
+and returns a DataFrame whose column names equal the oracle's (``plans/oracle.py``). Batch queries
+are lazy; the streaming ones (``*_stream``, ``*_replay``) run while the frame is built.
 """
 
 from __future__ import annotations
@@ -235,7 +236,7 @@ def ads_sliding_counts(spark, base):
 @query
 def area_city_remark_sql(spark, base):
     prepare(spark)
-    from shopflow.functions.city_remark_udaf import area_city_remark_sql as via_sql
+    from shopflow.functions.city_remark import area_city_remark_sql as via_sql
     return via_sql(spark, fx.user_visit_action(spark, base), fx.city_info(spark, base))
 
 
@@ -338,3 +339,95 @@ def ads_area_top3_json_stream(spark, base):
         _ads_stream(spark, base), root, trigger={"availableNow": True},
         state_partitions=_cores(spark)))
     return ads_stream.top_json_store(spark, root).read()
+
+
+# ---------------------------------------------------------------- request text, rejects, repeated hops, maps
+REQUEST_TEXT = '{"professionals": "BUILDING", "city": "7", "startAge": "", "gender": null}'
+
+
+@query
+def session_ratio_stats_request(spark, base):
+    """R1 for a request given as JSON text, by profession and city (blank and null fields: no filter)."""
+    prepare(spark)
+    return sessions.session_ratio_stats(sessions.session_stats(_actions(spark, base, REQUEST_TEXT)),
+                                        TASK_ID, conditions.conditions_json(REQUEST_TEXT))
+
+
+@query
+def page_convert_rate_repeat(spark, base):
+    """R5 for a flow that repeats a hop: listed once."""
+    prepare(spark)
+    return funnel.page_convert_rate(_actions(spark, base), "1,2,1,2", include_zero=True)
+
+
+def _spoilt_lines(spark, base):
+    """The ad lines of all events, every 97th without its last field, every 89th with a time that is no number."""
+    lines, seq = fx.ads_lines(spark, base), F.col("seq")
+    value = (F.when(seq % 97 == 0, F.regexp_replace("value", " [^ ]*$", ""))
+             .when(seq % 89 == 0, F.concat(F.lit("x"), F.col("value"))).otherwise(F.col("value")))
+    return lines.select(value.alias("value"), "seq")
+
+
+@query
+def ads_log_rejects(spark, base):
+    """Lines that do not parse, with the reason."""
+    prepare(spark)
+    return ads.parse_ads_log_with_rejects(_spoilt_lines(spark, base))[1]
+
+
+@query
+def ads_area_top3_map(spark, base):
+    """Per day the map of areas to their top list (A15), its entries in area order as text."""
+    prepare(spark)
+    top = ads.area_top_ads(ads.area_city_daily(_ads_log(spark, base)), n=3)
+    entries = F.array_sort(F.map_entries("areas"))
+    return ads.area_top_ads_map(ads.area_top_ads_json(top)).select(
+        "date_key", F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+        .alias("areas"))
+
+
+@query
+def ads_area_city_daily_kept(spark, base):
+    """Daily totals of the events that pass the blacklist (D14, ``exclude_blacklisted``)."""
+    prepare(spark)
+    return ads.area_city_daily(ads.kept_events(_ads_log(spark, base), BLACKLIST_THRESHOLD))
+
+
+# ---------------------------------------------------------------- streams in several batches
+@query
+def ads_sliding_counts_stream(spark, base):
+    prepare(spark)
+    root = fresh_dir(spark, "ads_sliding")
+    ads_stream.run_available(ads_stream.start_sliding_counts(
+        _ads_stream(spark, base), root, trigger={"availableNow": True}, state_partitions=_cores(spark)))
+    return ads_stream.sliding_store(spark, root).read().select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "ads_id", "n")
+
+
+def _replayed(spark, base, name, start, **options):
+    prepare(spark)
+    root = fresh_dir(spark, name)
+    ads_stream.replay(spark, base, root, lambda log: start(
+        log, root, trigger={"availableNow": True}, state_partitions=_cores(spark), **options))
+    return root
+
+
+@query
+def ads_blacklist_replay(spark, base):
+    """All events in three time-ordered batches: the list is re-read and totals carried on."""
+    root = _replayed(spark, base, "ads_blacklist", ads_stream.start_blacklist, threshold=BLACKLIST_THRESHOLD)
+    return ads_stream.blacklist_store(spark, root).read()
+
+
+@query
+def ads_area_city_daily_replay(spark, base):
+    """All events in three time-ordered batches: state and stored totals carried on."""
+    root = _replayed(spark, base, "ads_area_city_daily", ads_stream.start_area_city_daily)
+    return ads_stream.totals_store(spark, root).read()
+
+
+@query
+def ads_last_hour_replay(spark, base):
+    """All events in three time-ordered batches: the last result replaces the others."""
+    root = _replayed(spark, base, "ads_last_hour", ads_stream.start_last_hour)
+    return ads_stream.last_hour_store(spark, root).read_latest().select("ads_id", "minute", "n")

@@ -4,7 +4,7 @@
   the session table is built once and persisted for the questions that read it; every result
   is stamped with the run's task id.
 * ``area_job``     - R6, top products per area with city shares.
-* ``realtime_job`` - R7-R10: three streaming queries on one parsed ad-click stream.
+* ``realtime_job`` - R7-R10 and rejected lines: four streaming queries on one parsed ad-click stream.
 
 Results are DataFrames; a ``sink(name, df)`` callable writes them (``table_sink`` replaces
 managed tables, ``jdbc_sink`` appends to JDBC tables as the reference did).
@@ -40,7 +40,8 @@ def offline_job(spark: SparkSession, actions: DataFrame, users: DataFrame, param
                 top_n: int = 10, sink: Sink | None = None,
                 storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
                 persist_actions: bool = False) -> dict[str, DataFrame]:
-    """R1-R5 for one request. Returns the five result tables under the reference's names.
+    """R1-R5 for one request. Returns the five result tables under the reference's names, and
+    the actions whose time does not parse (``rejected_actions``).
 
     The session table (one row per session, read by R1 and R2) is persisted. The filtered
     actions are not by default: each question reads only a few of their columns, and a
@@ -69,6 +70,7 @@ def offline_job(spark: SparkSession, actions: DataFrame, users: DataFrame, param
         "top10_session_per_top10_cid": categories.top_sessions_per_category(acts, top, top_n)
         .select(tid, "category_id", "session_id", "click_count"),
         "page_convert_rate": funnel.page_convert_rate(acts, flow).select(tid, "page_jump", "rate"),
+        "rejected_actions": sessions.rejected_actions(acts).select(tid, *acts.columns, "reason"),
     }
     results["_actions"], results["_sessions"] = acts, sess
     if sink is not None:
@@ -94,13 +96,11 @@ def realtime_job(lines: DataFrame, root: str, threshold: int = ads.BLACKLIST_THR
                  trigger: dict | None = None, watermark: str | None = None,
                  blacklist_rule: str = "per_batch") -> list:
     """R7-R10 on one stream of ad-click lines (``value`` and ``seq`` columns): the blacklist,
-    the daily totals with the top ads, and the last hour, each with its own checkpoint under
-    ``root``. Statistics use the unfiltered stream, as the reference did (D14)."""
-    log = ads.parse_ads_log(lines)
-    if blacklist_rule == "per_event_state":
-        black = ads_stream.start_blacklist_per_event_state(log, f"{root}/blacklist", threshold, trigger)
-    else:  # "per_batch" (the reference's behaviour) or "per_event"
-        black = ads_stream.start_blacklist(log, f"{root}/blacklist", threshold, trigger, rule=blacklist_rule)
+    the daily totals with the top ads, the last hour and the lines that do not parse, each with its
+    own checkpoint under ``root``. Statistics use the unfiltered stream, as the reference did (D14)."""
+    log, rejected = ads.parse_ads_log_with_rejects(lines)
+    # "per_batch" (the reference's behaviour) or "per_event"
+    black = ads_stream.start_blacklist(log, f"{root}/blacklist", threshold, trigger, rule=blacklist_rule)
     daily = ads_stream.start_area_city_daily(log, f"{root}/daily", trigger, watermark)
     hour = ads_stream.start_last_hour(log, f"{root}/last_hour", trigger)
-    return [black, daily, hour]
+    return [black, daily, hour, ads_stream.start_rejects(rejected, f"{root}/rejects", trigger)]

@@ -361,3 +361,44 @@ SQL["category_bottom10"] = _with(UVA, ACTIONS, CATS) + """
 SELECT * FROM catcounts
 ORDER BY click_count, order_count, pay_count, category_id LIMIT 10"""
 SQL["ads_area_top3_json_stream"] = SQL["ads_area_top3_json"]
+
+# ---------------------------------------------------------------- request text, rejects, repeated hops, maps
+SQL["session_ratio_stats_request"] = _with(UVA, FILTERED_ACTIONS.replace("""date >= '2024-01-05' AND date <= '2024-01-20'
+    AND user_id IN (SELECT user_id FROM users WHERE age >= 20 AND age <= 45 AND gender = 'M')""", """city_id = 7
+    AND user_id IN (SELECT user_id FROM users WHERE professional = 'BUILDING')"""), SESSIONS) + f"""
+SELECT 'task-1' AS task_id,
+       '{{"city": "7", "endAge": null, "endDate": null, "gender": null, "professionals": "BUILDING", "startAge": null, "startDate": null, "targetPageFlow": null}}' AS conditions,
+       session_count,
+       {_ratio('visit_length_le_10s')}, {_ratio('visit_length_gt_10s')},
+       {_ratio('step_length_le_5')}, {_ratio('step_length_gt_5')}
+FROM counts"""
+
+SQL["page_convert_rate_repeat"] = _with(UVA, ACTIONS, _funnel([1, 2, 1, 2])) + """
+SELECT w.page_jump,
+       coalesce(CASE WHEN v.n > 0 THEN CAST(floor(CAST(j.n AS DOUBLE) / CAST(v.n AS DOUBLE) * 1000.0 + 0.5) / 10.0 AS DOUBLE) END,
+                CAST(0.0 AS DOUBLE)) AS rate
+FROM (VALUES ('1_2', 1), ('2_1', 2)) AS w(page_jump, from_page)
+LEFT JOIN jumps j ON j.page_jump = w.page_jump
+LEFT JOIN visits v ON v.page_id = w.from_page"""
+
+SQL["ads_log_rejects"] = _with(UVA, ADS) + """
+SELECT CASE WHEN seq % 97 = 0 THEN concat_ws(' ', epoch_ms(ts), area, city, user_id)
+            ELSE 'x' || concat_ws(' ', epoch_ms(ts), area, city, user_id, ads_id) END AS value,
+       CASE WHEN seq % 97 = 0 THEN 'fewer than 5 fields' ELSE 'time is not a number' END AS reason,
+       CAST(seq AS BIGINT) AS seq
+FROM adslog WHERE seq % 97 = 0 OR seq % 89 = 0"""
+
+SQL["ads_area_top3_map"] = f"""
+SELECT date_key, string_agg(area || '=' || top3_json, ';' ORDER BY area) AS areas
+FROM ({SQL["ads_area_top3_json"]}) GROUP BY date_key"""
+
+SQL["ads_area_city_daily_kept"] = _with(UVA, ADS, ADS_AGG) + """
+SELECT l.day, l.area, l.city, l.ads_id, CAST(count(*) AS BIGINT) AS n
+FROM adsday l LEFT JOIN cut c ON l.user_id = c.user_id
+WHERE c.cts IS NULL OR l.ts < c.cts OR (l.ts = c.cts AND l.seq <= c.cseq)
+GROUP BY ALL"""
+
+SQL["ads_sliding_counts_stream"] = SQL["ads_sliding_counts"]
+SQL["ads_blacklist_replay"] = SQL["ads_blacklist"]
+SQL["ads_area_city_daily_replay"] = SQL["ads_area_city_daily"]
+SQL["ads_last_hour_replay"] = SQL["ads_last_hour"]

@@ -83,12 +83,13 @@ class SnapshotStore:
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str | None = None,
-                 partition_by: list[str] | None = None):
+                 partition_by: list[str] | None = None, rows_per_file: int = 1_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
         self.partition_by = list(partition_by or [])
+        self.rows_per_file = int(rows_per_file)
 
     # -- writing
     def _write(self, df: DataFrame, folder: str) -> None:
@@ -98,10 +99,12 @@ class SnapshotStore:
         w.parquet(folder)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        # A batch's changes are small: one writer per partition value keeps it to one file each
-        # (without this every task writes a file into every day it holds).
+        """Write a batch's changed rows (pass a persisted frame to a partitioned store: it is counted
+        first). Rows are laid out by partition value and key hash, one file for every
+        ``rows_per_file`` rows, so a batch of one day is written by many tasks."""
         if self.partition_by:
-            df = df.repartition(*self.partition_by)
+            pieces = -(-max(df.count(), 1) // self.rows_per_file)
+            df = df.repartition(*self.partition_by, F.pmod(F.xxhash64(*self.keys), F.lit(pieces)))
         self._write(df, f"{self.path}/batch_id={int(batch_id)}")
 
     # -- reading
@@ -125,13 +128,16 @@ class SnapshotStore:
         return self._folders(self.path, [b for b in batch_ids(self.spark, self.path)
                                          if b > after and (before is None or b < before)])
 
-    def _history(self, before: int | None, where=None, full_before: int | None = None) -> DataFrame | None:
+    def _history(self, before: int | None, where=None, full_before: int | None = None,
+                 only: DataFrame | None = None) -> DataFrame | None:
         """Newest full snapshot older than ``before`` (and ``full_before``) plus the deltas after it."""
         fulls = [b for b in batch_ids(self.spark, self.full_path)
                  if (before is None or b < before) and (full_before is None or b < full_before)]
         m = fulls[-1] if fulls else -1
         parts = [p if where is None else p.filter(where)
                  for p in (self._folders(self.full_path, fulls[-1:]), self._deltas(m, before)) if p is not None]
+        if only is not None:
+            parts = [p.join(only, only.columns, "left_semi") for p in parts]
         return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0] if parts else None
 
     def _empty(self) -> DataFrame:
@@ -139,10 +145,11 @@ class SnapshotStore:
             raise ValueError(f"no data under {self.path} and no schema given")
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, before: int | None = None, where=None, full_before: int | None = None) -> DataFrame:
+    def read(self, before: int | None = None, where=None, full_before: int | None = None,
+             only: DataFrame | None = None) -> DataFrame:
         """Newest row per key (upsert semantics); ``where`` filters before the merge (use it on
-        ``partition_by`` columns for partition pruning)."""
-        df = self._history(before, where, full_before)
+        ``partition_by`` columns for partition pruning), ``only`` keeps the key values it lists."""
+        df = self._history(before, where, full_before, only)
         if df is None:
             return self._empty()
         values = [c for c in df.columns if c not in self.keys and c != "batch_id"]
@@ -156,9 +163,9 @@ class SnapshotStore:
         df = self._deltas()
         return self._empty() if df is None else df.drop("batch_id")
 
-    def read_latest(self) -> DataFrame:
-        """Rows of the newest batch only (replace semantics)."""
-        ids = batch_ids(self.spark, self.path)
+    def read_latest(self, before: int | None = None) -> DataFrame:
+        """Rows of the newest batch (below ``before``) only (replace semantics)."""
+        ids = [b for b in batch_ids(self.spark, self.path) if before is None or b < before]
         if not ids:
             return self._empty()
         return self._folders(self.path, ids[-1:]).drop("batch_id")

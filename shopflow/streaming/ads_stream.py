@@ -1,12 +1,13 @@
 """Structured Streaming wiring of the realtime questions.
 
-Three independent streaming queries on the same parsed input, each with its own checkpoint:
+Independent streaming queries on the same parsed input, each with its own checkpoint:
 
 * ``start_area_city_daily`` - running clicks per (day, area, city, ad) kept in the state store,
   emitted in ``update`` mode and upserted into a keyed snapshot; the same micro-batch then
   recomputes the top ads of the days it touched (R8, R9).
 * ``start_blacklist``       - per micro-batch: drop listed users (list re-read every batch),
   count per (day, user, ad), upsert totals, list users whose total reaches the threshold (R7).
+* ``start_sliding_counts``  - clicks per sliding window and ad with a watermark (T8).
 * ``start_last_hour``       - clicks per (ad, minute) with a watermark, then the last 60 minutes
   per trigger, replacing the previous result (R10).
 
@@ -17,7 +18,7 @@ resumes from its checkpoint with the same totals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,7 +30,7 @@ TOTALS_SCHEMA = "day string, area string, city string, ads_id string, n long"
 TOP_SCHEMA = "day string, area string, rn long, ads_id string, n long"
 USER_DAILY_SCHEMA = "day string, user_id string, ads_id string, n long"
 BLACKLIST_SCHEMA = "user_id string"
-MINUTES_SCHEMA = "ads_id string, minute_ts timestamp, n long"
+MINUTES_SCHEMA = "ads_id string, minute_ts timestamp, n long, day string"
 LAST_HOUR_SCHEMA = "ads_id string, minute string, hh_mm string, n long"
 
 
@@ -59,7 +60,8 @@ def blacklist_store(spark: SparkSession, root: str) -> SnapshotStore:
 
 
 def minutes_store(spark: SparkSession, root: str) -> SnapshotStore:
-    return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA)
+    return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA,
+                         partition_by=["day"])
 
 
 def last_hour_json_store(spark: SparkSession, root: str) -> SnapshotStore:
@@ -77,6 +79,15 @@ def last_hour_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/last_hour", ["ads_id", "minute"], LAST_HOUR_SCHEMA)
 
 
+def rejects_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/rejects", ["seq"], "value string, reason string, seq long")
+
+
+def sliding_store(spark: SparkSession, root: str) -> SnapshotStore:
+    return SnapshotStore(spark, f"{root}/sliding", ["window_start", "ads_id"],
+                         "window_start timestamp, window_end timestamp, ads_id string, n long")
+
+
 # ---------------------------------------------------------------- sources (S3)
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                 max_offsets_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
@@ -114,10 +125,12 @@ def event_lines(spark: SparkSession, base: str, max_files_per_trigger: int | Non
     return fx.ads_lines(spark, base, events_df=stream)
 
 
-def batch_days(batch: DataFrame) -> list[str]:
-    """Days present in a micro-batch: a handful of values (a batch spans seconds), used to
-    prune the day-partitioned snapshots to what the batch can change."""
-    return [r.day for r in batch.select("day").distinct().collect()]
+def of_batch_days(store: SnapshotStore, batch: DataFrame, before: int) -> DataFrame:
+    """Rows of a day-partitioned store for the days of a (persisted) micro-batch. First and last day
+    prune the folders; a semi join keeps the days in between that the batch holds."""
+    first, last = batch.agg(F.min("day"), F.max("day")).first()
+    span = F.col("day").between(first, last) if first is not None else F.lit(False)
+    return store.read(before=before, where=span, only=batch.select("day").filter(span).distinct())
 
 
 def _start(writer, spark: SparkSession, trigger: dict | None, state_partitions: int | None):
@@ -167,8 +180,7 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
         ranked = None
         try:
             totals.write_batch(batch, batch_id)
-            days = batch_days(batch)
-            current = totals.read(before=batch_id + 1, where=F.col("day").isin(days))
+            current = of_batch_days(totals, batch, batch_id + 1)
             ranked = ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n").persist()
             top.write_batch(ranked, batch_id)
             top_json.write_batch(ads.area_top_ads_json(ranked), batch_id)
@@ -187,23 +199,7 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
 
 
 # ---------------------------------------------------------------- R7
-KEYS = ["day", "user_id", "ads_id"]
-
-
-def _cutoffs_in_batch(fresh: DataFrame, counts: DataFrame, prev: DataFrame, threshold: int) -> DataFrame:
-    """Per user, the batch event that brings one of its (day, ad) totals to ``threshold``.
-
-    Only groups that cross the threshold in this batch (prior total below it, prior + batch
-    count at or above it) are numbered, so the ordered window moves just their events; the
-    crossing event is the (threshold - prior)-th of the group in this batch."""
-    crossing = (counts.join(prev, KEYS, "left")
-                .withColumn("prior", F.coalesce(F.col("prev"), F.lit(0)))
-                .filter((F.col("prior") < threshold) & (F.col("prior") + F.col("n") >= threshold))
-                .select(*KEYS, (F.lit(threshold) - F.col("prior")).alias("k")))
-    w = Window.partitionBy(*KEYS).orderBy("ts", "seq")
-    nth = (fresh.join(crossing, KEYS).withColumn("_rn", F.row_number().over(w))
-           .filter(F.col("_rn") == F.col("k")))
-    return nth.groupBy("user_id").agg(F.min(F.struct("ts", "seq")).alias("cut"))
+KEYS = ads.GROUP
 
 
 def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -239,11 +235,10 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
             black = listed.read(before=batch_id)
             fresh = keep(ads.with_day(batch).join(black, "user_id", "left_anti"))
             counts = keep(fresh.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")))
-            days = batch_days(counts)
-            prev = keep(totals.read(before=batch_id, where=F.col("day").isin(days))
-                        .withColumnRenamed("n", "prev"))
+            prev = keep(of_batch_days(totals, counts, batch_id).withColumnRenamed("n", "prev"))
             if rule == "per_event":
-                cut = _cutoffs_in_batch(fresh, counts, prev, threshold)
+                cut = (ads.threshold_events(fresh, threshold, prev)
+                       .groupBy("user_id").agg(F.min(F.struct("ts", "seq")).alias("cut")))
                 kept = keep(fresh.join(cut, "user_id", "left")
                             .filter(F.col("cut").isNull() | (F.struct("ts", "seq") <= F.col("cut")))
                             .drop("cut"))
@@ -268,87 +263,33 @@ def start_blacklist(log: DataFrame, root: str, threshold: int = ads.BLACKLIST_TH
     return _start(w, spark, trigger, state_partitions)
 
 
-# ---------------------------------------------------------------- R7, event by event
-KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id string, ads_id string, seq long, "
-               "day string, lists_user boolean")
-PER_USER_STATE = "listed boolean, groups array<string>, counts array<long>"
-
-
-def _per_user_cutoff(threshold: int, keep_days: int | None = None):
-    """Stateful step per user and micro-batch: the user's events in (ts, seq) order; running
-    count per (day, ad) = count kept so far (state) + position in this batch; events after the
-    first one that reaches ``threshold`` are dropped, and the user stays listed for good.
-    Vectorised per group (sort + cumcount), no loop over rows."""
-    import pandas as pd
-
-    def step(key, pdfs, state):
-        listed, counts = False, {}
-        if state.exists:
-            listed, groups, values = state.get
-            counts = dict(zip(groups, values))
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if listed or batch.empty:
-            if not state.exists:
-                state.update((listed, [], []))
-            return
-        batch = batch.sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True)
-        group = batch["day"] + "|" + batch["ads_id"]
-        running = group.map(counts).fillna(0).astype("int64") + batch.groupby(group).cumcount() + 1
-        hits = (running >= threshold).to_numpy().nonzero()[0]
-        lists_user = pd.Series(False, index=batch.index)
-        if len(hits):
-            cut = int(hits[0])
-            batch, group, lists_user = batch.iloc[:cut + 1], group.iloc[:cut + 1], lists_user.iloc[:cut + 1].copy()
-            lists_user.iloc[cut] = True
-            listed = True
-        for g, n in group.value_counts().items():
-            counts[g] = counts.get(g, 0) + int(n)
-        if keep_days is not None and counts:
-            # Only recent days can still reach the threshold; older day counts leave the state.
-            newest = max(pd.Timestamp(g.split("|", 1)[0]) for g in counts)
-            oldest_kept = newest - pd.Timedelta(days=keep_days)
-            counts = {g: v for g, v in counts.items() if pd.Timestamp(g.split("|", 1)[0]) >= oldest_kept}
-        state.update((listed, list(counts), [int(v) for v in counts.values()]))
-        out = batch.copy()
-        out["lists_user"] = lists_user.to_numpy()
-        yield out[["ts", "area", "city", "user_id", "ads_id", "seq", "day", "lists_user"]]
-
-    return step
-
-
-def start_blacklist_per_event_state(log: DataFrame, root: str,
-                                    threshold: int = ads.BLACKLIST_THRESHOLD,
-                                    trigger: dict | None = None, keep_days: int | None = None,
-                                    state_partitions: int | None = None) -> StreamingQuery:
-    """Event-exact blacklist kept in the state store (``applyInPandasWithState`` keyed by user)
-    instead of snapshot tables: the same result as ``start_blacklist(rule="per_event")`` and the
-    batch ``ads.kept_events``, whatever the batch boundaries, for events in time order. State per user: the listed flag (kept for good) and counts per (day, ad);
-    ``keep_days`` drops day counts older than that many days before the user's newest day
-    (bounded state; an event arriving later than that would start its day from zero, so the
-    default keeps all). One group is one user's events of one micro-batch, bounded by the
-    trigger's batch size (e.g. ``maxOffsetsPerTrigger``).
-    Results: ``{root}/kept`` (events that pass, per batch) and ``{root}/blacklist``."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+# ---------------------------------------------------------------- rejected lines
+def start_rejects(rejected: DataFrame, root: str, trigger: dict | None = None) -> StreamingQuery:
+    """Lines that do not parse, with their reason, one folder per batch (``{root}/rejects``)."""
+    store = rejects_store(rejected.sparkSession, root)
+    w = (rejected.writeStream.foreachBatch(lambda batch, batch_id: store.write_batch(batch, batch_id))
+         .option("checkpointLocation", f"{root}/checkpoint"))
+    return _start(w, rejected.sparkSession, trigger, None)
 
-    spark = log.sparkSession
-    keyed = ads.with_day(log).select("ts", "area", "city", "user_id", "ads_id", "seq", "day")
-    out = keyed.groupBy("user_id").applyInPandasWithState(
-        _per_user_cutoff(threshold, keep_days), KEPT_SCHEMA, PER_USER_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-    kept = kept_events_store(spark, root)
-    listed = blacklist_store(spark, root)
+
+# ---------------------------------------------------------------- T8
+def start_sliding_counts(log: DataFrame, root: str, size: str = "60 minutes", slide: str = "10 minutes",
+                         watermark: str = "60 minutes", trigger: dict | None = None, compact_every: int = 100,
+                         state_partitions: int | None = None) -> StreamingQuery:
+    """Clicks per (sliding window, ad) of event time (T8), kept in the state store until the watermark
+    passes a window's end and upserted into ``{root}/sliding``. Events later than ``watermark`` after
+    the newest one are dropped for windows that have closed, as Spark's watermarks do."""
+    counts = ads.sliding_counts(log.withWatermark("ts", watermark), size, slide)
+    store = sliding_store(log.sparkSession, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            kept.write_batch(batch.drop("lists_user"), batch_id)
-            listed.write_batch(batch.filter("lists_user").select("user_id").distinct(), batch_id)
-        finally:
-            batch.unpersist()
+        store.write_batch(batch, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            store.compact(batch_id)
 
-    w = out.writeStream.outputMode("append").foreachBatch(process) \
+    w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
-    return _start(w, spark, trigger, state_partitions)
+    return _start(w, log.sparkSession, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- R10
@@ -389,22 +330,32 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
     series = last_hour_json_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n"), batch_id)
-        current = store.read(before=batch_id + 1)
-        if as_of == "trigger":
-            end = F.date_trunc("minute", F.current_timestamp())
-        else:
-            end = current.select(F.max("minute_ts")).scalar()
-        start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), end)
-        recent = ads.last_hour_from_minutes(
-            current.filter((F.col("minute_ts") >= start) & (F.col("minute_ts") <= end))).persist()
+        changed = batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n",
+                               F.date_format("w.start", "yyyy-MM-dd").alias("day")).persist()
+        recent = None
         try:
+            store.write_batch(changed, batch_id)
+            # The newest minute so far: this batch's or that of the last result.
+            label = "yyyy-MM-dd HH:mm"
+            if as_of == "trigger":
+                newest = spark.range(1).select(F.date_format(F.current_timestamp(), label)).first()[0]
+            else:
+                newest = max((v for v in (changed.agg(F.date_format(F.max("minute_ts"), label)).first()[0],
+                                          result.read_latest(before=batch_id).agg(F.max("minute")).first()[0]) if v),
+                             default=None)
+            end = F.to_timestamp(F.lit(newest), label)
+            start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), end)
+            window = (F.col("minute_ts") >= start) & (F.col("minute_ts") <= end)
+            current = store.read(before=batch_id + 1, where=window & (F.col("day") >= F.date_format(start, "yyyy-MM-dd")))
+            recent = ads.last_hour_from_minutes(current).persist()
             result.write_batch(recent, batch_id)
             series.write_batch(ads.last_hour_json(recent), batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                store.compact(batch_id, keep=F.col("minute_ts") >= start)
         finally:
-            recent.unpersist()
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            store.compact(batch_id, keep=F.col("minute_ts") >= start)
+            changed.unpersist()
+            if recent is not None:
+                recent.unpersist()
 
     w = counts.writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", f"{root}/checkpoint")
@@ -416,3 +367,16 @@ def run_available(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def replay(spark: SparkSession, base: str, root: str, start, batches: int = 3) -> None:
+    """Feed all test events, in time order and ``batches`` slices, to ``start(log)``: each slice is
+    written to the source folder and drained by a run that resumes from the checkpoint."""
+    events = fx.events(spark, base)
+    cuts = events.agg(F.percentile_approx("ts", [i / batches for i in range(1, batches)], 10000)).first()[0] or []
+    slice_no = sum((F.when(F.col("ts") > F.lit(c).cast(events.schema["ts"].dataType), 1).otherwise(0) for c in cuts),
+                   F.lit(0))
+    for i in range(batches):
+        events.filter(F.coalesce(slice_no, F.lit(0)) == i).write.parquet(f"{root}/source/slice-{i}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/source/slice-*")
+        run_available(start(ads.parse_ads_log(fx.ads_lines(spark, base, events_df=stream))))

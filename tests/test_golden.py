@@ -132,8 +132,8 @@ def test_g8_city_remark_small(spark):
     assert _remark(spark, {"A": 4}) == "A:100.0%"
 
 
-def test_city_remark_udaf_matches_builtin(spark):
-    from shopflow.functions.city_remark_udaf import area_city_remark_sql
+def test_city_remark_sql_matches_builtin(spark):
+    from shopflow.functions.city_remark import area_city_remark_sql
     cities = spark.createDataFrame([(1, "A", "X"), (2, "B", "X"), (3, "C_1", "X"), (4, "D", "Y")],
                                    "city_id long, city_name string, area string")
     rows = [action(i, ccat=1, cprod=i % 3 + 1, city=i % 4 + 1) for i in range(40)]

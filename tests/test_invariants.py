@@ -1,11 +1,12 @@
 """Invariants on the test tables and a property test of the city remark."""
 
+import math
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shopflow.functions.city_remark_udaf import remark_text
 from shopflow.operators import areas
 from shopflow.plans import catalog
 from shopflow.sources import fixtures as fx
@@ -56,6 +57,19 @@ def test_kept_plus_dropped_is_all(spark):
     assert free <= kept
 
 
+def remark_text(counts, n=2, other="其他"):
+    """Brute force: half-up shares, share desc then name, top n, then the rest of 100."""
+    total = float(sum(counts.values()))
+    rated = sorted((-math.floor(c / total * 1000.0 + 0.5) / 10.0, name) for name, c in counts.items())
+    parts = [f"{name}:{-neg!r}%" for neg, name in rated[:n]]
+    if len(rated) > n:
+        rest = 100.0
+        for neg, _ in rated[:n]:
+            rest += neg
+        parts.append(f"{other}:{math.floor(rest * 10.0 + 0.5) / 10.0!r}%")
+    return ",".join(parts)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.sampled_from(["A", "B", "C_1", "D", "E", "F"]), st.integers(1, 40),
                        min_size=1, max_size=6))
@@ -63,8 +77,10 @@ def test_city_remark_builtin_equals_python(spark, counts):
     df = spark.createDataFrame([(c, n) for c, n in counts.items()], "city_name string, c long")
     g = df.agg(F.sum("c").alias("total"), F.collect_list(F.struct("c", "city_name")).alias("cities"))
     builtin = g.select(areas.city_remark("cities", "total").alias("r")).first().r
-    import pandas as pd
-    assert builtin == remark_text(pd.Series(list(counts)), pd.Series(list(counts.values())))
+    from shopflow.functions.city_remark import register_city_remark
+    register_city_remark(spark)
+    in_sql = g.selectExpr("groupby_city_count(cities) AS r").first().r
+    assert builtin == in_sql == remark_text(counts)
 
 
 @pytest.mark.parametrize("name", ["session_info", "page_jump_counts"])

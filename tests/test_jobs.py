@@ -18,7 +18,8 @@ def test_offline_job_matches_catalogue(spark):
                            params={}, task_id="task-1",
                            sink=lambda name, df: written.__setitem__(name, df.collect()))
     assert set(written) == {"session_stat", "random_session_info", "category_top10",
-                            "top10_session_per_top10_cid", "page_convert_rate"}
+                            "top10_session_per_top10_cid", "page_convert_rate", "rejected_actions"}
+    assert written["rejected_actions"] == []
     stat = catalog.session_ratio_stats(spark, SF_SMALL).collect()
     assert [r.asDict() for r in written["session_stat"]] == [r.asDict() for r in stat]
     top = _set(catalog.category_top10(spark, SF_SMALL), ["category_id", "click_count"])
@@ -39,10 +40,12 @@ def test_area_job_writes_table(spark):
     spark.sql("DROP TABLE area_top3_product")
 
 
-def test_realtime_job_runs_three_queries(spark, tmp_root):
+def test_realtime_job_runs_its_queries(spark, tmp_root):
     from shopflow.streaming import ads_stream
     prepare(spark)
-    qs = jobs.realtime_job(ads_stream.event_lines(spark, SF_SMALL), tmp_root, threshold=3,
+    lines = ads_stream.event_lines(spark, SF_SMALL)
+    spoilt = lines.selectExpr("'no time' AS value", "-seq AS seq").where("seq = -1")
+    qs = jobs.realtime_job(lines.unionByName(spoilt), tmp_root, threshold=3,
                            trigger={"availableNow": True})
     for q in qs:
         ads_stream.run_available(q)
@@ -52,3 +55,5 @@ def test_realtime_job_runs_three_queries(spark, tmp_root):
         catalog.ads_area_city_daily(spark, SF_SMALL).count()
     assert ads_stream.last_hour_store(spark, f"{tmp_root}/last_hour").read_latest().count() == \
         catalog.ads_last_hour(spark, SF_SMALL).count()
+    rejects = ads_stream.rejects_store(spark, f"{tmp_root}/rejects").read_all().collect()
+    assert [(r.value, r.reason) for r in rejects] == [("no time", "fewer than 5 fields")]

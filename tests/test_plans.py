@@ -26,8 +26,6 @@ def plan(spark, name):
     ("area_top3_products", "WindowGroupLimit"),
     ("top_sessions_per_category", "WindowGroupLimit"),
     ("ads_area_top3", "WindowGroupLimit"),
-    ("ads_kept_events", "WindowGroupLimit"),
-    ("session_sample", "WindowGroupLimit"),
     ("category_top10", "TakeOrderedAndProject"),
     ("top_sessions_per_category", "BroadcastExchange"),
     ("ads_log_parsed", "BroadcastHashJoin"),
@@ -48,17 +46,36 @@ def test_top_k_limited_before_the_shuffle(spark):
 
 def test_no_python_in_batch_plans(spark):
     for name in QUERIES:
-        if name.endswith("_stream") or name == "area_city_remark_sql":
+        if name.endswith(("_stream", "_replay")):
             continue
         p = plan(spark, name)
         assert not any(n in p for n in PYTHON_NODES), name
 
 
-def test_udaf_gets_precounted_rows(spark):
-    p = plan(spark, "area_city_remark_sql")
-    assert "ArrowAggregatePython" in p or "AggregateInPandas" in p
-    # the per-city count runs as a partial + final hash aggregate below the Python aggregate
-    assert "partial_count" in p
+def test_sql_remark_gets_precounted_rows(spark):
+    assert "partial_count" in plan(spark, "area_city_remark_sql")
+
+
+def test_conversion_reads_events_once_and_orders_them_once(spark):
+    p = plan(spark, "page_convert_rate")
+    tree = p.split("\n\n")[0]
+    assert sum("events.parquet" in line for line in p.splitlines() if line.startswith("Location")) == 1
+    assert sum(line.count("Window ") for line in tree.splitlines()) == 2  # actions, then one row per chunk
+
+
+def test_cut_offs_order_single_chunks(spark):
+    """At the production threshold the ordered window is per (group, chunk)."""
+    from shopflow.operators import ads
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        ads.kept_events(ads.parse_ads_log(fx_lines(spark)), 10000).explain()
+    numbered = [line for line in buf.getvalue().splitlines() if "row_number()" in line and "Window [" in line]
+    assert numbered and all("_chunk" in line.split("windowspecdefinition(")[1].split("ts")[0] for line in numbered)
+
+
+def fx_lines(spark):
+    from shopflow.sources import fixtures as fx
+    return fx.ads_lines(spark, SF_SMALL)
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -96,3 +96,36 @@ def test_sliding_counts_fallback_window(spark):
               log.groupBy(F.window("ts", "25 minutes", "10 minutes").alias("w"), "ads_id").count()
               .withColumnRenamed("count", "n").collect()}
     assert ours == native
+
+
+@pytest.mark.parametrize("threshold,chunk", [(1, 60), (50, 1), (50, 60), (700, 60), (1500, 86400)])
+def test_cut_offs_with_a_hot_group(spark, threshold, chunk):
+    """One (day, user, ad) holds a third of all rows; ties in time, several ads a user."""
+    t0, rnd = dt.datetime(2024, 1, 1, 10), random.Random(5)
+    rows = [(t0 + dt.timedelta(seconds=rnd.randrange(0, 4000)), "A", "c",
+             "hot" if i % 3 == 0 else f"u{rnd.randrange(20)}", "1" if i % 3 == 0 else str(rnd.randrange(3)), i)
+            for i in range(3000)]
+    log = spark.createDataFrame(rows, "ts timestamp, area string, city string, user_id string, ads_id string, seq long")
+    seen, want = {}, {}
+    for ts, _, _, user, ad, seq in sorted(rows, key=lambda r: (r[0], r[5])):
+        seen[user, ad] = seen.get((user, ad), 0) + 1
+        if seen[user, ad] == threshold and user not in want:
+            want[user] = seq
+    got = {r.user_id: r.cut.seq for r in ads.blacklist_cutoffs(log, threshold, chunk).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("k", [1, 40, 1001, 5000])
+def test_sample_of_any_size_with_a_crowded_hour(spark, k):
+    import hashlib
+    import math
+    t0 = dt.datetime(2024, 1, 1, 10)
+    rows = [(f"s{i}", t0 + dt.timedelta(hours=0 if i % 3 else i % 5, seconds=i)) for i in range(3000)]
+    got = sessions.sample_sessions(spark.createDataFrame(rows, "session_id string, start_ts timestamp"), k, 42)
+    hours, want = {}, set()
+    for r in spark.createDataFrame(rows, "session_id string, start_ts timestamp").collect():
+        hours.setdefault(r.start_ts.strftime("%Y-%m-%d %H"), []).append(r.session_id)
+    for ids in hours.values():
+        quota = min(math.floor(len(ids) / len(rows) * float(k)), len(ids))
+        want |= set(sorted(ids, key=lambda s: (hashlib.md5((s + "42").encode()).hexdigest(), s))[:quota])
+    assert {r.session_id for r in got.collect()} == want

@@ -158,21 +158,17 @@ def test_daily_totals_with_compaction(spark, lines, tmp_root):
     assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
 
 
-def _start_per_event(kind, log, root, threshold, keep_days=None):
-    if kind == "frames":
-        return ads_stream.start_blacklist(log, root, threshold=threshold, rule="per_event", keep_events=True,
-                                          trigger={"availableNow": True})
-    return ads_stream.start_blacklist_per_event_state(log, root, threshold=threshold, keep_days=keep_days,
-                                                      trigger={"availableNow": True})
+def _start_per_event(log, root, threshold):
+    return ads_stream.start_blacklist(log, root, threshold=threshold, rule="per_event", keep_events=True,
+                                      trigger={"availableNow": True})
 
 
-@pytest.mark.parametrize("kind,n_files,keep_days", [("frames", 1, None), ("frames", 4, None),
-                                                    ("state", 1, None), ("state", 4, None), ("state", 4, 2)])
-def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, kind, n_files, keep_days):
+@pytest.mark.parametrize("n_files", [1, 4])
+def test_blacklist_per_event_stream_equals_batch(spark, lines, tmp_root, n_files):
     src = _local(f"{tmp_root}/src")
     _write_line_files(spark, lines, src, n_files)
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(_start_per_event(kind, log, tmp_root, 3, keep_days))
+    ads_stream.run_available(_start_per_event(log, tmp_root, 3))
     batch_log = _batch_log(spark, src)
     cols = ["ts", "area", "city", "user_id", "ads_id", "seq"]
     kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
@@ -197,8 +193,7 @@ def test_last_hour_json_stream_and_trigger_clock(spark, lines, tmp_root):
     assert ads_stream.last_hour_store(spark, live).read_latest().count() == 0
 
 
-@pytest.mark.parametrize("kind", ["frames", "state"])
-def test_per_event_counts_carry_across_batches(spark, tmp_root, kind):
+def test_per_event_counts_carry_across_batches(spark, tmp_root):
     src = _local(f"{tmp_root}/src")
     os.makedirs(src)
     t0 = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
@@ -208,7 +203,7 @@ def test_per_event_counts_carry_across_batches(spark, tmp_root, kind):
         f.write(f"{t0 + 10} A c u 1\n{t0 + 11} A c u 1\n{t0 + 12} A c u 2\n")
     _in_order(src, ["b1.txt", "b2.txt"])
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(_start_per_event(kind, log, tmp_root, 3))
+    ads_stream.run_available(_start_per_event(log, tmp_root, 3))
     kept = ads_stream.kept_events_store(spark, tmp_root).read_all()
     got = sorted((r.ads_id, r.ts.second, r.ts.microsecond // 1000) for r in kept.collect())
     # the third click on ad 1 (first of batch 2) lists u; later events are dropped
@@ -237,3 +232,22 @@ def test_state_partitions_do_not_leak_into_the_session(spark, lines, tmp_root):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     state = _local(f"{tmp_root}/checkpoint/state/0")
     assert sorted(d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
+
+
+def test_last_hour_of_180_minutes_keeps_late_events(spark, tmp_root):
+    """An event 92 minutes late but inside the window is counted, as in the batch form."""
+    src = _local(f"{tmp_root}/src")
+    os.makedirs(src)
+    t0 = int(dt.datetime(2024, 1, 1, 12, 32, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i, minute in enumerate([0, 0, -92], 1):
+        with open(os.path.join(src, f"b{i}.txt"), "w") as f:
+            f.write(f"{t0 + 60000 * minute + i} A c u 1\n")
+    _in_order(src, ["b1.txt", "b2.txt", "b3.txt"])
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_last_hour(log, tmp_root, trigger={"availableNow": True}, minutes=180))
+    got = ads_stream.last_hour_store(spark, tmp_root).read_latest()
+    cols = ["ads_id", "minute", "n"]
+    assert _set(got, cols) == _set(ads.last_hour(_batch_log(spark, src), minutes=180), cols)
+    assert _set(got, ["hh_mm", "n"]) == [("11:00", 1), ("12:32", 2)]
+    with pytest.raises(ValueError):
+        ads_stream.start_last_hour(log, tmp_root, minutes=180, watermark="60 minutes")
