@@ -25,6 +25,28 @@ from shopflow.streaming import ads_stream
 
 Sink = Callable[[str, DataFrame], None]
 
+# Column names of the existing result tables, where they differ from ours.
+STORED_COLUMNS = {
+    "session_stat": {"task_id": "taskId",
+                     "visit_length_le_10s_ratio": "session_visitLength_le_10s_ratio",
+                     "visit_length_gt_10s_ratio": "session_visitLength_gt_10s_ratio",
+                     "step_length_le_5_ratio": "session_stepLength_le_5_ratio",
+                     "step_length_gt_5_ratio": "session_stepLength_gt_5_ratio"},
+    "random_session_info": {"task_id": "taskId", "session_id": "sessionId", "visit_length": "visitLength",
+                            "step_length": "stepLength", "start_time": "startTime",
+                            "search_keywords": "searchKeywords", "click_product_ids": "clickProductIds",
+                            "order_product_ids": "orderProductIds", "pay_product_ids": "payProductIds"},
+    "category_top10": {"task_id": "taskId"},
+    "top10_session_per_top10_cid": {"task_id": "taskId", "session_id": "sessionId", "click_count": "clickCount"},
+    "page_convert_rate": {"task_id": "taskId", "page_jump": "pageJump"},
+}
+
+
+def stored_names(sink: Sink) -> Sink:
+    """A sink that writes each result under the column names of the existing tables, so that an
+    append to a table the earlier system filled fits: ``offline_job(..., sink=stored_names(jdbc_sink(url)))``."""
+    return lambda name, df: sink(name, df.withColumnsRenamed(STORED_COLUMNS.get(name, {})))
+
 
 def table_sink(database: str | None = None) -> Sink:
     return lambda name, df: sinks.overwrite_table(df, name, database)

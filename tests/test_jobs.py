@@ -30,6 +30,16 @@ def test_offline_job_matches_catalogue(spark):
     assert sorted((r.session_id,) for r in written["random_session_info"]) == sample
     assert all(r.task_id == "task-1" for r in written["top10_session_per_top10_cid"])
     assert not res["_actions"].is_cached
+    stored = {}
+    for name, df in res.items():
+        jobs.stored_names(lambda n, d: stored.__setitem__(n, d.columns))(name, df)
+    assert stored["session_stat"] == ["taskId", "conditions", "session_count", "session_visitLength_le_10s_ratio",
+                                      "session_visitLength_gt_10s_ratio", "session_stepLength_le_5_ratio",
+                                      "session_stepLength_gt_5_ratio"]
+    assert stored["top10_session_per_top10_cid"] == ["taskId", "category_id", "sessionId", "clickCount"]
+    assert stored["page_convert_rate"] == ["taskId", "pageJump", "rate"]
+    assert stored["random_session_info"] == ["taskId", "sessionId", "visitLength", "stepLength", "startTime",
+                                             "searchKeywords", "clickProductIds", "orderProductIds", "payProductIds"]
 
 
 def test_area_job_writes_table(spark):
