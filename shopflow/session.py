@@ -40,7 +40,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every query depends on for its results (not for its speed).
 
     All day / minute / hour labels are rendered in UTC (the reference used the JVM zone,
-    which made results depend on the machine).
+    which made results depend on the machine). The setting stays on the caller's session, because
+    frames are evaluated after this returns.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -83,14 +83,14 @@ def ads_lines(spark: SparkSession, base: str, events_df: DataFrame | None = None
     """Ad-click lines ``epoch_ms area city user_id ads_id`` built from every event.
 
     Returns ``value`` (the line) and ``seq`` (the event id, standing in for a stream offset).
-    Blanks in region names become ``-`` so the line stays blank-separated. The city table has
-    the fixed size of ``nation`` (25 rows), so it is broadcast.
+    Blanks in region names become ``-`` so the line stays blank-separated. The city table is
+    joined without a hint: Spark broadcasts it by its size.
     """
     ev = events_df if events_df is not None else events(spark, base)
     cities = city_info(spark, base)
     ev = ev.select("event_id", "ts", "user_id", _k().alias("k"),
                    (F.col("user_id") % 25).cast("long").alias("city_id"))
-    j = ev.join(F.broadcast(cities), "city_id")
+    j = ev.join(cities, "city_id")
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     line = F.concat_ws(" ", millis.cast("string"), F.regexp_replace("area", " ", "-"),
                        F.col("city_name"), F.col("user_id").cast("string"),
