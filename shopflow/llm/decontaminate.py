@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. The word n-grams (n = 3) of the test items are the seeds. One pass over all texts notes, per
-   document, the seeds it holds (a document without any writes nothing).
-2. A seed is rare for an item when at most twice as many documents hold it as hold the item's median
-   seed, so at least half of an item's seeds stay however often the item leaked.
-3. Documents with a rare seed of an item are aligned with it: local alignment of words around the
-   seeds (match +2, mismatch -1, gap -1). ``score`` is the best alignment's share of the item's own
-   score (2 per word); pairs from ``min_score`` on are leaks.
+1. The word n-grams (n = 3) of the test items are the seeds. One pass over all texts finds the seeds each
+   document holds; every (document, item) pair that shares one is looked at, however many documents hold
+   the seed, so a widely copied passage or edited form is never taken for a common phrase.
+2. The windows around the seeds are aligned with the item: local alignment of words (match +2, mismatch -1,
+   gap -1). ``score`` is the best alignment's share of the item's own score (2 per word); pairs from
+   ``min_score`` on are leaks. A window that holds too few of the item's words to reach ``min_score`` even
+   if all of them matched is not aligned; that bound loses nothing.
 
 Texts are lower-cased; words are runs of ASCII letters, digits and non-ASCII characters; other
 punctuation does not count.
@@ -29,13 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.store import small_batches, written
+from shopflow.llm.store import small_batches
 from shopflow.llm.text import hash_spans, lean, mix64, ngrams, slices
 
 SEED_WORDS = 3
 MIN_SCORE = 0.45
 BLOCK_BYTES = 8_000_000     # benchmark text per block
-BROADCAST_KEYS = 4_000_000
 
 _B = np.arange(256)
 _ALNUM = ((_B >= 48) & (_B <= 57)) | ((_B >= 65) & (_B <= 90)) | ((_B >= 97) & (_B <= 122)) | (_B >= 128)
@@ -104,22 +103,6 @@ class Items:
         return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
-def _find(items_b):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items.of(items_b.value)
-        for batch in batches:
-            keys, seeds = [], []
-            for first, _, h, row in _tokens(batch.column(1)):
-                at, k = items.hits(h, row)
-                pair = np.unique(np.stack([row[at], k], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-                keys.append(pair[:, 0] + first), seeds.append(pair[:, 1])
-            if keys:
-                yield pa.record_batch([batch.column(0).take(pa.array(np.concatenate(keys))),
-                                       pa.array(np.concatenate(seeds).astype(np.int32))], names=["key", "seed"])
-
-    return run
-
-
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     """Best Smith-Waterman score of two word sequences and the window index where it ends."""
     j = np.arange(len(window) + 1)
@@ -136,10 +119,9 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _align(items_b, rare_b, min_score: float):
+def _align(items_b, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items.of(items_b.value)
-        rare: np.ndarray = rare_b.value
         for batch in batches:
             found: list[tuple] = []
             for first, rows, h, row in _tokens(batch.column(1)):
@@ -156,10 +138,9 @@ def _align(items_b, rare_b, min_score: float):
                     for a, e in zip(at[lo:hi].tolist(), k[lo:hi].tolist()):
                         while True:  # all items that share the seed
                             it = int(items.item[e])
-                            if rare[e]:
-                                m = len(items.words[it])
-                                begin = a - cuts[r] - int(items.pos[e]) - m // 2 - 2
-                                spans.setdefault(it, []).append((int(begin), int(begin + 2 * m + 4)))
+                            m = len(items.words[it])
+                            begin = a - cuts[r] - int(items.pos[e]) - m // 2 - 2
+                            spans.setdefault(it, []).append((int(begin), int(begin + 2 * m + 4)))
                             if e + 1 >= len(items.seed) or items.seed[e + 1] != items.seed[e]:
                                 break
                             e += 1
@@ -175,7 +156,10 @@ def _align(items_b, rare_b, min_score: float):
                         full = 2 * len(items.words[it])
                         top = (0, 0)
                         for b, e in merged:
-                            s, end = align(items.words[it], text[max(0, b):e])
+                            window = text[max(0, b):e]
+                            if 2 * int(np.isin(items.words[it], window).sum()) < min_score * full:
+                                continue
+                            s, end = align(items.words[it], window)
                             top = max(top, (s, -(max(0, b) + end)))
                         if top[0] >= min_score * full:
                             found.append((first + r, items.ids[it], top[0] / full, -top[1]))
@@ -206,23 +190,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", min_score:
         if not items.words:
             continue
         items_b = spark.sparkContext.broadcast(vars(items))
-        hits = written(docs.mapInArrow(lean(_find(items_b)), "key long, seed int"), "hits")
-        # At most one row per seed of the block.
-        df = hits.groupBy("seed").agg(F.count("*").alias("n")).toPandas()
-        held = np.zeros(len(items.seed), dtype=np.int64)
-        held[df["seed"].to_numpy(dtype=np.int64)] = df["n"].to_numpy(dtype=np.int64)
-        firsts = np.searchsorted(items.seed, items.seed)
-        held = held[firsts]
-        rare = np.zeros(len(held), dtype=bool)
-        for k in range(len(items.words)):
-            own = items.item == k
-            rare[own] = held[own] <= 2 * max(1.0, float(np.median(held[own])))
-        first_rare = spark.createDataFrame([(int(x),) for x in np.unique(firsts[rare])], "seed int")
-        keys = written(hits.join(F.broadcast(first_rare), "seed", "left_semi").select("key").distinct(), "keys")
-        small = keys.count() <= BROADCAST_KEYS
-        rare_b = spark.sparkContext.broadcast(rare)
-        near = docs.join(F.broadcast(keys) if small else keys, docs.key.eqNullSafe(keys.key), "left_semi")
-        found = near.mapInArrow(lean(_align(items_b, rare_b, min_score)),
+        found = docs.mapInArrow(lean(_align(items_b, min_score)),
                                 "key long, item_id long, score double, end_word long")
         out = found if out is None else out.union(found)
     if out is None:

@@ -233,6 +233,21 @@ def test_leaks_of_edited_copies(spark, odd, none):
     assert decontaminate.leaks(none, bench).count() == 0 and decontaminate.leaks(odd, odd_bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("step", [4, 5])
+def test_leaks_of_one_edited_form_in_many_documents(spark, step):
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    items = sorted((r.item_id, r.text) for r in bench.collect())[:4]
+    rng, rows, want = np.random.default_rng(4), [], set()
+    for (i, t), (copies, whole) in zip(items, [(3, 0), (100, 0), (3, 2), (100, 2)]):
+        edited = " ".join("changed" if (j + 1) % step == 0 else w for j, w in enumerate(t.split()))
+        for part in [edited] * copies + [t] * whole:
+            host = [" ".join(f"f{rng.integers(500)}" for _ in range(60)) for _ in range(2)]
+            want.add((len(rows), i))
+            rows.append((len(rows), f"{host[0]} {part} {host[1]}"))
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert want <= {(r.doc_id, r.item_id) for r in got}
+
+
 def test_pseudo_likelihood(spark, odd, none):
     top, rows = pseudo_lm.fit(spark.read.parquet(f"{MIDDLE}/documents.parquet"), rounds=1, step=8)
     model = pseudo_lm.Model.of(rows)
