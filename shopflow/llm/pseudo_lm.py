@@ -10,9 +10,9 @@ masked; the sum of the conditional log-probabilities scores the document.
   output is a two-level softmax (class, then word within the class), so a prediction costs two short
   softmaxes instead of one over the vocabulary.
 * *Training.* In each round every task starts from the shared weights, trains on one in ``step`` positions
-  (by hash of the text) of all its documents, and emits its weights times its examples; Spark sums the
-  rows per weight vector, which makes the average the next round starts from. What is gathered grows
-  with the corpus; the model does not.
+  of all its documents, and emits its weights times its examples; Spark sums the
+  rows per weight vector, which makes the average the next round starts from. Rounds take the
+  positions in turn, so ``step`` rounds train on every position once (the default).
 
 Defined cases: null, empty and blank texts have no tokens: sum 0.0, mean null. Repeated rows score
 alike; a text's sum depends on the text and the model alone. A very long text
@@ -37,7 +37,7 @@ VOCAB = CLASSES * PER_CLASS         # tokens, of which the first RARE are bucket
 RARE = 64
 WIDTH = 16
 OFFSETS = (-2, -1, 1, 2)
-ROUNDS, STEP, BATCH, RATE = 2, 32, 512, 0.1
+ROUNDS, STEP, BATCH, RATE = 2, 2, 512, 0.1   # as many rounds as steps: every position trains once
 CHUNK = 1 << 12
 KEEP = 1 << 21                      # words a task keeps before it forgets those seen once
 LIMIT = 4.0                         # of a weight's size, so logits stay below 17 * LIMIT and exp is finite
@@ -131,27 +131,31 @@ class Model:
         return out
 
     def train(self, ctx: np.ndarray, target: np.ndarray, state: list[np.ndarray]) -> None:
-        """One AdaGrad step on a batch."""
+        """One AdaGrad step on a batch; targets of one class share their products."""
         n = len(target)
-        c, within = target // PER_CLASS, target % PER_CLASS
+        o = np.argsort(target // PER_CLASS, kind="stable")
+        ctx, c, within = ctx[o], target[o] // PER_CLASS, target[o] % PER_CLASS
+        at_row = np.arange(n)
         h = self.hidden(ctx)
-        h1 = np.concatenate([h, np.ones((n, 1), dtype=np.float32)], axis=1)
-        z = h1 @ self.cls.T
-        g = np.exp(z - z.max(axis=1, keepdims=True))
+        h1 = np.ones((n, WIDTH + 1), dtype=np.float32)
+        h1[:, :WIDTH] = h
+        g = h1 @ self.cls.T
+        np.exp(g, out=g)  # logits are bounded by LIMIT
         g /= g.sum(axis=1, keepdims=True)
-        g[np.arange(n), c] -= 1
-        w = self.out.reshape(CLASSES, PER_CLASS, WIDTH + 1)[c]
-        z = np.matmul(w, h1[:, :, None])[:, :, 0]
-        u = np.exp(z - z.max(axis=1, keepdims=True))
-        u /= u.sum(axis=1, keepdims=True)
-        u[np.arange(n), within] -= 1
-        dh = (g @ self.cls + np.matmul(u[:, None, :], w)[:, 0])[:, :WIDTH] * (1 - h * h)
-        self._step(self.cls, state[1], slice(None), g.T @ h1 / n)
-        o = np.argsort(c, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(c[o]) > 0)))
+        g[at_row, c] -= 1
+        dh = g @ self.cls
+        first = np.flatnonzero(np.concatenate(([True], c[1:] > c[:-1]))).tolist()
         for a, b in zip(first, [*first[1:], n]):
-            k = int(c[o[a]]) * PER_CLASS
-            self._step(self.out, state[2], slice(k, k + PER_CLASS), u[o[a:b]].T @ h1[o[a:b]] / n)
+            k = int(c[a]) * PER_CLASS
+            w, x = self.out[k:k + PER_CLASS], h1[a:b]
+            u = x @ w.T
+            np.exp(u, out=u)
+            u /= u.sum(axis=1, keepdims=True)
+            u[at_row[:b - a], within[a:b]] -= 1
+            dh[a:b] += u @ w
+            self._step(self.out, state[2], slice(k, k + PER_CLASS), u.T @ x / n)
+        self._step(self.cls, state[1], slice(None), g.T @ h1 / n)
+        dh = dh[:, :WIDTH] * (1 - h * h)
         at = (ctx + np.arange(len(OFFSETS)) * (VOCAB + 1)).ravel()
         o = np.argsort(at, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(at[o]) > 0)))
@@ -161,8 +165,15 @@ class Model:
 
     @staticmethod
     def _step(w: np.ndarray, s: np.ndarray, rows, grad: np.ndarray) -> None:
-        s[rows] += grad * grad
-        w[rows] = np.clip(w[rows] - RATE * grad / np.sqrt(s[rows]), -LIMIT, LIMIT)
+        q = s[rows] + grad * grad
+        s[rows] = q
+        np.sqrt(q, out=q)
+        grad *= RATE
+        grad /= q
+        q = w[rows] - grad
+        np.maximum(q, -LIMIT, out=q)
+        np.minimum(q, LIMIT, out=q)
+        w[rows] = q
 
 
 class Vocabulary:
@@ -191,7 +202,7 @@ def contexts(tokens: np.ndarray, row: np.ndarray) -> np.ndarray:
     return ctx
 
 
-def _train(top_b, rows_b, step: int):
+def _train(top_b, rows_b, step: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, model = Vocabulary(top_b.value), Model.of(rows_b.value)
         start = model.rows()
@@ -215,7 +226,7 @@ def _train(top_b, rows_b, step: int):
                     continue
                 first = np.searchsorted(row, np.arange(len(off) - 1))
                 place = np.arange(len(row)) - first[row]
-                at = np.flatnonzero((place + np.diff(off)[row]) % step == 0)  # each text has its own phase
+                at = np.flatnonzero((place + np.diff(off)[row] + turn) % step == 0)  # each text has its own phase
                 if not len(at):
                     continue
                 near = at[:, None] + np.array((0, *OFFSETS))
@@ -260,9 +271,9 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, step: int = STEP) -> tuple[np.nda
     sc = docs.sparkSession.sparkContext
     top = vocabulary(docs)
     top_b, rows = sc.broadcast(top), Model().rows()
-    for _ in range(rounds):
+    for turn in range(rounds):
         rows_b = sc.broadcast(rows)
-        moves = written(docs.select("text").mapInArrow(lean(_train(top_b, rows_b, step)), "at int, n double, w array<double>"), "moves")
+        moves = written(docs.select("text").mapInArrow(lean(_train(top_b, rows_b, step, turn)), "at int, n double, w array<double>"), "moves")
         # Every weight vector moves by the mean of the tasks that met it, weighted by their examples.
         got = moves.repartition("at").mapInArrow(_summed, "at int, w array<double>").toPandas()  # a row per weight vector
         if len(got):

@@ -11,6 +11,7 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pseudo_lm, quality, secrets_crf, sharding,
@@ -266,6 +267,21 @@ def test_pseudo_likelihood(spark, odd, none):
     assert pseudo_lm.score(none).count() == 0
 
 
+def test_language_model_trains_on_every_position(monkeypatch):
+    seen = []
+    monkeypatch.setattr(pseudo_lm.Model, "train", lambda self, ctx, target, state: seen.extend(target.tolist()))
+    docs = [" ".join(f"v{i}x{j}" for j in range(n)) for i, n in enumerate([1, 3, 7, 31, 32, 33, 64, 100])]
+    names = [w for t in docs for w in t.split()]
+    b = [w.encode() for w in names]
+    cuts = np.cumsum([0, *map(len, b)])
+    top = pseudo_lm.hash_spans(np.frombuffer(b"".join(b), dtype=np.uint8), cuts[:-1], cuts[1:])
+    value = lambda v: type("Value", (), {"value": v})()
+    for turn in range(pseudo_lm.ROUNDS):
+        batch = pa.record_batch([pa.array(docs)], names=["text"])
+        list(pseudo_lm._train(value(top), value(pseudo_lm.Model().rows()), pseudo_lm.STEP, turn)(iter([batch])))
+    assert sorted(seen) == [pseudo_lm.RARE + k for k in range(len(names))]
+
+
 def test_archive_formats(spark):
     for version in (1, 2):
         raw = archives.arc_start(version, "f", archives.ARC_DATE) + b"\n" + archives.arc_record(
