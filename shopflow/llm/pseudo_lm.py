@@ -39,7 +39,7 @@ WIDTH = 16
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS, STEP, BATCH, RATE = 2, 2, 512, 0.1   # as many rounds as steps: every position trains once
 CHUNK = 1 << 12
-KEEP = 1 << 21                      # words a task keeps before it forgets those seen once
+KEEP = 1 << 21                      # words a task holds before it hands its counts on
 LIMIT = 4.0                         # of a weight's size, so logits stay below 17 * LIMIT and exp is finite
 PAD = VOCAB                         # the embedding row of positions outside a text
 
@@ -54,8 +54,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = np.bincount(inv[len(keys):], minlength=len(k)).astype(np.int64)
         np.add.at(c, inv[:len(keys)], counts)
         keys, counts, todo = k, c, []
-        if len(keys) > KEEP:
-            keys, counts = keys[counts > 1], counts[counts > 1]
+
+    def part() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
     for b in batches:
         for _, _, data, off in slices(b.column(0)):
@@ -63,9 +64,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             todo.append(hash_spans(data, starts, ends))
             if sum(map(len, todo)) > KEEP:
                 fold()
+                if len(keys) > KEEP:  # Spark sums the parts
+                    yield part()
+                    keys, counts = keys[:0], counts[:0]
     if todo:
         fold()
-    yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(counts)], names=["word", "n"])
+    yield part()
 
 
 def vocabulary(docs: DataFrame) -> np.ndarray:

@@ -282,6 +282,16 @@ def test_language_model_trains_on_every_position(monkeypatch):
     assert sorted(seen) == [pseudo_lm.RARE + k for k in range(len(names))]
 
 
+def test_word_counts_are_whole(monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "KEEP", 50)
+    texts_ = [" ".join(f"v{(7 * i + j) % 400}" for j in range(60)) for i in range(40)]
+    got = Counter()
+    for b in pseudo_lm._word_counts(pa.record_batch([pa.array([t])], names=["text"]) for t in texts_):
+        for w, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[w] += n
+    assert sorted(got.values()) == sorted(Counter(w for t in texts_ for w in t.split()).values())
+
+
 def test_archive_formats(spark):
     for version in (1, 2):
         raw = archives.arc_start(version, "f", archives.ARC_DATE) + b"\n" + archives.arc_record(
