@@ -35,7 +35,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies; of repeated rows of one id one.
     Rows without an id stay unless a document with an id is in their group."""
-    found = written(jaccard_join.near_duplicates(docs).select("doc_id", "component_id"), "near")
+    found = written(jaccard_join.grouped(docs).select("doc_id", "component_id", "cls"), "near")
     ids = found.where("doc_id <> component_id").select("doc_id").distinct()
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     out = written(ids.withColumn("why", F.lit("copy")).union(twice.join(ids, "doc_id", "left_anti")
@@ -47,11 +47,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if out.where("why = 'repeat'").limit(1).count():
         once = marked.where("why is null").select(*_columns(docs))
         marked = once.union(marked.where("why = 'repeat'").select(*_columns(docs)).dropDuplicates(["doc_id"]))
-    if found.where("doc_id is null and component_id is not null").limit(1).count():
-        # Copies without an id of documents that have one, by their text.
-        named = marked.where("doc_id is not null").select(F.xxhash64("text").alias("_t")).distinct()
+    bad = found.where("doc_id is null and component_id is not null").select("cls").distinct()
+    if bad.limit(1).count():
+        # Copies and near copies without an id of documents that have one, by their sets.
+        nameless = docs.where("doc_id is null").select(F.xxhash64("text").alias("key"), "text")
+        gone = jaccard_join.set_digests(nameless).join(bad, "cls", "left_semi").select(F.col("key").alias("_t")).distinct()
         marked = marked.where("doc_id is not null").unionByName(
-            marked.where("doc_id is null").withColumn("_t", F.xxhash64("text")).join(named, "_t", "left_anti").drop("_t"))
+            marked.where("doc_id is null").withColumn("_t", F.xxhash64("text")).join(gone, "_t", "left_anti").drop("_t"))
     return marked.select(*[F.col(f"`{c}`") for c in cols])
 
 

@@ -193,6 +193,20 @@ def _verify(shingle_words: int):
     return run
 
 
+def set_digests(rows: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(key, cls, text) for rows (key, text): the class of every text that has shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cls = [(r, _digest(s)) for r, s in shingle_sets(b.column(1), shingle_words) if len(s)]
+            if cls:
+                at = pa.array([r for r, _ in cls], pa.int64())
+                yield pa.record_batch([b.column(0).take(at), pa.array([d for _, d in cls], pa.int64()), b.column(1).take(at)],
+                                      names=["key", "cls", "text"])
+
+    return rows.select("key", "text").mapInArrow(lean(run), "key long, cls long, text string")
+
+
 def _may_link(n: str, pos: str, m: str, other: str) -> str:
     """Whether sets of n and m elements can be linked with their first common element at these places."""
     return f"5 * {n} >= 4 * {m} and 5 * {m} >= 4 * {n} and 9 * least({n} - {pos}, {m} - {other}) >= 4 * ({n} + {m})"
@@ -204,10 +218,17 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
     pairs = written(pairs, "pairs")
     need = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
                    .join(reps, "cls").select("cls", "doc_id"), "need")
-    small = need.count() <= BROADCAST_IDS
-    texts = written(docs.join(F.broadcast(need) if small else need, "doc_id").select("cls", "text"), "texts")
-    if texts.count() > need.count():  # repeated ids; otherwise the texts need no shuffle
-        texts = written(texts.dropDuplicates(["cls"]), "texts")
+    n_need, named = need.count(), need.where("doc_id is not null")
+    n_named = named.count()
+    texts = written(docs.join(F.broadcast(named) if n_named <= BROADCAST_IDS else named, "doc_id").select("cls", "text"), "texts")
+    if texts.count() > n_named:  # an id on several rows, whose texts may differ; otherwise the texts need no shuffle
+        own = set_digests(texts.withColumnRenamed("cls", "key"), shingle_words).where("key = cls")
+        texts = written(own.select("cls", "text").dropDuplicates(["cls"]), "texts")
+    if n_need > n_named:  # classes without any id, found by their sets
+        rest = need.where("doc_id is null").select("cls")
+        own = set_digests(docs.where("doc_id is null").select(F.lit(0).cast("long").alias("key"), "text"), shingle_words)
+        own = own.join(F.broadcast(rest) if n_need - n_named <= BROADCAST_IDS else rest, "cls", "left_semi")
+        texts = written(texts.union(own.select("cls", "text").dropDuplicates(["cls"])), "texts")
     j = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b") \
         .select("a", "b", "text_a", "text_b")
@@ -218,6 +239,11 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: i
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_size) for every row of ``docs`` (doc_id, text)."""
+    return grouped(docs, shingle_words).drop("cls")
+
+
+def grouped(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """:func:`near_duplicates` with the class of every row (``cls``, 0 without shingles)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -283,4 +309,4 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     return sets.join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("class_size", F.lit(1)).alias("class_size"))
+        F.coalesce("class_size", F.lit(1)).alias("class_size"), "cls")

@@ -93,6 +93,19 @@ def test_near_duplicates_odd_rows(odd, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    import corpus_pipeline as cp
+    word = lambda k, *cut: " ".join(f"e{k}{j}" if j in cut else f"w{k}x{j}" for j in range(150))
+    rows = [(1, word(1)), (None, word(1, 0)), (None, word(2)), (None, word(2, 149)), (3, word(3)), (3, word(4)),
+            (5, word(3, 0)), (6, word(4, 149)), (7, word(5, 0, 50, 51)), (None, word(5)), (8, word(5, 100, 101, 149))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == {(i, 146, c) for i, c in [(1, 1), (None, 1), (None, None), (3, 3), (5, 3), (6, 3), (7, 7), (None, 7), (8, 7)]}
+    kept = sorted((r.doc_id or 0, r.text) for r in cp.drop_near_duplicates(spark, df, SMALL).collect())
+    assert [i for i, _ in kept] == [0, 0, 1, 3, 7]
+    assert {t for i, t in kept if not i} == {word(2), word(2, 149)}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_sql(spark, name):
     ok, detail, *_ = compare_one(spark, duck(SMALL), name, QUERIES[name], SQL[name], SMALL)
