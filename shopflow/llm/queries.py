@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pseudo_lm, quality, secrets_crf, sharding,
-                          url_rules, vector_search)
+from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pieces, pseudo_lm, quality, secrets_crf,
+                          sharding, url_rules, vector_search)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +102,15 @@ def op7_pseudo_likelihood(spark, sf_dir):
 @query
 def op9_secret_scan(spark, sf_dir):
     return secrets_crf.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids = pieces.encoded(docs, model).select("doc_id", "ids")
+    return pieces.decoded(ids, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
