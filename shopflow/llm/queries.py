@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pieces, pseudo_lm, quality, secrets_crf,
-                          sharding, url_rules, vector_search)
+from shopflow.llm import (archives, decontaminate, hard_negatives, jaccard_join, mixing, pieces, pseudo_lm, quality,
+                          secrets_crf, sharding, url_rules, vector_search)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -114,3 +114,29 @@ def op12_sentencepiece(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"), "embedding")
+    return hard_negatives.mine(vectors, "vec_id % 100 = 0")
+
+
+SQL["op11_hard_negatives"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
