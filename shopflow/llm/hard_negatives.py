@@ -138,8 +138,8 @@ def _prepare(refs: np.ndarray):
 
 def _route(cells: pd.DataFrame):
     """The cells in which an anchor can still find what it looks for."""
-    low, high = np.array(cells["low"].tolist()), np.array(cells["high"].tolist())
-    low, high = low.reshape(len(cells), -1), high.reshape(len(cells), -1)
+    width = len(cells["low"].iloc[0]) if len(cells) else 0
+    low, high = (np.array(cells[c].tolist(), dtype=float).reshape(len(cells), width) for c in ("low", "high"))
     least, most = cells["least"].to_numpy(), cells["most"].to_numpy()
     number = cells["cell"].to_numpy()
 
@@ -175,7 +175,7 @@ class _Piece:
             to = min(at + window, int(np.searchsorted(size, size[at], "right")))
             cuts.append(slice(at, to))
             at = to
-        self.windows = [(rid[c], vec[c], label[c], np.array([v[k] for k in order[c]]).reshape(c.stop - c.start, size[c.start]))
+        self.windows = [(rid[c], vec[c], label[c], np.array([v[k] for k in order[c]]).reshape(c.stop - c.start, int(size[c.start])))
                         for c in cuts]
         ends = lambda f, x: np.array([f(x[c], axis=0) for c in cuts])
         self.low, self.high = ends(np.min, theta), ends(np.max, theta)
@@ -272,7 +272,7 @@ class Miner:
                            v.alias("v"))
         sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()["v"].tolist()
         width = max(map(len, sample), default=0)
-        refs = directions(np.array([np.pad(np.asarray(x, float), (0, width - len(x))) for x in sample]).reshape(-1, width))
+        refs = directions(np.array([np.pad(np.asarray(x, float), (0, width - len(x))) for x in sample]).reshape(len(sample), width))
         made = rows.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
             _prepare(refs), "vec_id long, label long, v array<double>, rid long, theta array<double>, norm double, cell int")
         self.table = written(made, "angles")

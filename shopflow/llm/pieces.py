@@ -22,6 +22,7 @@ tables. Models that are not BPE with byte fallback and the identity normaliser r
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from functools import lru_cache
 from itertools import chain
 
@@ -54,7 +55,15 @@ class _Cuts(dict):
         return ids
 
 
-LETTER = r"[^\W\d_]"
+def _letters() -> str:
+    """A character class of all letters up to U+FFFF (a bitmap once compiled)."""
+    at = [k for k in range(1 << 16) if chr(k).isalpha()]
+    starts = [k for i, k in enumerate(at) if not i or at[i - 1] < k - 1]
+    ends = [k for i, k in enumerate(at) if i + 1 == len(at) or at[i + 1] > k + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+LETTERS = _letters()
 
 
 def _cut_pattern(inside: set[str]) -> re.Pattern:
@@ -64,14 +73,13 @@ def _cut_pattern(inside: set[str]) -> re.Pattern:
     if any(a != MARK == b for a, b in inside):
         return re.compile(r".+", re.S)
     solo = "".join(re.escape(c) for c in map(chr, range(128)) if not c.isalpha() and not any(c in p for p in inside))
-    behind: dict[str, str] = {}
+    letter, behind = re.compile(f"[{LETTERS}]"), {}
     for a, b in sorted(inside):
-        if re.match(LETTER, a) and not re.match(LETTER, b):
+        if letter.match(a) and not letter.match(b):
             behind[b] = behind.get(b, "") + re.escape(a)
     joined = "".join(f"(?:(?<=[{a}]){re.escape(b)}[^{MARK}{solo}]*)?" for b, a in behind.items())
-    word, one = f"{LETTER}+{joined}", f"[{solo}]" if solo else r"(?!)"
-    other = rf"(?:[^\w{MARK}{solo}]|(?!{one})[\d_])"
-    return re.compile(f"{MARK}*{word}|{one}|{MARK}*{other}+(?:{word})?|{MARK}+")
+    word, one = f"[{LETTERS}]+{joined}", f"|[{solo}]" if solo else ""
+    return re.compile(f"{MARK}*{word}{one}|{MARK}*[^{MARK}{solo}{LETTERS}]+(?:{word})?|{MARK}+")
 
 
 class Pieces:
@@ -105,12 +113,13 @@ class Pieces:
 
         self.longest = ahocorasick.Automaton()
         for piece in self.id:
-            self.longest.add_word(piece, len(piece))
+            self.longest.add_word(piece, piece)
         self.longest.make_automaton()
 
         self.cut = _cut_pattern({p[i:i + 2] for p in self.id for i in range(len(p) - 1)})
         self.cuts = _Cuts(self._encode_cut)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)  # answers of compatible()
+        self.answers = 0
         self.histories: dict[str, tuple | None] = {}
         self.prefix: dict[str, str] = {}
 
@@ -144,11 +153,11 @@ class Pieces:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether two pieces stay these two when merged anew; ``left`` is empty at a text's start."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._remerge(left, right)
+        if self.answers >= KEPT_PAIRS:
+            self.pairs.clear()
+            self.answers = 0
+        self.answers += 1
+        known = self.pairs[left][right] = self._remerge(left, right)
         return known
 
     def _remerge(self, left: str, right: str) -> bool:
@@ -174,7 +183,7 @@ class Pieces:
     def shorter(self, piece: str) -> str:
         """The next shorter piece that ``piece`` starts with; empty if there is none."""
         known = self.prefix.get(piece)
-        if known is None:
+        if known is None:  # pieces and single characters only
             n = next((n for n in range(len(piece) - 1, 1, -1) if piece[:n] in self.id), min(1, len(piece) - 1))
             known = piece[:n]
             if len(piece) > 1:  # so it is a piece: their number bounds the table
@@ -184,41 +193,42 @@ class Pieces:
     def split(self, text: str) -> list[str]:
         """The pieces of a text by backtracking (characters without a piece stand alone)."""
         n = len(text)
-        reach = [1] * n
-        for last, size in self.longest.iter(text):  # by end, so of one start the longest comes last
-            reach[last - size + 1] = size
-        failed = None  # a bit for each place, from the first failure on
+        longest = list(text)  # at each place: the longest piece that starts there, else the character
+        for last, piece in self.longest.iter(text):  # by end, so of one start the longest comes last
+            longest[last - len(piece) + 1] = piece
+        longest.append("")
         out: list[str] = []
-        at, left, piece = 0, "", text[:reach[0]] if n else ""
-        pairs, compatible = self.pairs, self.compatible
+        failed = None  # a bit for each place, from the first failure on
+        at, piece = 0, longest[0]
+        answers = self.pairs[""]
         while at < n:
             while piece:
-                to = at + len(piece)
-                if (pairs.get((left, piece)) or compatible(left, piece)) and not (
-                        failed and failed[to >> 3] >> (to & 7) & 1):
-                    break
+                fits = answers.get(piece)
+                if fits is None:
+                    fits = self.compatible(out[-1] if out else "", piece)
+                if fits:
+                    to = at + len(piece)
+                    if not failed or not failed[to >> 3] >> (to & 7) & 1:
+                        break
                 piece = self.shorter(piece)
             if piece:
                 out.append(piece)
-                left, at = piece, to
-                piece = text[at:at + reach[at]] if at < n else ""
+                at = to
             else:
                 failed = failed or bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 last = out.pop()
-                left, at = out[-1] if out else "", at - len(last)
-                piece = self.shorter(last)
+                at -= len(last)
+            answers = self.pairs[out[-1] if out else ""]
+            piece = longest[at] if piece else self.shorter(last)
         return out
 
     def _encode_cut(self, cut: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.split(cut):
-            known = self.id.get(piece)
-            if known is None:
-                ids.extend(self.byte[b] for b in piece.encode())
-            else:
-                ids.append(known)
-        return ids
+        parts = self.split(cut)
+        try:
+            return [self.id[p] for p in parts]
+        except KeyError:  # characters without a piece become their bytes
+            return [i for p in parts for i in ([self.id[p]] if p in self.id else [self.byte[b] for b in p.encode()])]
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -286,13 +296,14 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file: size checked by its reader
 
     @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    def make(texts: pa.Array) -> pa.Array:
         pieces = loaded(shared.value)
         tail = [pieces.end] if end else []
         return _lists([None if t is None else np.array(pieces.encode(t) + tail, dtype=np.int32)
                        for t in (x.as_py() for x in texts)])
 
-    return docs.withColumn(into, ids(F.col(text).cast("string")))
+    # Not declared deterministic: a column used twice would else be made twice.
+    return docs.withColumn(into, make.asNondeterministic()(F.col(text).cast("string")))
 
 
 def decoded(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -300,8 +311,8 @@ def decoded(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decode
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
-    def texts(rows: pa.Array) -> pa.Array:
+    def make(rows: pa.Array) -> pa.Array:
         pieces = loaded(shared.value)
         return pa.array([pieces.decode(x.as_py()) if x.is_valid else None for x in rows], pa.string())
 
-    return docs.withColumn(into, texts(F.col(ids).cast("array<int>")))
+    return docs.withColumn(into, make.asNondeterministic()(F.col(ids).cast("array<int>")))
