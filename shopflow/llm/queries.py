@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import (archives, decontaminate, hard_negatives, jaccard_join, mixing, pieces, pseudo_lm, quality,
-                          secrets_crf, sharding, url_rules, vector_search)
+from shopflow.llm import (archives, conversation_trie, decontaminate, hard_negatives, jaccard_join, mixing, pieces,
+                          pseudo_lm, quality, secrets_crf, sharding, url_rules, vector_search)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,34 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
  AND 80 * positive_score <= 100 * score AND score <= positive_score
 QUALIFY rank <= 5
 """
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    return conversation_trie.trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+SQL["op13_conversation_trie"] = """
+WITH t AS (SELECT conv_id AS c, {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS turn,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, list(turn ORDER BY pos) AS own FROM t GROUP BY c),
+h AS (SELECT c, own, c - c % 5 AS base, xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+          lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 9 AS h FROM v),
+made AS (SELECT h.c, list_concat(list_slice(coalesce(v.own, []), 1, h.h), list_slice(h.own, h.h + 1, len(h.own))) AS path
+         FROM h LEFT JOIN v ON v.c = h.base),
+m AS (SELECT c, d, len(path) AS size, list_slice(path, 1, d) AS pre FROM made, range(len(path) + 1) AS r(d)),
+k AS (SELECT *, min(c) OVER (PARTITION BY d, pre) AS top FROM m),
+n AS (SELECT top, d, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN strlen(pre[d].x) ELSE 0 END) AS bytes,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = d), '')) AS ends_sha256
+      FROM k GROUP BY top, d),
+p AS (SELECT n.*, k.top AS parent FROM n LEFT JOIN k ON k.c = n.top AND k.d = n.d - 1),
+f AS (SELECT p.*, (SELECT count(*) FROM p q WHERE q.parent = p.top AND q.d = p.d + 1) AS n_children FROM p),
+s AS (SELECT a.top, a.d, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.bytes) AS saved
+      FROM f JOIN k a ON a.c = f.top AND a.d <= f.d GROUP BY a.top, a.d)
+SELECT f.top AS conv_id, CAST(f.d AS BIGINT) AS depth, f.parent AS parent_conv_id, f.n_convs, f.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.top = f.top AND s.d = f.d
+"""
