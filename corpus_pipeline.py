@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from shopflow.llm import decontaminate, jaccard_join, mixing, quality, sharding
 from shopflow.llm.store import written
 
-BROADCAST_IDS = 4_000_000
+# Keys are sent to every executor while their table takes no more than this there.
+BROADCAST_BYTES, KEY_BYTES = 64 << 20, 32
 ORACLE_SQL = None  # a trained classifier and the thresholds it moves have no SQL form
 
 
@@ -33,28 +34,30 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies; of repeated rows of one id one.
-    Rows without an id stay unless a document with an id is in their group."""
-    found = written(jaccard_join.grouped(docs).select("doc_id", "component_id", "cls"), "near")
-    ids = found.where("doc_id <> component_id").select("doc_id").distinct()
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    out = written(ids.withColumn("why", F.lit("copy")).union(twice.join(ids, "doc_id", "left_anti")
-                                                             .withColumn("why", F.lit("repeat"))), "losers")
-    small = out.count() <= BROADCAST_IDS
-    marked = docs.alias("d").join((F.broadcast(out) if small else out).withColumnRenamed("doc_id", "_id"),
-                                  F.col("d.doc_id") == F.col("_id"), "left").where("why is null or why = 'repeat'")
-    cols = docs.columns
-    if out.where("why = 'repeat'").limit(1).count():
-        once = marked.where("why is null").select(*_columns(docs))
-        marked = once.union(marked.where("why = 'repeat'").select(*_columns(docs)).dropDuplicates(["doc_id"]))
-    bad = found.where("doc_id is null and component_id is not null").select("cls").distinct()
-    if bad.limit(1).count():
-        # Copies and near copies without an id of documents that have one, by their sets.
-        nameless = docs.where("doc_id is null").select(F.xxhash64("text").alias("key"), "text")
-        gone = jaccard_join.set_digests(nameless).join(bad, "cls", "left_semi").select(F.col("key").alias("_t")).distinct()
-        marked = marked.where("doc_id is not null").unionByName(
-            marked.where("doc_id is null").withColumn("_t", F.xxhash64("text")).join(gone, "_t", "left_anti").drop("_t"))
-    return marked.select(*[F.col(f"`{c}`") for c in cols])
+    """One row of every group of near copies: the one with the smallest id (ids before nulls). Groups are
+    made of rows, each known by a hash of its id and text, so rows that share an id but not a text, and rows
+    without an id, are judged by their own texts. Texts without words are nobody's copy and all stay."""
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = written(jaccard_join.grouped(keyed).where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"),
+                    "near")
+    rows = found.groupBy("key").agg(F.first("component_id").alias("comp"), F.count("*").alias("n")) \
+        .join(docs.select(key.alias("key"), "doc_id").distinct(), "key")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"]
+    rows = written(rows, "copies")
+    first = rows.groupBy("comp").agg(least.alias("kept"))
+    judged = rows.join(first, "comp").withColumn("why", F.when(F.col("key") != F.col("kept"), "copy").when(F.col("n") > 1, "repeat"))
+    # Two rows may share a hash by accident; then a key is lost only if no row of it is to stay.
+    out = written(judged.groupBy("key").agg(F.max(F.coalesce("why", F.lit("stays"))).alias("why"))
+                  .where("why <> 'stays'").withColumnRenamed("key", "_key"), "losers")
+    small = out.count() * KEY_BYTES <= BROADCAST_BYTES
+    marked = docs.select(key.alias("_key"), F.struct(*_columns(docs)).alias("row")) \
+        .join(F.broadcast(out) if small else out, "_key", "left")
+    back = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    once, again = marked.where("why is null").select(*back), marked.where("why = 'repeat'")
+    plain = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]  # types that have a hash
+    again = again.groupBy("_key").agg(F.min_by("row", F.xxhash64(*[F.col(f"row.`{c}`") for c in plain])).alias("row"))
+    return once.unionByName(again.select(*back))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     bad = written(decontaminate.leaks(keyed, _table(spark, sf_dir, "benchmark"), key="key").select("key").distinct(),
                   "leaks")
     bad = bad.withColumnRenamed("key", "_key")
-    if bad.count() <= BROADCAST_IDS:
+    if bad.count() * KEY_BYTES <= BROADCAST_BYTES:
         bad = F.broadcast(bad)
     return docs.join(bad, F.xxhash64(docs["text"]) == F.col("_key"), "left_anti")
 
