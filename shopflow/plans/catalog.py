@@ -237,7 +237,16 @@ def ads_sliding_counts(spark, base):
 def area_city_remark_sql(spark, base):
     prepare(spark)
     from shopflow.functions.city_remark import area_city_remark_sql as via_sql
-    return via_sql(spark, fx.user_visit_action(spark, base), fx.city_info(spark, base))
+    return via_sql(spark, fx.user_visit_action(spark, base), fx.city_info(spark, base)).drop("clickcount")
+
+
+@query
+def area_top3_products_sql(spark, base):
+    """The area question as SQL text, with the remark as an aggregate beside count(*)."""
+    prepare(spark)
+    from shopflow.functions.city_remark import area_top_products_sql
+    return area_top_products_sql(spark, fx.user_visit_action(spark, base), fx.city_info(spark, base),
+                                 fx.product_info(spark, base))
 
 
 # ---------------------------------------------------------------- ad clicks, streaming form

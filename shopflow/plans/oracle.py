@@ -107,6 +107,8 @@ FROM (SELECT *, CAST(rank() OVER (PARTITION BY area ORDER BY clickcount DESC) AS
 JOIN products p ON p.product_id = r.click_product_id
 WHERE r.rk <= 3"""
 
+SQL["area_top3_products_sql"] = SQL["area_top3_products"]
+
 # ---------------------------------------------------------------- request filter
 SQL["filtered_actions"] = _with(UVA) + """
 SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_category_id,
