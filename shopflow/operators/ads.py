@@ -211,20 +211,28 @@ def sliding_counts(log: DataFrame, size: str = "60 minutes", slide: str = "10 mi
 
     When ``slide`` divides ``size``, events are first counted per slide-long pane and each pane
     count is then added to its size/slide windows, instead of copying every event into each
-    window it belongs to. A stream counts per window of its watermarked ``ts``.
+    window it belongs to. On a stream (its ``ts`` watermarked) these are two event-time
+    aggregations, the second over the panes that the watermark has closed.
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
-    if size_s % slide_s != 0 or log.isStreaming:  # a stream needs the window column to carry its watermark
+    if size_s % slide_s != 0:
         g = log.groupBy(F.window("ts", size, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
         return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
+    if log.isStreaming:
+        panes = log.groupBy(F.window("ts", slide).alias("pane"), key).agg(F.count(F.lit(1)).alias("c"))
+        g = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), key).agg(F.sum("c").alias("n"))
+        return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
     step_ms = slide_s * 1000
     pane = F.floor(F.unix_millis("ts") / F.lit(step_ms)) * F.lit(step_ms)
-    panes = log.groupBy(pane.alias("pane_ms"), key).agg(F.count(F.lit(1)).alias("c"))
-    k = size_s // slide_s
-    spread = panes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"), "pane_ms", key, "c")
+    return windows_of_panes(log.groupBy(pane.alias("pane_ms"), key).agg(F.count(F.lit(1)).alias("c")), size, slide, key)
+
+
+def windows_of_panes(panes: DataFrame, size: str, slide: str, key: str = "ads_id") -> DataFrame:
+    """Sums per (window, key) of pane counts (pane_ms, key, c): each pane goes to its size/slide windows."""
+    size_ms, step_ms = _seconds(size) * 1000, _seconds(slide) * 1000
+    spread = panes.select(F.explode(F.sequence(F.lit(0), F.lit(size_ms // step_ms - 1))).alias("j"), "pane_ms", key, "c")
     start_ms = F.col("pane_ms") - F.col("j") * F.lit(step_ms)
     g = spread.groupBy(start_ms.alias("start_ms"), key).agg(F.sum("c").cast("long").alias("n"))
     return g.select(F.timestamp_millis("start_ms").alias("window_start"),
-                    F.timestamp_millis(F.col("start_ms") + F.lit(size_s * 1000)).alias("window_end"),
+                    F.timestamp_millis(F.col("start_ms") + F.lit(size_ms)).alias("window_end"),
                     key, "n")

@@ -3,19 +3,28 @@
 rate(a -> b) = round_half_up(hops(a -> b) / visits(a) * 1000) / 10, for consecutive pages a, b of
 the flow. A hop is an action followed by the next action of the same session in time order.
 
-Successors are found without a self join and without gathering a whole session in one task:
-``lead`` runs per (session, time chunk); the last action of each chunk is then paired with the
-first action of the session's next chunk through a small window over one row per chunk.
+Successors are found without a self join and without gathering a session, an hour or a second of one in
+one task: actions are range-partitioned by (session, time, tie-break), so a busy session splits anywhere,
+and sorted where they lie; a task pairs neighbours as they stream by. The last action of each partition is
+then paired with the first of the next one through a window over one row per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.functions.exprs import parse_action_time, percent, time_chunk
+from shopflow.functions.exprs import parse_action_time, percent
 from shopflow.operators.conditions import target_flow
-from shopflow.operators.sessions import DEFAULT_CHUNK_SECONDS, tiebreak_col, with_action_ts
+from shopflow.operators.sessions import tiebreak_col
+
+NO_PAGE = -(1 << 63)  # stands for a null page between neighbours; no page has this id
 
 
 def _flow(flow) -> list[int]:
@@ -43,54 +52,112 @@ def page_visit_counts(actions: DataFrame, flow) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("n")))
 
 
-def page_hops(actions: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def in_order(actions: DataFrame) -> DataFrame:
+    """(session, page_id, timed, session_id) in (session, time, tie-break) order across range partitions. An
+    action whose time does not parse is not ``timed`` and follows nothing."""
+    a = actions.select("session_id", "page_id", parse_action_time("action_time").alias("action_ts"),
+                       tiebreak_col(actions).alias("_tb"))
+    order = ["session_id", "action_ts", "_tb"]
+    key = F.concat(F.when(F.col("session_id").isNull(), "-").otherwise("+"), F.coalesce(F.col("session_id").cast("string"), F.lit("")))
+    return a.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        key.alias("session"), F.col("page_id").cast("long").alias("page_id"), F.col("action_ts").isNotNull().alias("timed"),
+        "session_id")
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]):
+    """Per batch of a sorted partition: the batch, the page before each action, its page, and whether the two
+    follow each other in a session."""
+    last = (None, NO_PAGE, False)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        s, p = b.column("session"), b.column("page_id").fill_null(NO_PAGE).to_numpy()
+        t = b.column("timed").to_numpy(zero_copy_only=False)
+        same = np.r_[last[0] == s[0].as_py(), pc.equal(s[1:], s[:-1]).to_numpy(zero_copy_only=False)].astype(bool)
+        yield b, np.r_[last[1], p[:-1]], p, same & t & np.r_[last[2], t[:-1]]
+        last = (s[-1].as_py(), p[-1], bool(t[-1]))
+
+
+_BORDER = "part int, s0 string, p0 long, t0 boolean, s1 string, p1 long, t1 boolean"
+_NAMES = [c.split()[0] for c in _BORDER.split(", ")]
+_TYPES = [pa.int32(), *[pa.string(), pa.int64(), pa.bool_()] * 2]
+
+
+class _Border:
+    """First and last action of a partition."""
+
+    def __init__(self) -> None:
+        self.first = self.last = None
+
+    def see(self, b: pa.RecordBatch, p: np.ndarray) -> None:
+        end = lambda i: (b.column("session")[i].as_py(), int(p[i]), b.column("timed")[i].as_py())
+        self.first = self.first or end(0)
+        self.last = end(-1)
+
+    def columns(self) -> list[pa.Array]:
+        values = (TaskContext.get().partitionId(), *self.first, *self.last)
+        return [pa.array([x], t) for x, t in zip(values, _TYPES)]
+
+
+def _over_borders() -> tuple[Column, Column]:
+    """(page before, page) of the last action of a partition and the first of the next one that has rows, null
+    where they do not follow each other. One row per partition is ordered."""
+    w = Window.orderBy("part")
+    meets = (F.lead("s0").over(w) == F.col("s1")) & F.col("t1") & F.lead("t0").over(w)
+    return F.when(meets, F.col("p1")), F.when(meets, F.lead("p0").over(w))
+
+
+def page_hops(actions: DataFrame) -> DataFrame:
     """Every (session_id, from_page, to_page) of consecutive actions in a session."""
-    a = (with_action_ts(actions).select("session_id", "page_id", "action_ts", "_tb")
-         .withColumn("chunk", time_chunk("action_ts", chunk_seconds)))
-    w = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "_tb")
-    marked = (a.withColumn("to_page", F.lead("page_id").over(w))
-              .withColumn("pos", F.row_number().over(w)))
-    inner = (marked.filter(F.col("to_page").isNotNull())
-             .select("session_id", F.col("page_id").alias("from_page"), "to_page"))
-    # One row per chunk: its first and last page. Grouping keys equal the window's partition
-    # keys, so this aggregate needs no further shuffle.
-    ends = (marked.filter((F.col("pos") == 1) | F.col("to_page").isNull())
-            .groupBy("session_id", "chunk")
-            .agg(F.max(F.when(F.col("pos") == 1, F.col("page_id"))).alias("first_page"),
-                 F.max(F.when(F.col("to_page").isNull(), F.col("page_id"))).alias("last_page")))
-    wc = Window.partitionBy("session_id").orderBy("chunk")
-    across = (ends.withColumn("to_page", F.lead("first_page").over(wc))
-              .filter(F.col("to_page").isNotNull())
-              .select("session_id", F.col("last_page").alias("from_page"), "to_page"))
-    return inner.unionByName(across)
-
-
-def flow_counts(actions: DataFrame, flow, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        border, names = _Border(), ["session", "from_page", "to_page", *_NAMES]
+        none = lambda n: [pa.nulls(n, t) for t in _TYPES]
+        for b, before, page, follows in _neighbours(batches):
+            border.see(b, page)
+            at = np.flatnonzero(follows & (page != NO_PAGE))
+            yield pa.record_batch([b.column("session").take(pa.array(at)), pa.array(before[at]), pa.array(page[at]),
+                                   *none(len(at))], names=names)
+        if border.first:
+            yield pa.record_batch([pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                                   *border.columns()], names=names)
+
+    found = in_order(actions).mapInArrow(run, f"session string, from_page long, to_page long, {_BORDER}")
+    before, page = _over_borders()
+    across = found.where("part is not null").select(F.col("s1").alias("session"), before.alias("from_page"), page.alias("to_page")) \
+        .where(F.col("to_page").isNotNull() & (F.col("to_page") != NO_PAGE))
+    return found.where("part is null").select("session", "from_page", "to_page").unionByName(across).select(
+        F.when(F.col("session").startswith("+"), F.substr("session", F.lit(2))).alias("session_id"),
+        F.nullif("from_page", F.lit(NO_PAGE)).alias("from_page"), "to_page")
+
+
+def flow_counts(actions: DataFrame, flow) -> DataFrame:
     """Per target hop: ``page_jump``, ``from_page``, ``n`` (times it happened, 0 included) and ``visits``
-    of its first page (L5, F3, F5, A7, A8). One pass: actions are ordered once per (session, chunk) and
-    folded, in the same partitioning, to one row per chunk with its hop and visit counters and its
-    border pages; only those rows are ordered per session, to count the hops across chunks.
+    of its first page (L5, F3, F5, A7, A8). One pass: actions are ordered once across range partitions and
+    each partition becomes one row with its hop and visit counters and its border actions; only those rows
+    meet, to count the hops across partitions.
     Actions whose time does not parse count as visits and make no hop."""
     hops = flow_hops(flow)
     starts = list(dict.fromkeys(x for x, _ in hops))
-    a = (actions.withColumn("action_ts", parse_action_time("action_time")).withColumn("_tb", tiebreak_col(actions))
-         .select("session_id", "page_id", "action_ts", "_tb")
-         .withColumn("chunk", time_chunk("action_ts", chunk_seconds)))
-    w = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "_tb")
-    page, timed = F.col("page_id"), F.col("action_ts").isNotNull()
-    marked = (a.withColumn("_next", F.lead("page_id").over(w)).withColumn("_more", F.lead(F.lit(True)).over(w))
-              .withColumn("_pos", F.row_number().over(w)))
-    chunks = marked.groupBy("session_id", "chunk").agg(
-        F.max(F.when(timed & (F.col("_pos") == 1), page)).alias("_first"),
-        F.max(F.when(timed & F.col("_more").isNull(), page)).alias("_last"),
-        *[F.count_if(timed & (page == x) & (F.col("_next") == y)).alias(f"h{i}") for i, (x, y) in enumerate(hops)],
-        *[F.count_if(page == x).alias(f"v{i}") for i, x in enumerate(starts)])
-    wc = Window.partitionBy("session_id").orderBy("chunk")
-    timed_chunk = F.col("chunk").isNotNull()
-    total = chunks.withColumn("_over", F.when(timed_chunk, F.lead("_first").over(wc))).agg(
-        *[F.sum(F.col(f"h{i}") + F.when((F.col("_last") == x) & (F.col("_over") == y), 1).otherwise(0)).alias(f"h{i}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        border, h, v = _Border(), [0] * len(hops), [0] * len(starts)
+        for b, before, page, follows in _neighbours(batches):
+            border.see(b, page)
+            for i, (x, y) in enumerate(hops):
+                h[i] += int(np.count_nonzero(follows & (before == x) & (page == y)))
+            for i, x in enumerate(starts):
+                v[i] += int(np.count_nonzero(page == x))
+        if border.first:
+            yield pa.record_batch([*border.columns(), pa.array([h], pa.list_(pa.int64())),
+                                   pa.array([v], pa.list_(pa.int64()))], names=[*_NAMES, "h", "v"])
+
+    parts = in_order(actions).drop("session_id").mapInArrow(run, f"{_BORDER}, h array<long>, v array<long>")
+    before, page = _over_borders()
+    total = parts.select("h", "v", before.alias("_before"), page.alias("_page")).agg(
+        *[F.sum(F.col("h")[i] + F.when((F.col("_before") == x) & (F.col("_page") == y), 1).otherwise(0)).alias(f"h{i}")
           for i, (x, y) in enumerate(hops)],
-        *[F.sum(f"v{i}").alias(f"v{i}") for i in range(len(starts))])
+        *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(len(starts))])
     zero = F.lit(0).cast("long")
     return total.select(F.inline(F.array(*[
         F.struct(F.lit(f"{x}_{y}").alias("page_jump"), F.lit(x).cast("long").alias("from_page"),
@@ -98,17 +165,16 @@ def flow_counts(actions: DataFrame, flow, chunk_seconds: int = DEFAULT_CHUNK_SEC
         for i, (x, y) in enumerate(hops)])))
 
 
-def page_jump_counts(actions: DataFrame, flow, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def page_jump_counts(actions: DataFrame, flow) -> DataFrame:
     """Count of each target hop ``a_b`` (F5, A8). Hops that never happen are absent."""
-    return flow_counts(actions, flow, chunk_seconds).filter(F.col("n") > 0).select("page_jump", "from_page", "n")
+    return flow_counts(actions, flow).filter(F.col("n") > 0).select("page_jump", "from_page", "n")
 
 
-def page_convert_rate(actions: DataFrame, flow, include_zero: bool = False,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def page_convert_rate(actions: DataFrame, flow, include_zero: bool = False) -> DataFrame:
     """Conversion rate per target hop (J6, C10), from one pass over the actions.
 
     ``include_zero=True`` adds hops that never happen with rate 0.0 (D12).
     """
-    counts = flow_counts(actions, flow, chunk_seconds)
+    counts = flow_counts(actions, flow)
     counts = counts if include_zero else counts.filter(F.col("n") > 0)
     return counts.select("page_jump", percent("n", "visits", 1).alias("rate"))

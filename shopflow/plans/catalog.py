@@ -403,16 +403,28 @@ def ads_area_city_daily_kept(spark, base):
 
 
 # ---------------------------------------------------------------- streams in several batches
-@query
-def ads_sliding_counts_stream(spark, base):
+def _sliding_stream(spark, base, slide):
     prepare(spark)
     root = fresh_dir(spark, "ads_sliding")
     ads_stream.run_available(ads_stream.start_sliding_counts(
-        _ads_stream(spark, base), root, trigger={"availableNow": True}, state_partitions=_cores(spark)))
-    return ads_stream.sliding_store(spark, root).read().select(
+        _ads_stream(spark, base), root, slide=slide, trigger={"availableNow": True}, state_partitions=_cores(spark)))
+    return ads_stream.sliding_counts_so_far(spark, root, slide=slide)
+
+
+@query
+def ads_sliding_counts_stream(spark, base):
+    return _sliding_stream(spark, base, "10 minutes").select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "ads_id", "n")
 
 
+@query
+def ads_sliding_fine_stream(spark, base):
+    """60 minutes every minute, as a dashboard reads it: per ad, the windows with clicks, their clicks and
+    the busiest of them."""
+    w = _sliding_stream(spark, base, "1 minute")
+    return w.groupBy("ads_id").agg(F.count("*").alias("windows"), F.sum("n").alias("clicks"), F.max("n").alias("most"))
+
+
 def _replayed(spark, base, name, start, **options):
     prepare(spark)
     root = fresh_dir(spark, name)

@@ -401,6 +401,11 @@ WHERE c.cts IS NULL OR l.ts < c.cts OR (l.ts = c.cts AND l.seq <= c.cseq)
 GROUP BY ALL"""
 
 SQL["ads_sliding_counts_stream"] = SQL["ads_sliding_counts"]
+SQL["ads_sliding_fine_stream"] = _with(UVA, ADS) + """
+SELECT ads_id, CAST(count(*) AS BIGINT) AS windows, CAST(sum(n) AS BIGINT) AS clicks, max(n) AS most
+FROM (SELECT (epoch_ms(ts) // 60000) - j AS w, ads_id, CAST(count(*) AS BIGINT) AS n
+      FROM adslog, range(0, 60) AS r(j) GROUP BY 1, 2)
+GROUP BY 1"""
 SQL["ads_blacklist_replay"] = SQL["ads_blacklist"]
 SQL["ads_area_city_daily_replay"] = SQL["ads_area_city_daily"]
 SQL["ads_last_hour_replay"] = SQL["ads_last_hour"]

@@ -83,11 +83,6 @@ def rejects_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/rejects", ["seq"], "value string, reason string, seq long")
 
 
-def sliding_store(spark: SparkSession, root: str) -> SnapshotStore:
-    return SnapshotStore(spark, f"{root}/sliding", ["window_start", "ads_id"],
-                         "window_start timestamp, window_end timestamp, ads_id string, n long")
-
-
 # ---------------------------------------------------------------- sources (S3)
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                 max_offsets_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
@@ -274,24 +269,42 @@ def start_rejects(rejected: DataFrame, root: str, trigger: dict | None = None) -
 
 # ---------------------------------------------------------------- T8
 def start_sliding_counts(log: DataFrame, root: str, size: str = "60 minutes", slide: str = "10 minutes",
-                         watermark: str = "60 minutes", trigger: dict | None = None, compact_every: int = 100,
+                         watermark: str = "60 minutes", trigger: dict | None = None,
                          state_partitions: int | None = None) -> StreamingQuery:
-    """Clicks per (sliding window, ad) of event time (T8), kept in the state store until the watermark
-    passes a window's end and upserted into ``{root}/sliding``. Events later than ``watermark`` after
-    the newest one are dropped for windows that have closed, as Spark's watermarks do."""
+    """Clicks per (sliding window, ad) of event time (T8). Events are counted per slide-long pane in one
+    state; a pane that the watermark has closed adds its count to the windows it is part of in a second
+    state, so an event is one row whatever the number of windows over it (360 at 60 minutes / 10 seconds).
+    A window is written once, when the watermark passes its end, by Spark's file sink (append mode) to
+    ``{root}/sliding``; :func:`sliding_counts_so_far` adds the windows still open. Events later than
+    ``watermark`` after the newest one are dropped for panes that have closed, as Spark's watermarks do."""
     counts = ads.sliding_counts(log.withWatermark("ts", watermark), size, slide)
-    store = sliding_store(log.sparkSession, root)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            store.compact(batch_id)
-
-    w = counts.writeStream.outputMode("update").foreachBatch(process) \
+    w = counts.writeStream.outputMode("append").format("parquet").option("path", f"{root}/sliding") \
         .option("checkpointLocation", f"{root}/checkpoint")
     return _start(w, log.sparkSession, trigger, state_partitions)
 
 
+def state_rows(spark: SparkSession, root: str, operator: int = 0) -> DataFrame:
+    """(key, value) of one stateful operator of a stream, as its last batch left them, by Spark's own reader
+    of state over the checkpoint."""
+    return spark.read.format("statestore").option("operatorId", operator).load(f"{root}/checkpoint").select("key", "value")
+
+
+def sliding_counts_so_far(spark: SparkSession, root: str, size: str = "60 minutes", slide: str = "10 minutes") -> DataFrame:
+    """All windows of :func:`start_sliding_counts` up to its last batch: closed ones from the sink, open ones
+    from the stream's state (sums of closed panes, and panes still counted)."""
+    names = ["window_start", "window_end", "ads_id", "n"]
+    closed = spark.read.schema("window_start timestamp, window_end timestamp, ads_id string, n long") \
+        .parquet(f"{root}/sliding").select(*names)
+    # Told apart by what they hold, not by the order in which Spark numbers them.
+    states = {s.schema["value"].dataType.names[0]: s for s in (state_rows(spark, root, k) for k in (0, 1))}
+    panes = states["count"].select(F.unix_millis("key.window.start").alias("pane_ms"), "key.ads_id",
+                                   F.col("value.count").alias("c"))
+    sums = states["sum"].select(F.col("key.window.start").alias("window_start"), F.col("key.window.end").alias("window_end"),
+                                "key.ads_id", F.col("value.sum").alias("n"))
+    still = sums.unionByName(ads.windows_of_panes(panes, size, slide)).groupBy(*names[:3]).agg(F.sum("n").alias("n"))
+    return closed.unionByName(still.select(*names))
+
+
 # ---------------------------------------------------------------- R10
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 

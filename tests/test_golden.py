@@ -93,8 +93,7 @@ def test_g5_sample_quota(spark):
 
 
 # G6
-@pytest.mark.parametrize("chunk", [1, 3600])
-def test_g6_conversion(spark, chunk):
+def test_g6_conversion(spark):
     rows, eid = [], 0
     for sess, pages in (("s1", [1, 2, 3, 1, 2]), ("s2", [2, 3]), ("s3", [1])):
         for sec, p in enumerate(pages):
@@ -103,9 +102,9 @@ def test_g6_conversion(spark, chunk):
     df = actions_df(spark, rows)
     visits = {r.page_id: r.n for r in funnel.page_visit_counts(df, "1,2,3,4,5,6,7").collect()}
     assert visits == {1: 3, 2: 3, 3: 2}
-    hops = {r.page_jump: r.n for r in funnel.page_jump_counts(df, "1,2,3,4,5,6,7", chunk).collect()}
+    hops = {r.page_jump: r.n for r in funnel.page_jump_counts(df, "1,2,3,4,5,6,7").collect()}
     assert hops == {"1_2": 2, "2_3": 2}
-    rates = {r.page_jump: r.rate for r in funnel.page_convert_rate(df, "1,2,3,4,5,6,7", chunk_seconds=chunk).collect()}
+    rates = {r.page_jump: r.rate for r in funnel.page_convert_rate(df, "1,2,3,4,5,6,7").collect()}
     assert rates == {"1_2": 66.7, "2_3": 66.7}
     full = {r.page_jump: r.rate for r in funnel.page_convert_rate(df, [1, 2, 3, 4], include_zero=True).collect()}
     assert full == {"1_2": 66.7, "2_3": 66.7, "3_4": 0.0}

@@ -65,16 +65,81 @@ def test_hot_session_lists_match_brute_force(spark, skewed, chunk):
                 r.order_product_ids, r.pay_product_ids) == w[:6], r.session_id
 
 
-@pytest.mark.parametrize("chunk", [60, 86400 * 7])
-def test_hot_session_hops_match_brute_force(spark, skewed, chunk):
+def hop_counts(hops):
+    return {(r.from_page, r.to_page): r.n for r in hops.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def test_hot_session_hops_match_brute_force(spark, skewed):
     want = {}
     for w in _brute_sessions(skewed).values():
         for a, b in w[6]:
             want[(a, b)] = want.get((a, b), 0) + 1
-    hops = funnel.page_hops(spark.createDataFrame(skewed, SCHEMA), chunk)
-    got = {(r.from_page, r.to_page): r.n for r in
-           hops.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert got == want
+    assert hop_counts(funnel.page_hops(spark.createDataFrame(skewed, SCHEMA))) == want
+
+
+@pytest.fixture(scope="module")
+def dense(spark):
+    """Every third of 24,000 actions in one session and one second."""
+    rnd, t0 = random.Random(12), dt.datetime(2024, 1, 1)
+    rows = [("2024-01-01", 1, "hot" if e % 3 == 0 else f"s{rnd.randrange(900)}", rnd.randrange(1, 8),
+             (t0 if e % 3 == 0 else t0 + dt.timedelta(seconds=rnd.randrange(80000))).strftime("%Y-%m-%d %H:%M:%S"),
+             None, -1, -1, None, None, None, None, 1, e) for e in range(24_000)]
+    return rows
+
+
+@pytest.fixture
+def shuffled_to(spark):
+    """Sets the number of shuffle partitions, which small tables would else be merged into one."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def put(n):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    yield put
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_one_dense_second_splits_anywhere(spark, dense, shuffled_to):
+    shuffled_to(8)
+    df = spark.createDataFrame(dense, SCHEMA).repartition(6)
+    parts = funnel.in_order(df).select(F.spark_partition_id().alias("p"), (F.col("session_id") == "hot").cast("int").alias("hot")) \
+        .groupBy("p").agg(F.count("*").alias("n"), F.sum("hot").alias("hot")).collect()
+    sizes = sorted(r.n for r in parts)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
+    assert sum(r.hot > 0 for r in parts) >= 2  # its one second lies in several partitions
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_hops_over_borders_of_a_dense_second(spark, dense, partitions, shuffled_to):
+    shuffled_to(partitions)
+    rows = dense[:3000] + [(d, u, s, p, "no time", *r) for d, u, s, p, _, *r in dense[3000:3100]]
+    by = {}
+    for r in sorted(rows[:3000], key=lambda r: (r[4], r[13])):
+        by.setdefault(r[2], []).append(r[3])
+    want = {}
+    for pages in by.values():
+        for a, b in zip(pages, pages[1:]):
+            want[a, b] = want.get((a, b), 0) + 1
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert hop_counts(funnel.page_hops(df)) == want
+    got = {r.page_jump: (r.n, r.visits) for r in funnel.flow_counts(df, "1,2,3,3,1").collect()}
+    visits = lambda p: sum(r[3] == p for r in rows)
+    assert got == {f"{a}_{b}": (want[a, b], visits(a)) for a, b in [(1, 2), (2, 3), (3, 3), (3, 1)]}
+
+
+def test_hops_of_odd_rows(spark, shuffled_to):
+    shuffled_to(5)
+    row = lambda s, p, t, e: ("2024-01-01", 1, s, p, t, None, -1, -1, None, None, None, None, 1, e)
+    rows = [row(None, 1, "2024-01-01 00:00:01", 1), row(None, 2, "2024-01-01 00:00:02", 2), row("", 1, "2024-01-01 00:00:01", 3),
+            row("", 2, "2024-01-01 00:00:02", 4), row("a", None, "2024-01-01 00:00:01", 5), row("a", 2, "2024-01-01 00:00:02", 6),
+            row("a", None, "2024-01-01 00:00:03", 7), row("b", 1, None, 8), row("b", 2, "2024-01-01 00:00:02", 9)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = sorted(map(repr, map(tuple, funnel.page_hops(df).collect())))
+    assert got == sorted(map(repr, [(None, 1, 2), ("", 1, 2), ("a", None, 2)]))
+    assert funnel.page_hops(df.limit(0)).count() == 0
+    assert [tuple(r) for r in funnel.flow_counts(df.limit(0), "1,2").collect()] == [("1_2", 1, 0, 0)]
 
 
 def test_hot_session_is_split_across_chunks(spark, skewed):
