@@ -4,8 +4,8 @@ The merge rules give every text one encoding: start from single characters and k
 adjacent pair whose joined piece scores best (leftmost of equals) until no pair is a piece. A
 sequence of pieces is that encoding if and only if the rules, run on each two neighbours alone, give
 back these two (the first merge across a border would otherwise also happen in the pair alone). So a
-text is encoded by backtracking: take the longest piece that starts here, found for all places by one
-Aho-Corasick pass; keep it if it is compatible with the piece before it, judged by re-merging the two;
+text is encoded by backtracking: take the longest piece that starts here, found by an Aho-Corasick search
+that runs on until it meets an earlier one; keep it if it is compatible with the piece before it, judged by re-merging the two;
 else try the next shorter piece; where none fits, mark the place in a bitfield and go back one piece.
 Every prefix of a text has one encoding, so a marked place never has to be tried again.
 
@@ -21,9 +21,10 @@ tables. Models that are not BPE with byte fallback and the identity normaliser r
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import defaultdict
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -107,22 +108,28 @@ class Pieces:
         self.raw = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL
                     else train.unk_surface.encode() if p.type == UNKNOWN else p.piece.replace(MARK, " ").encode()
                     for p in proto.pieces]
-        self.control = {i for i, p in enumerate(proto.pieces) if p.type == CONTROL}
+        self.control = np.array([p.type == CONTROL for p in proto.pieces])
         self.is_byte = [p.type == BYTE for p in proto.pieces]
         self.marked = [p.type == NORMAL and p.piece.startswith(MARK) for p in proto.pieces]
 
-        self.longest = ahocorasick.Automaton()
-        for piece in self.id:
-            self.longest.add_word(piece, piece)
-        self.longest.make_automaton()
-
-        self.cut = _cut_pattern({p[i:i + 2] for p in self.id for i in range(len(p) - 1)})
         self.cuts = _Cuts(self._encode_cut)
         self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)  # answers of compatible()
         self.answers = 0
         self.histories: dict[str, tuple | None] = {}
         self.prefix: dict[str, str] = {}
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        made = ahocorasick.Automaton()
+        for piece in self.id:
+            made.add_word(piece, piece)
+        made.make_automaton()
+        return made
+
+    @cached_property
+    def cut(self) -> re.Pattern:
+        return _cut_pattern({p[i:i + 2] for p in self.id for i in range(len(p) - 1)})
+
     def merges(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
         """The encoding of a short text by the merge rules themselves, and each merge: its score, and the
         first and the last part just before it."""
@@ -193,13 +200,20 @@ class Pieces:
     def split(self, text: str) -> list[str]:
         """The pieces of a text by backtracking (characters without a piece stand alone)."""
         n = len(text)
-        longest = list(text)  # at each place: the longest piece that starts there, else the character
-        for last, piece in self.longest.iter(text):  # by end, so of one start the longest comes last
-            longest[last - len(piece) + 1] = piece
-        longest.append("")
+        longest: dict[int, str] = {}  # where a search came by: the longest piece that starts there, else the character
+        search = self.automaton.iter_long
+
+        def start(at: int) -> str:
+            for last, piece in search(text, at):  # leftmost and longest, one behind the other
+                first = last - len(piece) + 1
+                if first in longest:  # from here on an earlier search has gone
+                    break
+                longest[first] = piece
+            return longest.setdefault(at, text[at])
+
         out: list[str] = []
         failed = None  # a bit for each place, from the first failure on
-        at, piece = 0, longest[0]
+        at, piece = 0, start(0) if n else ""
         answers = self.pairs[""]
         while at < n:
             while piece:
@@ -220,7 +234,10 @@ class Pieces:
                 last = out.pop()
                 at -= len(last)
             answers = self.pairs[out[-1] if out else ""]
-            piece = longest[at] if piece else self.shorter(last)
+            if not piece:
+                piece = self.shorter(last)
+            elif at < n:
+                piece = longest.get(at) or start(at)
         return out
 
     def _encode_cut(self, cut: str) -> list[int]:
@@ -237,12 +254,12 @@ class Pieces:
         cuts = self.cut.findall(MARK + text if self.dummy else text)
         return list(chain.from_iterable(map(self.cuts.__getitem__, cuts)))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        at = np.asarray(ids, dtype=np.int64)
+        ids = at.tolist()
         first = next((i for i in ids if self.raw[i]), None)
         drop = first is not None and self.dummy and self.marked[first]
-        while ids and ids[-1] in self.control:
-            ids = ids[:-1]
-        if self.control.isdisjoint(ids):  # control ids part the byte pieces beside them
+        if not self.control[at[:-1]].any():  # control ids inside a text part the byte pieces beside them
             try:
                 return b"".join(map(self.raw.__getitem__, ids))[drop:].decode()
             except UnicodeDecodeError:
@@ -299,8 +316,12 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids"
     def make(texts: pa.Array) -> pa.Array:
         pieces = loaded(shared.value)
         tail = [pieces.end] if end else []
-        return _lists([None if t is None else np.array(pieces.encode(t) + tail, dtype=np.int32)
-                       for t in (x.as_py() for x in texts)])
+        gc.disable()  # nothing made here refers to itself, and the tables are long to walk
+        try:
+            return _lists([None if t is None else np.array(pieces.encode(t) + tail, dtype=np.int32)
+                           for t in (x.as_py() for x in texts)])
+        finally:
+            gc.enable()
 
     # Not declared deterministic: a column used twice would else be made twice.
     return docs.withColumn(into, make.asNondeterministic()(F.col(text).cast("string")))
@@ -313,6 +334,8 @@ def decoded(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decode
     @F.arrow_udf("string")
     def make(rows: pa.Array) -> pa.Array:
         pieces = loaded(shared.value)
-        return pa.array([pieces.decode(x.as_py()) if x.is_valid else None for x in rows], pa.string())
+        at, flat = rows.offsets.to_pylist(), rows.values.to_numpy(zero_copy_only=False)
+        return pa.array([pieces.decode(flat[a:b]) if known else None for a, b, known in
+                         zip(at, at[1:], rows.is_valid().to_pylist())], pa.string())
 
     return docs.withColumn(into, make.asNondeterministic()(F.col(ids).cast("array<int>")))
