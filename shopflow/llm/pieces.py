@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.llm.store import small_batches
+
 MARK = "▁"        # stands for a space inside pieces
 KEPT_CUTS = 1 << 18    # encodings of short cuts a worker keeps
 KEPT_PAIRS = 1 << 18   # compatibility answers a worker keeps
@@ -310,7 +312,8 @@ def _lists(rows: list[np.ndarray | None]) -> pa.Array:
 
 def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids", end: bool = True) -> DataFrame:
     """``docs`` with the ids of ``text`` (array<int>), the model's end id last if ``end``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file: size checked by its reader
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary file, about 0.5 MB
 
     @F.arrow_udf("array<int>")
     def make(texts: pa.Array) -> pa.Array:
@@ -329,6 +332,7 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids"
 
 def decoded(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids``, as the library's ``decode(ids)`` gives it."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
