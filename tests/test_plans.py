@@ -50,7 +50,7 @@ def test_no_python_in_batch_plans(spark):
             continue
         p = plan(spark, name)
         # Page successors pair sorted neighbours in Arrow batches; nothing else runs Python.
-        allowed = {"MapInArrow"} if name in ("page_jump_counts", "page_convert_rate") else set()
+        allowed = {"MapInArrow"} if name.startswith("page_") and name != "page_visit_counts" else set()
         assert {n for n in PYTHON_NODES if n in p} == allowed, name
 
 
