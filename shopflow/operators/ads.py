@@ -180,9 +180,14 @@ def last_hour(log: DataFrame, as_of=None, minutes: int = 60) -> DataFrame:
         start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), F.date_trunc("minute", end))
         return last_hour_from_minutes(minute_counts(log.filter((F.col("ts") >= start) & (F.col("ts") <= end))))
     counts = minute_counts(log)
-    newest = counts.select(F.max("minute_ts")).scalar()
-    return last_hour_from_minutes(
-        counts.filter(F.col("minute_ts") >= F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), newest)))
+    return last_hour_from_minutes(last_minutes(counts, counts.select(F.max("minute_ts")).scalar(), minutes))
+
+
+def last_minutes(counts: DataFrame, newest: Column, minutes: int = 60) -> DataFrame:
+    """Minute counts of the ``minutes`` minutes that end with ``newest``'s."""
+    end = F.date_trunc("minute", newest)
+    start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), end)
+    return counts.filter((F.col("minute_ts") >= start) & (F.col("minute_ts") <= end))
 
 
 def last_hour_from_minutes(counts: DataFrame) -> DataFrame:

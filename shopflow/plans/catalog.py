@@ -268,7 +268,7 @@ def ads_area_city_daily_stream(spark, base):
     ads_stream.run_available(ads_stream.start_area_city_daily(
         _ads_stream(spark, base), root, trigger={"availableNow": True},
         state_partitions=_cores(spark)))
-    return ads_stream.totals_store(spark, root).read()
+    return ads_stream.daily_totals(spark, root)
 
 
 @query
@@ -278,7 +278,7 @@ def ads_area_top3_stream(spark, base):
     ads_stream.run_available(ads_stream.start_area_city_daily(
         _ads_stream(spark, base), root, trigger={"availableNow": True},
         state_partitions=_cores(spark)))
-    top = ads_stream.top_store(spark, root).read()
+    top = ads_stream.daily_top(spark, root)
     return top.select("day", "area", "ads_id", "n", "rn")
 
 
@@ -347,7 +347,7 @@ def ads_area_top3_json_stream(spark, base):
     ads_stream.run_available(ads_stream.start_area_city_daily(
         _ads_stream(spark, base), root, trigger={"availableNow": True},
         state_partitions=_cores(spark)))
-    return ads_stream.top_json_store(spark, root).read()
+    return ads_stream.daily_top_json(spark, root)
 
 
 # ---------------------------------------------------------------- request text, rejects, repeated hops, maps
@@ -444,7 +444,7 @@ def ads_blacklist_replay(spark, base):
 def ads_area_city_daily_replay(spark, base):
     """All events in three time-ordered batches: state and stored totals carried on."""
     root = _replayed(spark, base, "ads_area_city_daily", ads_stream.start_area_city_daily)
-    return ads_stream.totals_store(spark, root).read()
+    return ads_stream.daily_totals(spark, root)
 
 
 @query

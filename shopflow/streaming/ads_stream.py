@@ -2,18 +2,19 @@
 
 Independent streaming queries on the same parsed input, each with its own checkpoint:
 
-* ``start_area_city_daily`` - running clicks per (day, area, city, ad) kept in the state store,
-  emitted in ``update`` mode and upserted into a keyed snapshot; the same micro-batch then
-  recomputes the top ads of the days it touched (R8, R9).
+* ``start_area_city_daily`` - running clicks per (day, area, city, ad) and per (day, area, ad) in one
+  state; totals are read from that state, each micro-batch merges the totals it changed into the
+  top lists of its days (R8, R9).
 * ``start_blacklist``       - per micro-batch: drop listed users (list re-read every batch),
   count per (day, user, ad), upsert totals, list users whose total reaches the threshold (R7).
 * ``start_sliding_counts``  - clicks per sliding window and ad with a watermark (T8).
 * ``start_last_hour``       - clicks per (ad, minute) with a watermark, then the last 60 minutes
   per trigger, replacing the previous result (R10).
 
-All writes go through ``SnapshotStore`` (idempotent per batch id), and all state lives under
-the folders the caller names (normally below ``spark.checkpoint.dir``), so a restarted query
-resumes from its checkpoint with the same totals.
+Totals and minute counts live in Spark's state only and are read with Spark's state reader. Top lists
+replace their day's partition; the other writes go through ``SnapshotStore`` (idempotent per batch
+id). All state lies under the folders the caller names (normally below ``spark.checkpoint.dir``), so
+a restarted query resumes from its checkpoint with the same totals.
 """
 
 from __future__ import annotations
@@ -28,28 +29,13 @@ from shopflow.sources.sinks import SnapshotStore
 
 TOTALS_SCHEMA = "day string, area string, city string, ads_id string, n long"
 TOP_SCHEMA = "day string, area string, rn long, ads_id string, n long"
+TOP_JSON_SCHEMA = "date_key string, area string, top3_json string"
 USER_DAILY_SCHEMA = "day string, user_id string, ads_id string, n long"
 BLACKLIST_SCHEMA = "user_id string"
-MINUTES_SCHEMA = "ads_id string, minute_ts timestamp, n long, day string"
 LAST_HOUR_SCHEMA = "ads_id string, minute string, hh_mm string, n long"
 
 
 # ---------------------------------------------------------------- result stores (readers use these)
-def totals_store(spark: SparkSession, root: str) -> SnapshotStore:
-    return SnapshotStore(spark, f"{root}/totals", ["day", "area", "city", "ads_id"], TOTALS_SCHEMA,
-                         partition_by=["day"])
-
-
-def top_store(spark: SparkSession, root: str) -> SnapshotStore:
-    return SnapshotStore(spark, f"{root}/top", ["day", "area", "rn"], TOP_SCHEMA, partition_by=["day"])
-
-
-def top_json_store(spark: SparkSession, root: str) -> SnapshotStore:
-    """Per (day, area) the top list as JSON, keyed like the reference's ``area_top3_ads:<day>``."""
-    return SnapshotStore(spark, f"{root}/top_json", ["date_key", "area"],
-                         "date_key string, area string, top3_json string")
-
-
 def user_daily_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/user_daily", ["day", "user_id", "ads_id"], USER_DAILY_SCHEMA,
                          partition_by=["day"])
@@ -59,11 +45,6 @@ def blacklist_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/blacklist", ["user_id"], BLACKLIST_SCHEMA)
 
 
-def minutes_store(spark: SparkSession, root: str) -> SnapshotStore:
-    return SnapshotStore(spark, f"{root}/minutes", ["ads_id", "minute_ts"], MINUTES_SCHEMA,
-                         partition_by=["day"])
-
-
 def last_hour_json_store(spark: SparkSession, root: str) -> SnapshotStore:
     return SnapshotStore(spark, f"{root}/last_hour_json", ["ads_id"], "ads_id string, series_json string")
 
@@ -147,44 +128,72 @@ def _start(writer, spark: SparkSession, trigger: dict | None, state_partitions:
 
 
 # ---------------------------------------------------------------- R8 + R9
+def state_rows(spark: SparkSession, root: str, operator: int = 0, batch: int | None = None) -> DataFrame:
+    """(key, value) of one stateful operator of a stream, as its last batch (or ``batch``) left them, by
+    Spark's own reader of state over the checkpoint."""
+    r = spark.read.format("statestore").option("operatorId", operator)
+    if batch is not None:
+        r = r.option("batchId", batch)
+    return r.load(f"{root}/checkpoint").select("key", "value")
+
+
+AREA_LEVEL = 2  # grouping id of (day, area, ads_id): the bit of city alone is set
+
+
 def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None,
                           watermark: str | None = None, top_n: int = 3,
-                          compact_every: int = 100,
                           state_partitions: int | None = None) -> StreamingQuery:
     """Running totals per (day, area, city, ad) and the top ``top_n`` ads per (day, area).
 
+    The totals live in the state store alone, per city and, as a second grouping set, per area; read
+    them with :func:`daily_totals`. Totals only grow, so a day's new top list is the top of its old
+    list and of the ads the batch touched: a batch reads neither the totals nor the history. The
+    lists replace their day's partition of ``{root}/top`` and ``{root}/top_json``
+    (:func:`daily_top`, :func:`daily_top_json`). The first batch after a start takes the old lists from
+    the state that the batch before it committed, so a run that broke off while it replaced a
+    partition leaves no gap; merging the same batch twice changes nothing.
+
     Without ``watermark`` the state keeps every key, as the reference did (keys are
-    days x areas x cities x ads, so it grows by day, not by event). With a watermark the day
-    becomes an event-time window and days older than the watermark leave the state; their
-    totals stay in the snapshot. Results: ``{root}/totals``, ``{root}/top`` and ``{root}/top_json``.
+    days x areas x cities x ads, so it grows by day, not by event). With one, days that the watermark
+    has closed leave the state: Spark's file sink writes them once to ``{root}/days``, and totals and
+    lists are both made when read, from closed days and the state.
     """
     spark = log.sparkSession
     if watermark:
-        day = F.date_format(F.window("ts", "1 day").start, "yyyy-MM-dd")
-        src = log.withWatermark("ts", watermark)
-    else:
-        day = F.date_format("ts", "yyyy-MM-dd")
-        src = log
-    counts = src.groupBy(day.alias("day"), "area", "city", "ads_id").agg(F.count(F.lit(1)).alias("n"))
-    totals = totals_store(spark, root)
-    top = top_store(spark, root)
-    top_json = top_json_store(spark, root)
+        src = log.withWatermark("ts", watermark).groupBy(F.window("ts", "1 day"), "area", "city", "ads_id").count()
+        closed = src.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "area", "city", "ads_id",
+                            F.col("count").alias("n"))
+        w = closed.writeStream.outputMode("append").format("parquet").option("path", f"{root}/days") \
+            .option("checkpointLocation", f"{root}/checkpoint")
+        return _start(w, spark, trigger, state_partitions)
+
+    city, area = ["day", "area", "city", "ads_id"], ["day", "area", "ads_id"]
+    counts = ads.with_day(log).groupingSets([city, area], *city).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n"))
+    for name, schema, key in (("top", TOP_SCHEMA, "day"), ("top_json", TOP_JSON_SCHEMA, "date_key")):
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(key).parquet(f"{root}/{name}")
+    resumed = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("day", "area", "city", "ads_id", "n").persist()
+        session = batch.sparkSession
+        touched = batch.filter(F.col("level") == AREA_LEVEL).select(*area, "n").persist()
         ranked = None
         try:
-            totals.write_batch(batch, batch_id)
-            current = of_batch_days(totals, batch, batch_id + 1)
-            ranked = ads.area_top_ads(current, top_n).select("day", "area", "rn", "ads_id", "n").persist()
-            top.write_batch(ranked, batch_id)
-            top_json.write_batch(ads.area_top_ads_json(ranked), batch_id)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                totals.compact(batch_id)
-                top.compact(batch_id)
-                top_json.compact(batch_id)
+            first, last = touched.agg(F.min("day"), F.max("day")).first()
+            if first is not None:
+                if resumed:
+                    old = daily_top(session, root).select(*area, "n")
+                else:
+                    old = _state_totals(session, root, AREA_LEVEL, batch_id - 1).select(*area, "n") if batch_id else touched
+                old = old.filter(F.col("day").between(first, last)) \
+                    .join(touched.select("day").distinct(), "day", "left_semi")
+                newest = old.unionByName(touched).groupBy(*area).agg(F.max("n").alias("n"))
+                ranked = ads.area_top_ads(newest, top_n, rolled=True).persist()
+                _replace_parts(ranked.select("area", "rn", "ads_id", "n", "day"), f"{root}/top", "day")
+                _replace_parts(ads.area_top_ads_json(ranked), f"{root}/top_json", "date_key")
+                resumed[:] = [batch_id]
         finally:
-            batch.unpersist()
+            touched.unpersist()
             if ranked is not None:
                 ranked.unpersist()
 
@@ -193,6 +202,49 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
     return _start(w, spark, trigger, state_partitions)
 
 
+def _replace_parts(df: DataFrame, path: str, key: str) -> None:
+    """Replace the partitions of ``path`` that ``df`` holds, leaving all others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def _state_totals(spark: SparkSession, root: str, level: int = 0, batch: int | None = None) -> DataFrame:
+    """Totals in the daily stream's state: per city (level 0) or per area, where ``city`` is null."""
+    rows = state_rows(spark, root, batch=batch)
+    fields = rows.schema["key"].dataType.names
+    if "window" in fields:
+        rows = rows.withColumn("day", F.date_format("key.window.start", "yyyy-MM-dd"))
+    else:
+        rows = rows.filter(F.col("key.spark_grouping_id") == level).withColumn("day", F.col("key.day"))
+    return rows.select("day", "key.area", "key.city", "key.ads_id", F.col("value.count").alias("n"))
+
+
+def _closes_days(spark: SparkSession, root: str) -> bool:
+    return "window" in state_rows(spark, root).schema["key"].dataType.names
+
+
+def daily_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Clicks per (day, area, city, ad) up to the last batch of :func:`start_area_city_daily`, from its state
+    and, where it was given a watermark, the days closed before."""
+    still = _state_totals(spark, root)
+    if not _closes_days(spark, root):
+        return still
+    return spark.read.schema(TOTALS_SCHEMA).parquet(f"{root}/days").unionByName(still)
+
+
+def daily_top(spark: SparkSession, root: str, top_n: int = 3) -> DataFrame:
+    """Top ads per (day, area) up to the last batch; ``top_n`` counts where lists are made when read."""
+    if _closes_days(spark, root):
+        return ads.area_top_ads(daily_totals(spark, root), top_n).select("day", "area", "rn", "ads_id", "n")
+    return spark.read.schema(TOP_SCHEMA).parquet(f"{root}/top")
+
+
+def daily_top_json(spark: SparkSession, root: str, top_n: int = 3) -> DataFrame:
+    """Per (day, area) the top list as JSON, keyed like the reference's ``area_top3_ads:<day>``."""
+    if _closes_days(spark, root):
+        return ads.area_top_ads_json(daily_top(spark, root, top_n))
+    return spark.read.schema(TOP_JSON_SCHEMA).parquet(f"{root}/top_json")
+
+
 # ---------------------------------------------------------------- R7
 KEYS = ads.GROUP
 
@@ -283,12 +335,6 @@ def start_sliding_counts(log: DataFrame, root: str, size: str = "60 minutes", sl
     return _start(w, log.sparkSession, trigger, state_partitions)
 
 
-def state_rows(spark: SparkSession, root: str, operator: int = 0) -> DataFrame:
-    """(key, value) of one stateful operator of a stream, as its last batch left them, by Spark's own reader
-    of state over the checkpoint."""
-    return spark.read.format("statestore").option("operatorId", operator).load(f"{root}/checkpoint").select("key", "value")
-
-
 def sliding_counts_so_far(spark: SparkSession, root: str, size: str = "60 minutes", slide: str = "10 minutes") -> DataFrame:
     """All windows of :func:`start_sliding_counts` up to its last batch: closed ones from the sink, open ones
     from the stream's state (sums of closed panes, and panes still counted)."""
@@ -316,19 +362,18 @@ def _seconds(interval: str) -> float:
 
 
 def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
-                    watermark: str | None = None, minutes: int = 60,
-                    compact_every: int = 100, as_of: str = "newest_event",
+                    watermark: str | None = None, minutes: int = 60, as_of: str = "newest_event",
                     state_partitions: int | None = None) -> StreamingQuery:
     """Clicks per (ad, minute) for the last ``minutes`` minutes, refreshed every trigger.
 
     Events are counted once per (ad, minute) in the state store (no copy per sliding window);
     the watermark (``minutes`` unless a longer one is given; a shorter one is refused) evicts minutes
-    that can no longer fall in the window. Each batch upserts
-    the changed minute counts and replaces the result with the ``minutes`` minutes ending at
-    ``as_of``: the newest event's minute (``"newest_event"``, reproducible) or the trigger's
-    wall-clock minute (``"trigger"``, a live dashboard; D17). Results: ``{root}/last_hour``
-    (rows) and ``{root}/last_hour_json`` (one JSON series per ad), both read with
-    ``read_latest``."""
+    that can no longer fall in the window. Minute counts live in that state alone: each batch merges
+    the counts it changed with those of the state before it (open minutes only) and replaces the
+    result with the ``minutes`` minutes ending at ``as_of``: the newest event's minute
+    (``"newest_event"``, reproducible) or the trigger's wall-clock minute (``"trigger"``, a live
+    dashboard; D17). Results: ``{root}/last_hour`` (rows) and ``{root}/last_hour_json`` (one JSON
+    series per ad), both read with ``read_latest``."""
     if as_of not in ("newest_event", "trigger"):
         raise ValueError("as_of is 'newest_event' or 'trigger'")
     spark = log.sparkSession
@@ -338,35 +383,24 @@ def start_last_hour(log: DataFrame, root: str, trigger: dict | None = None,
     counts = (log.withWatermark("ts", watermark)
               .groupBy("ads_id", F.window("ts", "1 minute").alias("w"))
               .agg(F.count(F.lit(1)).alias("n")))
-    store = minutes_store(spark, root)
     result = last_hour_store(spark, root)
     series = last_hour_json_store(spark, root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n",
-                               F.date_format("w.start", "yyyy-MM-dd").alias("day")).persist()
+        current = batch.select("ads_id", F.col("w.start").alias("minute_ts"), "n")
+        if batch_id:  # counts only grow, so the larger one is the newer
+            before = state_rows(batch.sparkSession, root, batch=batch_id - 1).select(
+                "key.ads_id", F.col("key.window.start").alias("minute_ts"), F.col("value.count").alias("n"))
+            current = current.unionByName(before).groupBy("ads_id", "minute_ts").agg(F.max("n").alias("n"))
+        current = current.persist()
         recent = None
         try:
-            store.write_batch(changed, batch_id)
-            # The newest minute so far: this batch's or that of the last result.
-            label = "yyyy-MM-dd HH:mm"
-            if as_of == "trigger":
-                newest = spark.range(1).select(F.date_format(F.current_timestamp(), label)).first()[0]
-            else:
-                newest = max((v for v in (changed.agg(F.date_format(F.max("minute_ts"), label)).first()[0],
-                                          result.read_latest(before=batch_id).agg(F.max("minute")).first()[0]) if v),
-                             default=None)
-            end = F.to_timestamp(F.lit(newest), label)
-            start = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), end)
-            window = (F.col("minute_ts") >= start) & (F.col("minute_ts") <= end)
-            current = store.read(before=batch_id + 1, where=window & (F.col("day") >= F.date_format(start, "yyyy-MM-dd")))
-            recent = ads.last_hour_from_minutes(current).persist()
+            newest = F.current_timestamp() if as_of == "trigger" else current.select(F.max("minute_ts")).scalar()
+            recent = ads.last_hour_from_minutes(ads.last_minutes(current, newest, minutes)).persist()
             result.write_batch(recent, batch_id)
             series.write_batch(ads.last_hour_json(recent), batch_id)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                store.compact(batch_id, keep=F.col("minute_ts") >= start)
         finally:
-            changed.unpersist()
+            current.unpersist()
             if recent is not None:
                 recent.unpersist()
 

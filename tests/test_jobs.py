@@ -61,7 +61,7 @@ def test_realtime_job_runs_its_queries(spark, tmp_root):
         ads_stream.run_available(q)
     assert ads_stream.blacklist_store(spark, f"{tmp_root}/blacklist").read().count() == \
         catalog.ads_blacklist(spark, SF_SMALL).count()
-    assert ads_stream.totals_store(spark, f"{tmp_root}/daily").read().count() == \
+    assert ads_stream.daily_totals(spark, f"{tmp_root}/daily").count() == \
         catalog.ads_area_city_daily(spark, SF_SMALL).count()
     assert ads_stream.last_hour_store(spark, f"{tmp_root}/last_hour").read_latest().count() == \
         catalog.ads_last_hour(spark, SF_SMALL).count()

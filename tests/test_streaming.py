@@ -63,11 +63,11 @@ def test_daily_totals_stream_equals_batch(spark, lines, tmp_root, n_files):
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
     q = ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True})
     ads_stream.run_available(q)
-    got = ads_stream.totals_store(spark, tmp_root).read()
+    got = ads_stream.daily_totals(spark, tmp_root)
     cols = ["day", "area", "city", "ads_id", "n"]
     batch = ads.area_city_daily(_batch_log(spark, src))
     assert _set(got, cols) == _set(batch, cols)
-    top = ads_stream.top_store(spark, tmp_root).read()
+    top = ads_stream.daily_top(spark, tmp_root)
     tcols = ["day", "area", "ads_id", "n", "rn"]
     assert _set(top, tcols) == _set(ads.area_top_ads(batch), tcols)
 
@@ -88,7 +88,7 @@ def test_daily_totals_restart_from_checkpoint(spark, lines, tmp_root):
         with open(os.path.join(staging, name)) as a, open(os.path.join(src, name), "w") as b:
             b.write(a.read())
     run()  # resumes from the checkpoint: only the new files are read, state carries the totals
-    got = ads_stream.totals_store(spark, tmp_root).read()
+    got = ads_stream.daily_totals(spark, tmp_root)
     cols = ["day", "area", "city", "ads_id", "n"]
     assert _set(got, cols) == _set(ads.area_city_daily(_batch_log(spark, src)), cols)
 
@@ -98,8 +98,7 @@ def test_last_hour_stream_equals_batch(spark, lines, tmp_root, n_files):
     src = _local(f"{tmp_root}/src")
     _write_line_files(spark, lines, src, n_files)
     log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(ads_stream.start_last_hour(log, tmp_root, trigger={"availableNow": True},
-                                                        compact_every=2))
+    ads_stream.run_available(ads_stream.start_last_hour(log, tmp_root, trigger={"availableNow": True}))
     got = ads_stream.last_hour_store(spark, tmp_root).read_latest()
     cols = ["ads_id", "minute", "n"]
     assert _set(got, cols) == _set(ads.last_hour(_batch_log(spark, src)), cols)
@@ -143,19 +142,62 @@ def test_snapshot_store_idempotent_and_compact(spark, tmp_root):
     assert _set(store.read_latest(), ["k", "v"]) == [("b", 5)]
 
 
-def test_daily_totals_with_compaction(spark, lines, tmp_root):
+def _daily(spark, src, root, **options):
+    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
+    ads_stream.run_available(ads_stream.start_area_city_daily(log, root, trigger={"availableNow": True}, **options))
+
+
+TOTAL_COLS, TOP_COLS = ["day", "area", "city", "ads_id", "n"], ["day", "area", "ads_id", "n", "rn"]
+
+
+def test_daily_totals_live_in_state_alone(spark, lines, tmp_root):
+    """The totals are written nowhere but in the checkpoint; the lists hold their days' newest form only."""
     src = _local(f"{tmp_root}/src")
     _write_line_files(spark, lines, src, 5)
-    log = ads.parse_ads_log(ads_stream.text_lines(spark, src, max_files_per_trigger=1))
-    ads_stream.run_available(ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True},
-                                                              compact_every=2))
-    assert os.path.isdir(_local(f"{tmp_root}/totals_full"))
-    got = ads_stream.totals_store(spark, tmp_root).read()
-    cols = ["day", "area", "city", "ads_id", "n"]
+    _daily(spark, src, tmp_root)
+    assert sorted(d for d in os.listdir(_local(tmp_root)) if d != "src") == ["checkpoint", "top", "top_json"]
     batch = ads.area_city_daily(_batch_log(spark, src))
-    assert _set(got, cols) == _set(batch, cols)
-    one_day = ads_stream.totals_store(spark, tmp_root).read(where=F.col("day") == "2024-01-01")
-    assert _set(one_day, cols) == _set(batch.filter(F.col("day") == "2024-01-01"), cols)
+    assert _set(ads_stream.daily_totals(spark, tmp_root), TOTAL_COLS) == _set(batch, TOTAL_COLS)
+    top = ads.area_top_ads(batch)
+    assert _set(ads_stream.daily_top(spark, tmp_root), TOP_COLS) == _set(top, TOP_COLS)
+    json_cols = ["date_key", "area", "top3_json"]
+    assert _set(ads_stream.daily_top_json(spark, tmp_root), json_cols) == _set(ads.area_top_ads_json(top), json_cols)
+
+
+def test_top_lists_survive_a_broken_replacement(spark, tmp_root):
+    """A run that broke off after a day's old list was deleted: the next start takes it from the state."""
+    src = _local(f"{tmp_root}/src")
+    os.makedirs(src)
+    t0 = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i, clicks in enumerate((["1"] * 5 + ["2"] * 4 + ["3"] * 3 + ["4"] * 2, ["4"] * 2 + ["5"]), 1):
+        with open(os.path.join(src, f"b{i}.txt"), "w") as f:
+            f.writelines(f"{t0 + 1000 * i + k} A c{k % 2} u {ad}\n" for k, ad in enumerate(clicks))
+        _in_order(src, [f"b{j}.txt" for j in range(1, i + 1)])
+        if i == 2:
+            day = _local(f"{tmp_root}/top/day=2024-01-01")
+            for name in os.listdir(day):
+                os.remove(os.path.join(day, name))
+        _daily(spark, src, tmp_root)
+    want = [(1, "1", 5), (2, "2", 4), (3, "4", 4)]
+    assert _set(ads_stream.daily_top(spark, tmp_root), ["rn", "ads_id", "n"]) == want
+    assert _set(ads.area_top_ads(ads.area_city_daily(_batch_log(spark, src))), ["rn", "ads_id", "n"]) == want
+
+
+def test_watermark_closes_days(spark, tmp_root):
+    """Closed days leave the state and stay in totals and lists."""
+    src = _local(f"{tmp_root}/src")
+    os.makedirs(src)
+    t0 = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i in range(1, 6):
+        with open(os.path.join(src, f"b{i}.txt"), "w") as f:
+            f.writelines(f"{t0 + 86400000 * (i - 1) + k} A c{k % 2} u {k % 3}\n" for k in range(20 + i))
+    _in_order(src, [f"b{i}.txt" for i in range(1, 6)])
+    _daily(spark, src, tmp_root, watermark="1 day")
+    days = {r.day for r in ads_stream._state_totals(spark, tmp_root).select("day").distinct().collect()}
+    assert days == {"2024-01-04", "2024-01-05"}
+    batch = ads.area_city_daily(_batch_log(spark, src))
+    assert _set(ads_stream.daily_totals(spark, tmp_root), TOTAL_COLS) == _set(batch, TOTAL_COLS)
+    assert _set(ads_stream.daily_top(spark, tmp_root), TOP_COLS) == _set(ads.area_top_ads(batch), TOP_COLS)
 
 
 def _start_per_event(log, root, threshold):
@@ -218,7 +260,7 @@ def test_daily_totals_with_watermark_equals_batch(spark, lines, tmp_root):
     ads_stream.run_available(ads_stream.start_area_city_daily(log, tmp_root, trigger={"availableNow": True},
                                                               watermark="2 days"))
     cols = ["day", "area", "city", "ads_id", "n"]
-    got = ads_stream.totals_store(spark, tmp_root).read()
+    got = ads_stream.daily_totals(spark, tmp_root)
     assert _set(got, cols) == _set(ads.area_city_daily(_batch_log(spark, src)), cols)
 
 
