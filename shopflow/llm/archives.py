@@ -5,7 +5,10 @@ lengths, and equivalent WARC records are synthesised.
   version), written by Spark's text writer, so commits and lost executors are Spark's business.
 * :func:`read_arc` parses ARC files record by record. The version block of a file names its version;
   version 1 lines are ``url ip date type length``, version 2 lines ``url ip date type status checksum
-  location offset file length``. Payloads are cut by the declared length, never by content.
+  location offset file length``. Payloads are cut by the declared length, never by content. Fields are
+  taken from the right, so an url may hold blanks.
+* :func:`arc_rejects` lists what could not be read, with the reason: a damaged header line (reading goes on
+  at the next line that is a header), a record cut short, a file without a version block.
 * :func:`write_warc` writes WARC/1.0 files: of records with equal payloads of ``min_revisit`` bytes or
   more, the one with the largest page id is a ``response``, the others are ``revisit`` records that
   refer to it; all smaller ones are responses. Ids come from page id and digest, times from the ARC date,
@@ -29,6 +32,7 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -56,6 +60,11 @@ class Record(NamedTuple):
     block: bytes
 
 
+class Damaged(NamedTuple):
+    line: str
+    reason: str
+
+
 def _escape(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url) if url else "unknown:"
 
@@ -71,8 +80,13 @@ def _http_parts(block: bytes) -> tuple[int | None, int, bytes]:
     """(page id, declared payload length, payload) of an HTTP block."""
     head, _, payload = block.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-    page = fields.get("X-Page-Id")
-    return int(page) if page is not None else None, int(fields.get("Content-Length", len(payload))), payload
+    length = _number(fields.get("Content-Length"))
+    return _number(fields.get("X-Page-Id"), signed=True), len(payload) if length is None else length, payload
+
+
+def _number(text: str | None, signed: bool = False) -> int | None:
+    """A decimal of at most 18 digits; null for all else."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}" if signed else r"[0-9]{1,18}", text) else None
 
 
 # ---------------------------------------------------------------- ARC
@@ -88,32 +102,65 @@ def arc_start(version: int, name: str, date: str) -> bytes:
     return line.encode() + str(len(body)).encode() + b"\n" + body
 
 
-def arc_records(stream) -> Iterator[Record]:
-    """Records of one ARC stream. Raises ValueError where a header line or a length is broken."""
-    version = 0
-    while True:
+def _header(line: bytes, fields: int) -> tuple[Record, int] | str:
+    """(record without its block, length) of a header line of so many fields, or what is wrong with it."""
+    f = line.decode("utf-8", "replace").rstrip("\r\n").rsplit(" ", fields - 1)
+    if len(f) != fields or not f[0]:
+        return "not a header line"
+    length = _number(f[-1])
+    if length is None:
+        return "the length is not a number"
+    if not re.fullmatch(r"[0-9]{4,14}", f[2]):
+        return "the date is not a number"
+    return Record(_escape(f[0]), f[2], f[3], b""), length
+
+
+def arc_parts(stream) -> Iterator[Record | Damaged]:
+    """Records of one ARC stream and what could not be read, in order. After a damaged header line, lines
+    are skipped up to the next that is a header; a stream that breaks (gzip) ends the file there."""
+    line = b""
+    try:
         line = stream.readline()
-        if not line:
+        head = _header(line, 5 if len(line.split(b" ")) == 5 else 10)
+        if isinstance(head, str) or not line.startswith(b"filedesc://"):
+            if line:
+                yield Damaged(_shown(line), "an ARC file starts with a filedesc record")
             return
-        if line in (b"\n", b"\r\n"):
-            continue
-        f = line.decode("utf-8").rstrip("\r\n").split(" ")
-        if not version and not f[0].startswith("filedesc://"):
-            raise ValueError("an ARC file starts with a filedesc record")
-        if len(f) < 5 or not f[-1].isdigit():
-            raise ValueError(f"not an ARC header line: {line[:80]!r}")
-        length = int(f[-1])
-        block = stream.read(length)
-        if len(block) != length:
-            raise ValueError("an ARC record is shorter than its declared length")
-        if not version:
-            version = int(block.split(b" ", 1)[0])
-            if version not in (1, 2):
-                raise ValueError(f"unknown ARC version {version}")
-            continue
-        if len(f) != (5 if version == 1 else 10):
-            raise ValueError(f"not a version {version} header line: {line[:80]!r}")
-        yield Record(f[0], f[2], f[3], block)
+        start = stream.read(head[1])
+        version = _number(start.split(b" ", 1)[0].decode("utf-8", "replace"))
+        if len(start) != head[1] or version not in (1, 2):
+            yield Damaged(_shown(line), "cut short" if len(start) != head[1] else "unknown ARC version")
+            return
+        skipping = False
+        while line := stream.readline():
+            if line in (b"\n", b"\r\n"):
+                continue
+            head = _header(line, 5 if version == 1 else 10)
+            if isinstance(head, str):
+                if not skipping:
+                    yield Damaged(_shown(line), head)
+                skipping = True
+                continue
+            skipping = False
+            block = stream.read(head[1])
+            if len(block) != head[1]:
+                yield Damaged(_shown(line), "shorter than its declared length")
+                return
+            yield head[0]._replace(block=block)
+    except (EOFError, OSError, zlib.error) as e:
+        yield Damaged(_shown(line), f"the stream breaks off: {type(e).__name__}")
+
+
+def _shown(line: bytes) -> str:
+    return line[:200].decode("utf-8", "replace").rstrip("\r\n")
+
+
+def arc_records(stream) -> Iterator[Record]:
+    """Records of one ARC stream. Raises ValueError where :func:`arc_parts` finds damage."""
+    for part in arc_parts(stream):
+        if isinstance(part, Damaged):
+            raise ValueError(f"{part.reason}: {part.line[:80]!r}")
+        yield part
 
 
 def _arc_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +211,9 @@ def _arc_rows(payloads: bool):
         for b in batches:
             for content in b.column(1):
                 rows, held = [], 0
-                for r in arc_records(_open(content.as_py())):
+                for r in arc_parts(_open(content.as_py())):
+                    if isinstance(r, Damaged):
+                        continue
                     page, _, payload = _http_parts(r.block)
                     digest = hashlib.sha1(payload).hexdigest()
                     rows.append((page, r.url, r.date, r.mime, payload, digest) if payloads else (page, len(payload), digest))
@@ -186,10 +235,24 @@ def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, url, date, mime, payload, digest) of every record of the ARC files under ``path``."""
+    """(page_id, url, date, mime, payload, digest) of every record of the ARC files under ``path`` that can
+    be read; :func:`arc_rejects` has the rest."""
     return _files(spark, path).mapInArrow(_arc_rows(True), ARC_SCHEMA)
 
 
+def _damaged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            rows = [(path, *d) for d in arc_parts(_open(content.as_py())) if isinstance(d, Damaged)]
+            if rows:
+                yield _batch(rows, ["path", "line", "reason"], [pa.string()] * 3)
+
+
+def arc_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line, reason) of what the ARC files under ``path`` hold and :func:`read_arc` cannot read."""
+    return _files(spark, path).mapInArrow(_damaged_rows, "path string, line string, reason string")
+
+
 # ---------------------------------------------------------------- WARC
 def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}:{digest}')}>"

@@ -1,7 +1,7 @@
 """URL rules by a sort-merge range join.
 
-A host is keyed by its labels in reverse, each followed by a mark that sorts before all characters of a
-host, so a rule's host and all its subdomains are one key interval and intervals nest or are
+A host is keyed by its labels in reverse, each followed by a mark that no (escaped) label holds, so a
+rule's host and all its subdomains are the keys with one prefix: one interval; intervals nest or are
 disjoint. Pages are range-partitioned and sorted by key; every partition gets the rules whose
 intervals meet it, in the same order, and one sweep keeps the stack of rules around the current key.
 A page takes, of the hosts on the stack, the longest rule whose path its own path starts with.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 SAMPLE_PER_PARTITION = 64
 MARK = "\x01"   # ends a label in a key
-LAST = "\x02"   # above MARK, below all characters of labels
+ESCAPE = "\x02"  # starts the pair that stands for a MARK or ESCAPE inside a label
 
 FIXED_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
                ("block", "net/es/"), ("block", "net/fr/"))
@@ -51,9 +51,10 @@ def path_of(url: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    """Reversed labels, each ended by MARK."""
+    """Reversed labels, each ended by MARK, which no label holds once it is escaped."""
+    safe = F.replace(F.replace(host, F.lit(ESCAPE), F.lit(ESCAPE + "\x03")), F.lit(MARK), F.lit(ESCAPE * 2))
     return F.when(host == "", F.lit("")).otherwise(
-        F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), MARK), F.lit(MARK)))
+        F.concat(F.array_join(F.reverse(F.split(safe, r"\.", -1)), MARK), F.lit(MARK)))
 
 
 def _bounds(points: DataFrame, partitions: int) -> list[str]:
@@ -122,7 +123,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", partitions
 
     @F.pandas_udf("array<int>")
     def partitions_of(hk):
-        # All keys that start with hk lie from hk up to hk + LAST-and-above; '\\uffff' ends them.
+        # All keys that start with hk lie from hk up to hk + the last code point.
         return hk.map(lambda k: list(range(bisect_right(bounds, k), bisect_left(bounds, k + "\U0010ffff") + 1)))
 
     marked = rules.select(F.col("verdict"), F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path")) \

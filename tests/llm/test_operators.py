@@ -1,6 +1,7 @@
 """The training-data operators against brute force, SQL, round trips and held-out accuracy, and on nulls,
 empty texts, repeated rows, ties and empty tables."""
 
+import gzip
 import hashlib
 import io
 import re
@@ -17,6 +18,7 @@ import pytest
 from shopflow.llm import (archives, decontaminate, jaccard_join, mixing, pseudo_lm, quality, secrets_crf, sharding,
                           url_rules, vector_search)
 from shopflow.llm.queries import QUERIES, SQL
+from shopflow.llm.store import fresh
 from shopflow.plans.verify import compare_one, duck
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -318,6 +320,42 @@ def test_word_counts_are_whole(monkeypatch):
     assert sorted(got.values()) == sorted(Counter(w for t in texts_ for w in t.split()).values())
 
 
+def test_damaged_archives_are_rejects_not_the_end(spark, tmp_path):
+    """Blanks in urls, broken header lines, cut records and broken gzip streams: the rest is read."""
+    def rec(v, url, body):
+        return archives.arc_record(v, url, "2001", "text/html", body, 0, "f") + b"\n"
+
+    folder = tmp_path / "arcs"
+    folder.mkdir()
+    for v in (1, 2):
+        start = archives.arc_start(v, "f", archives.ARC_DATE) + b"\n"
+        good = [rec(v, f"http://a/{k}", b"HTTP/1.1 200 OK\r\nContent-Length: x\r\n\r\nbody %d" % k) for k in range(3)]
+        bad = good[1].replace(b" text/html ", b" text/html x", 1) if v == 1 else b"http://a/1 broken\n\xff\xfe text\n"
+        (folder / f"v{v}.arc").write_bytes(start + good[0] + rec(v, "http://b/ c d", b"") + bad + good[2])
+        (folder / f"cut{v}.arc").write_bytes(start + good[0] + good[1][:-5])
+    whole = gzip.compress(archives.arc_start(1, "f", "2001") + b"\n" + rec(1, "http://z/", b"y") + bytes(range(256)) * 400)
+    (folder / "zip.arc.gz").write_bytes(whole[:-300])
+    (folder / "none.arc").write_bytes(b"no archive at all\n" * 3)
+    (folder / "empty.arc").write_bytes(b"")
+    urls = sorted(r.url for r in archives.read_arc(spark, f"file:{folder}").collect())
+    assert urls == sorted(["http://a/0", "http://a/2", "http://b/%20c%20d"] * 2 + ["http://a/0"] * 2 + ["http://z/"])
+    rejects = [(r.path.rsplit("/", 1)[1], r.reason) for r in archives.arc_rejects(spark, f"file:{folder}").collect()]
+    assert sorted(f for f, _ in rejects if f != "zip.arc.gz") == ["cut1.arc", "cut2.arc", "none.arc", "v1.arc", "v2.arc"]
+    assert any(f == "zip.arc.gz" for f, _ in rejects)
+    out = f"{fresh(spark, 'warc')}"
+    archives.write_warc(spark, f"file:{folder}", out)
+    assert archives.read_warc(spark, out).count() == len(urls)
+
+
+def test_url_marks_inside_labels_match_no_foreign_rule(spark):
+    hosts = ["com", "com\x01evil", "a.com", "a\x01.com", "com\x02", "com\x02\x02evil", "x.com\x01evil", "com\x00evil", "\x01com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    rules = spark.createDataFrame([("block", "com", "/"), ("block", "com\x02\x02evil", "/x")], "verdict string, host string, path string")
+    got = {r.host: r.rule for r in url_rules.judge(pages, rules, partitions=3).collect()}
+    assert got == {h: next((rh + rp for rh, rp in (("com\x02\x02evil", "/x"), ("com", "/")) if h == rh or h.endswith("." + rh)), None)
+                   for h in hosts}
+
+
 def test_archive_formats(spark):
     for version in (1, 2):
         raw = archives.arc_start(version, "f", archives.ARC_DATE) + b"\n" + archives.arc_record(
