@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.exprs import parse_action_time, percent, sorted_join, time_chunk
 
 DEFAULT_CHUNK_SECONDS = 3600
+ITEM_CHUNK_SECONDS = 60
 SAMPLE_SIZE = 1000
 
 
@@ -100,6 +101,29 @@ def session_info(actions: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS)
         *_LISTS.keys())
 
 
+def session_items(actions: DataFrame, chunk_seconds: int = ITEM_CHUNK_SECONDS) -> DataFrame:
+    """The lists of :func:`session_info` as rows (A1): (session_id, list, position, value), positions from 1
+    in order of (action time, tie-break, value).
+
+    Nothing gathers a session. Items are counted per (session, list, time chunk), partially before the
+    shuffle; running sums over those counts tell how many items earlier chunks hold, and an item's
+    position is that number plus its place in its own chunk. One task orders the items of one list in
+    one chunk at most; ``chunk_seconds`` does not change the result. Sessions without items of a list
+    have no rows for it; items of actions without a session id are one session, as in ``session_info``.
+    """
+    a = with_action_ts(actions).withColumn("chunk", time_chunk("action_ts", chunk_seconds))
+    found = F.explode(F.array(*[F.struct(F.lit(name).alias("list"), mk().alias("item")) for name, mk in _LISTS.items()]))
+    items = (a.select("session_id", "chunk", found.alias("f")).filter(F.col("f.item").isNotNull())
+             .select("session_id", "f.list", "chunk", "f.item"))
+    earlier = Window.partitionBy("session_id", "list").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (items.groupBy("session_id", "list", "chunk").agg(F.count(F.lit(1)).alias("n"))
+              .select("session_id", "list", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    i, c = items.alias("i"), starts.alias("c")
+    place = F.row_number().over(Window.partitionBy("i.session_id", "i.list", "i.chunk").orderBy("i.item"))
+    return i.join(c, F.expr("i.session_id <=> c.session_id and i.list = c.list and i.chunk = c.chunk")).select(
+        "i.session_id", "i.list", (F.col("c.before") + place).cast("long").alias("position"), F.col("i.item.v").alias("value"))
+
+
 def session_counts(sessions: DataFrame, max_seconds: int = 10, max_steps: int = 5) -> DataFrame:
     """Five counters over all sessions (A2): one global aggregate, partial per task."""
     v, s = F.col("visit_length"), F.col("step_length")

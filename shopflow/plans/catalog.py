@@ -75,6 +75,12 @@ def session_info(spark, base):
     return sessions.session_info(_actions(spark, base))
 
 
+@query
+def session_items(spark, base):
+    prepare(spark)
+    return sessions.session_items(_actions(spark, base))
+
+
 @query
 def session_counts(spark, base):
     prepare(spark)

@@ -156,6 +156,20 @@ SELECT session_id,
        coalesce(string_agg(pay_product_ids, ',' ORDER BY act_ts, event_id), '') AS pay_product_ids
 FROM timed GROUP BY session_id"""
 
+SQL["session_items"] = _with(UVA, ACTIONS) + """
+SELECT session_id, list, value,
+       CAST(row_number() OVER (PARTITION BY session_id, list ORDER BY act_ts, event_id) AS BIGINT) AS position
+FROM (
+  SELECT session_id, act_ts, event_id, 'search_keywords' AS list, search_keyword AS value FROM timed
+  UNION ALL
+  SELECT session_id, act_ts, event_id, 'click_product_ids',
+         CASE WHEN click_product_id > 0 THEN CAST(click_product_id AS VARCHAR) END FROM timed
+  UNION ALL
+  SELECT session_id, act_ts, event_id, 'order_product_ids', order_product_ids FROM timed
+  UNION ALL
+  SELECT session_id, act_ts, event_id, 'pay_product_ids', pay_product_ids FROM timed
+) WHERE value IS NOT NULL"""
+
 SQL["session_counts"] = _with(UVA, ACTIONS, SESSIONS) + "SELECT * FROM counts"
 
 

@@ -65,6 +65,24 @@ def test_hot_session_lists_match_brute_force(spark, skewed, chunk):
                 r.order_product_ids, r.pay_product_ids) == w[:6], r.session_id
 
 
+@pytest.mark.parametrize("chunk", [1, 60, 86400 * 7])
+def test_hot_session_items_match_brute_force(spark, skewed, chunk):
+    nameless = [(*r[:2], None if r[2] == "s1" else r[2], *r[3:]) for r in skewed]  # one session without an id
+    want = _brute_sessions([(*r[:2], r[2] or "-", *r[3:]) for r in nameless])
+    items = sessions.session_items(spark.createDataFrame(nameless, SCHEMA), chunk_seconds=chunk)
+    assert "collect_list" not in items._jdf.queryExecution().toString()  # nothing gathers a session
+    got = {}
+    for r in items.collect():
+        assert got.setdefault((r.session_id or "-", r.list), {}).setdefault(r.position, r.value) == r.value
+    lists = ("search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")
+    for sid, w in want.items():
+        for name, text in zip(lists, w[2:6]):
+            at = got.pop((sid, name), {})
+            assert sorted(at) == list(range(1, len(at) + 1))
+            assert ",".join(at[k] for k in sorted(at)) == text, (sid, name)
+    assert not got
+
+
 def hop_counts(hops):
     return {(r.from_page, r.to_page): r.n for r in hops.groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("n")).collect()}
 
