@@ -182,7 +182,7 @@ def start_area_city_daily(log: DataFrame, root: str, trigger: dict | None = None
             first, last = touched.agg(F.min("day"), F.max("day")).first()
             if first is not None:
                 if resumed:
-                    old = daily_top(session, root).select(*area, "n")
+                    old = session.read.schema(TOP_SCHEMA).parquet(f"{root}/top").select(*area, "n")
                 else:
                     old = _state_totals(session, root, AREA_LEVEL, batch_id - 1).select(*area, "n") if batch_id else touched
                 old = old.filter(F.col("day").between(first, last)) \
