@@ -42,6 +42,10 @@ CHUNK = 1 << 12
 KEEP = 1 << 21                      # words a task holds before it hands its counts on
 LIMIT = 4.0                         # of a weight's size, so logits stay below 17 * LIMIT and exp is finite
 PAD = VOCAB                         # the embedding row of positions outside a text
+BLOCK = 16                          # positions of one class that a training step multiplies at once
+
+_TABLES = np.arange(len(OFFSETS)) * (VOCAB + 1)     # first row of each neighbour's embedding table
+_ONES = np.ones(PER_CLASS, dtype=np.float32)        # a product with it sums rows faster than sum()
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,99 +106,125 @@ class Model:
         return m
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
-        h = self.emb[ctx[:, 0], :WIDTH].copy()
+        """The hidden layer of every context, with a last column of ones for the biases."""
+        at = ctx + _TABLES
+        h = self.emb.take(at[:, 0], axis=0)
         for k in range(1, len(OFFSETS)):
-            h += self.emb[ctx[:, k] + k * (VOCAB + 1), :WIDTH]
-        return np.tanh(h)
+            h += self.emb.take(at[:, k], axis=0)
+        np.tanh(h, out=h)
+        h[:, WIDTH] = 1
+        return h
 
     def log_prob(self, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of every target given its neighbours; targets of one class share a product."""
         out = np.zeros(len(target), dtype=np.float64)
         for a in range(0, len(target), CHUNK):
-            t = target[a:a + CHUNK]
-            c = t // PER_CLASS
+            c = (target[a:a + CHUNK] // PER_CLASS).astype(np.uint8)
             o = np.argsort(c, kind="stable")
-            t, c = t[o], c[o]
+            t, c = target[a:a + CHUNK][o], c[o].astype(np.int64)
+            at_row = np.arange(len(t))
             h = self.hidden(ctx[a:a + CHUNK][o])
-            z = h @ self.cls[:, :WIDTH].T
-            z += self.cls[:, WIDTH]
-            p = z[np.arange(len(t)), c]
+            z = h @ self.cls.T
+            p = z[at_row, c]
             np.exp(z, out=z)  # logits are bounded by LIMIT
-            p -= np.log(z.sum(axis=1))
-            cuts = np.searchsorted(c, np.arange(CLASSES + 1))
-            for k in range(CLASSES):
-                x, y = cuts[k], cuts[k + 1]
+            p -= np.log(z @ _ONES[:CLASSES])
+            cuts = np.searchsorted(c, np.arange(CLASSES + 1)).tolist()
+            z = np.empty((len(t), PER_CLASS), dtype=np.float32)
+            for k, (x, y) in enumerate(zip(cuts, cuts[1:])):
                 if y > x:
-                    w = self.out[k * PER_CLASS:(k + 1) * PER_CLASS]
-                    z = h[x:y] @ w[:, :WIDTH].T
-                    z += w[:, WIDTH]
-                    p[x:y] += z[np.arange(y - x), t[x:y] - k * PER_CLASS]
-                    np.exp(z, out=z)
-                    p[x:y] -= np.log(z.sum(axis=1))
+                    np.matmul(h[x:y], self.out[k * PER_CLASS:(k + 1) * PER_CLASS].T, out=z[x:y])
+            p += z[at_row, t - c * PER_CLASS]
+            np.exp(z, out=z)
+            p -= np.log(z @ _ONES)
             out[a + o] = p
         return out
 
     def train(self, ctx: np.ndarray, target: np.ndarray, state: list[np.ndarray]) -> None:
-        """One AdaGrad step on a batch; targets of one class share their products."""
+        """One AdaGrad step on a batch. Targets of one class stand in blocks of their own (padded with zero
+        rows, which add nothing), so a few products over all blocks serve every class."""
         n = len(target)
-        o = np.argsort(target // PER_CLASS, kind="stable")
-        ctx, c, within = ctx[o], target[o] // PER_CLASS, target[o] % PER_CLASS
-        at_row = np.arange(n)
+        c = (target // PER_CLASS).astype(np.uint8)
+        o = np.argsort(c, kind="stable")
+        ctx, c, within = ctx[o], c[o].astype(np.int64), target[o] % PER_CLASS
         h = self.hidden(ctx)
-        h1 = np.ones((n, WIDTH + 1), dtype=np.float32)
-        h1[:, :WIDTH] = h
-        g = h1 @ self.cls.T
+        g = h @ self.cls.T
         np.exp(g, out=g)  # logits are bounded by LIMIT
-        g /= g.sum(axis=1, keepdims=True)
-        g[at_row, c] -= 1
+        g /= (g @ _ONES[:CLASSES])[:, None]
+        g[np.arange(n), c] -= 1
         dh = g @ self.cls
-        first = np.flatnonzero(np.concatenate(([True], c[1:] > c[:-1]))).tolist()
-        for a, b in zip(first, [*first[1:], n]):
-            k = int(c[a]) * PER_CLASS
-            w, x = self.out[k:k + PER_CLASS], h1[a:b]
-            u = x @ w.T
-            np.exp(u, out=u)
-            u /= u.sum(axis=1, keepdims=True)
-            u[at_row[:b - a], within[a:b]] -= 1
-            dh[a:b] += u @ w
-            self._step(self.out, state[2], slice(k, k + PER_CLASS), u.T @ x / n)
-        self._step(self.cls, state[1], slice(None), g.T @ h1 / n)
-        dh = dh[:, :WIDTH] * (1 - h * h)
-        at = (ctx + np.arange(len(OFFSETS)) * (VOCAB + 1)).ravel()
+
+        count = np.bincount(c, minlength=CLASSES)
+        blocks = -(-count // BLOCK)
+        first = np.cumsum(blocks) - blocks  # block of a class
+        at = np.arange(n) + (first * BLOCK - np.cumsum(count) + count)[c]
+        w = self.out.reshape(CLASSES, PER_CLASS, WIDTH + 1)[np.repeat(np.arange(CLASSES), blocks)]
+        x = np.zeros((len(w) * BLOCK, WIDTH + 1), dtype=np.float32)
+        x[at] = h
+        xs = x.reshape(len(w), BLOCK, WIDTH + 1)
+        us = xs @ w.transpose(0, 2, 1)
+        np.exp(us, out=us)
+        us /= (us @ _ONES)[:, :, None]
+        u = us.reshape(len(x), PER_CLASS)
+        u[at, within] -= 1
+        dh += (us @ w).reshape(len(x), WIDTH + 1)[at]
+        grad = (us.transpose(0, 2, 1) @ xs)[np.minimum(first, len(w) - 1)]
+        grad[count == 0] = 0
+        for k in np.flatnonzero(blocks > 1).tolist():
+            rows = slice(first[k] * BLOCK, (first[k] + blocks[k]) * BLOCK)
+            np.matmul(u[rows].T, x[rows], out=grad[k])
+        grad /= n
+        self._step(self.out, state[2], grad.reshape(VOCAB, WIDTH + 1))  # no gradient, no step
+        self._step(self.cls, state[1], g.T @ h / n)
+
+        h *= h
+        dh *= np.subtract(1, h, out=h)  # nothing flows through the column of ones
+        at = (ctx + _TABLES).ravel().astype(np.uint16)
         o = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(at[o]) > 0)))
-        grad = np.zeros((len(first), WIDTH + 1), dtype=np.float32)
-        grad[:, :WIDTH] = np.add.reduceat(dh[o // len(OFFSETS)], first, axis=0) / n
-        self._step(self.emb, state[0], at[o[first]], grad)
+        at = at[o]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        grad = np.add.reduceat(dh.take(o // len(OFFSETS), axis=0), first, axis=0)
+        grad /= n
+        rows = at[first].astype(np.int64)
+        w, s = self.emb.take(rows, axis=0), state[0].take(rows, axis=0)
+        self._step(w, s, grad)
+        self.emb[rows], state[0][rows] = w, s
 
     @staticmethod
-    def _step(w: np.ndarray, s: np.ndarray, rows, grad: np.ndarray) -> None:
-        q = s[rows] + grad * grad
-        s[rows] = q
-        np.sqrt(q, out=q)
+    def _step(w: np.ndarray, s: np.ndarray, grad: np.ndarray) -> None:
+        q = grad * grad
+        s += q
+        np.sqrt(s, out=q)
         grad *= RATE
         grad /= q
-        q = w[rows] - grad
-        np.maximum(q, -LIMIT, out=q)
-        np.minimum(q, LIMIT, out=q)
-        w[rows] = q
+        w -= grad
+        np.maximum(w, -LIMIT, out=w)
+        np.minimum(w, LIMIT, out=w)
 
 
 class Vocabulary:
-    """Word hash to token."""
+    """Word hash to token: keys in order, found by their first 16 bits."""
 
     def __init__(self, top: np.ndarray) -> None:
         o = np.argsort(top)
         self.keys, self.token = top[o], (np.arange(len(top)) + RARE)[o]
+        heads = np.arange((1 << 16) + 1)
+        self.first = np.searchsorted((self.keys >> np.uint64(48)).astype(np.int64), heads)
+        self.deep = int(np.diff(self.first).max())  # most keys with the same head
 
     def tokens(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         h = hash_spans(data, starts, ends)
-        wide = np.concatenate(([0], np.cumsum(data >= 128)))
-        rare = np.minimum(ends - starts, 32) - 1 + 32 * (wide[ends] > wide[starts])
+        out = np.minimum(ends - starts, 32) - 1
+        high = data >= 128
+        if high.any():
+            wide = np.concatenate(([0], np.cumsum(high)))
+            out += 32 * (wide[ends] > wide[starts])
         if not len(self.keys):
-            return rare
-        k = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[k] == h, self.token[k], rare)
+            return out
+        k = self.first[(h >> np.uint64(48)).astype(np.int64)]
+        for step in range(self.deep):
+            at = np.minimum(k + step, len(self.keys) - 1)
+            out = np.where(self.keys[at] == h, self.token[at], out)
+        return out
 
 
 def contexts(tokens: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -233,14 +263,9 @@ def _train(top_b, rows_b, step: int, turn: int):
                 at = np.flatnonzero((place + np.diff(off)[row] + turn) % step == 0)  # each text has its own phase
                 if not len(at):
                     continue
-                near = at[:, None] + np.array((0, *OFFSETS))
-                inside = (near >= 0) & (near < len(row))
-                near = np.where(inside, near, 0)
-                inside &= row[near] == row[at][:, None]
-                used, inv = np.unique(near, return_inverse=True)
-                t = np.where(inside, vocab.tokens(data, starts[used], ends[used])[inv.reshape(near.shape)], PAD)
-                held_c.append(t[:, 1:])
-                held_t.append(t[:, 0])
+                t = vocab.tokens(data, starts, ends)
+                held_c.append(contexts(t, row)[at])
+                held_t.append(t[at])
                 n += len(at)
                 if sum(map(len, held_t)) > 64 * BATCH:
                     learn(False)

@@ -310,6 +310,63 @@ def test_language_model_trains_on_every_position(monkeypatch):
     assert sorted(seen) == [pseudo_lm.RARE + k for k in range(len(names))]
 
 
+def _plain_step(rows, ctx, target, state):
+    """An AdaGrad step of the language model, position by position, in doubles."""
+    m = pseudo_lm.Model.of(rows.astype(np.float64))
+    out = pseudo_lm.Model.of(rows.astype(np.float64))
+    grads = [np.zeros_like(w) for w in (m.emb, m.cls, m.out)]
+    for c, t in zip(ctx, target):
+        at = c + np.arange(4) * (pseudo_lm.VOCAB + 1)
+        h = np.append(np.tanh(m.emb[at, :-1].sum(axis=0)), 1)
+        k, one = t // pseudo_lm.PER_CLASS, slice(t // pseudo_lm.PER_CLASS * pseudo_lm.PER_CLASS, (t // pseudo_lm.PER_CLASS + 1) * pseudo_lm.PER_CLASS)
+        g, u = np.exp(m.cls @ h), np.exp(m.out[one] @ h)
+        g, u = g / g.sum(), u / u.sum()
+        g[k] -= 1
+        u[t % pseudo_lm.PER_CLASS] -= 1
+        dh = (g @ m.cls + u @ m.out[one])[:-1] * (1 - h[:-1] ** 2)
+        grads[0][at, :-1] += dh
+        grads[1] += np.outer(g, h)
+        grads[2][one] += np.outer(u, h)
+    for w, s, g in zip((out.emb, out.cls, out.out), state, grads):
+        s += (g / len(target)) ** 2
+        w -= pseudo_lm.RATE * g / len(target) / np.sqrt(s)
+        np.clip(w, -pseudo_lm.LIMIT, pseudo_lm.LIMIT, out=w)
+    return out.rows()
+
+
+def test_language_model_step_serves_all_classes_at_once(monkeypatch):
+    calls = []
+    plain = pseudo_lm.Model._step
+    monkeypatch.setattr(pseudo_lm.Model, "_step", staticmethod(lambda *a: (calls.append(1), plain(*a))))
+    rng = np.random.default_rng(3)
+    model = pseudo_lm.Model()
+    state = [np.full_like(w, 1e-4) for w in (model.emb, model.cls, model.out)]
+    for target in (rng.integers(0, pseudo_lm.VOCAB, 300), rng.integers(0, 60, 100), np.full(40, pseudo_lm.VOCAB - 1), np.array([7])):
+        ctx = rng.choice([0, 1, 2, 70, pseudo_lm.PAD], (len(target), 4))
+        want_state = [s.astype(np.float64) for s in state]
+        want = _plain_step(model.rows(), ctx, target, want_state)
+        calls.clear()
+        model.train(ctx, target, state)
+        assert len(calls) == 3  # the three tables, however many classes the batch holds
+        assert np.allclose(model.rows(), want, atol=2e-5)
+        assert all(np.allclose(s, w, atol=1e-6) for s, w in zip(state, want_state))
+        p = pseudo_lm.Model.of(want).log_prob(ctx, target)
+        assert np.allclose(model.log_prob(ctx, target), p, atol=1e-3)
+
+
+def test_word_tokens_by_hash_head():
+    words_ = [f"w{k}" for k in range(3000)] + ["é" * 5, "x" * 40]
+    b = [w.encode() for w in words_]
+    data = np.frombuffer(b" ".join(b), dtype=np.uint8)
+    starts = np.cumsum([0] + [len(w) + 1 for w in b[:-1]])
+    ends = starts + np.array([len(w) for w in b])
+    top = pseudo_lm.hash_spans(data, starts, ends)[:2240][::-1].copy()
+    got = pseudo_lm.Vocabulary(top).tokens(data, starts, ends)
+    assert got[:2240].tolist() == [pseudo_lm.RARE + 2239 - k for k in range(2240)]
+    assert got[2240:3000].tolist() == [4] * 760 and got[3000:].tolist() == [32 + 9, 31]
+    assert (pseudo_lm.Vocabulary(top[:0]).tokens(data, starts, ends) < pseudo_lm.RARE).all()
+
+
 def test_word_counts_are_whole(monkeypatch):
     monkeypatch.setattr(pseudo_lm, "KEEP", 50)
     texts_ = [" ".join(f"v{(7 * i + j) % 400}" for j in range(60)) for i in range(40)]
