@@ -282,6 +282,7 @@ def grouped(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         "token", "cls", "n", "pos", "max(struct(degree, cls, n, pos)) over (partition by token) hub"), "hubs")
     dropped(spark, lists)
     lists = hubs
+    collected(spark)
 
     stars = lists.where(f"cls <> hub.cls and {_may_link('n', 'pos', 'hub.n', 'hub.pos')}") \
         .select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()

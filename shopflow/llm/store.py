@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows and bytes of an Arrow batch between Spark and a Python worker. Whole texts travel in them, so
 # the defaults (10000 rows) would let a few long documents fill a worker's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+PAUSE = 0.5  # seconds in which Spark's cleaner works off what a collection found
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -64,6 +66,9 @@ def dropped(spark: SparkSession, *frames: DataFrame) -> None:
 
 def collected(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of plans that nothing refers to any more: it does so when the
-    driver collects garbage, which a driver with a large heap may not do for hours."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    driver collects garbage, which a driver with a large heap may not do for hours. On a cluster the last
+    plan is still referred to in a first collection, so its files only go with a second one."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(PAUSE)

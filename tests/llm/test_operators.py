@@ -4,7 +4,10 @@ empty texts, repeated rows, ties and empty tables."""
 import gzip
 import hashlib
 import io
+import os
 import re
+import subprocess
+import sys
 import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
@@ -310,6 +313,34 @@ def test_language_model_trains_on_every_position(monkeypatch):
     assert sorted(seen) == [pseudo_lm.RARE + k for k in range(len(names))]
 
 
+def test_collected_frees_the_last_shuffle_on_a_cluster(tmp_path):
+    """Executors of their own, as on a cluster: there one collection leaves the last plan's shuffle files."""
+    script = f"""
+import glob, time
+from pyspark.sql import SparkSession, functions as F
+from shopflow.llm.store import collected, written
+spark = SparkSession.builder.master("local-cluster[1,2,1024]").config(map={{
+    "spark.ui.enabled": "false", "spark.executor.memory": "600m", "spark.driver.host": "127.0.0.1",
+    "spark.checkpoint.dir": "{tmp_path}/kept", "spark.local.dir": "{tmp_path}/local", "spark.sql.shuffle.partitions": "4"}}).getOrCreate()
+left = lambda: glob.glob("{tmp_path}/local/**/shuffle_*.data", recursive=True)
+out = written(spark.range(100000).repartition("id").groupBy("id").agg(F.count("*").alias("c"))
+              .withColumn("m", F.expr("max(c) over (partition by id)")), "x")
+assert left()
+collected(spark)
+until = time.time() + 5
+while left() and time.time() < until:
+    time.sleep(0.2)
+assert not left() and out.count() == 100000
+spark.stop()
+print("freed")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = os.environ | {"PYTHONPATH": root, "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13",
+                        "SPARK_LOCAL_DIRS": f"{tmp_path}/local"}
+    got = subprocess.run([sys.executable, "-c", script], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    assert got.stdout.strip().endswith("freed"), got.stderr[-1500:]
+
+
 def _plain_step(rows, ctx, target, state):
     """An AdaGrad step of the language model, position by position, in doubles."""
     m = pseudo_lm.Model.of(rows.astype(np.float64))
