@@ -29,8 +29,13 @@ def register_city_remark(spark: SparkSession, name: str = "groupby_city_count",
     """Register the function for SQL text under ``name``: the same rule as ``areas.city_remark``. Its second
     argument, the group's number of rows, is optional; with it, counts that do not add up are an error."""
     label = other_label.replace("\\", "\\\\").replace("'", "\\'")
-    total = "aggregate(cities, 0L, (t, x) -> t + x.count)"
-    ordered = (f"array_sort(transform(cities, x -> named_struct('neg', -floor(x.count / {total} * 1000D + 0.5D) / 10D,"
+    # A list of (count, name), as collect_list(struct(c, city_name)) gives, is turned round first: there the second
+    # field holds something else than a whole number.
+    pairs = ("transform(if(exists(cities, x -> try_cast(x.count AS BIGINT) IS NULL),"
+             " transform(cities, x -> named_struct('item', x.count, 'count', x.item)), cities),"
+             " x -> named_struct('item', x.item, 'count', cast(x.count AS BIGINT)))")
+    total = "aggregate(p, 0L, (t, x) -> t + x.count)"
+    ordered = (f"array_sort(transform(p, x -> named_struct('neg', -floor(x.count / {total} * 1000D + 0.5D) / 10D,"
                " 'name', x.item)))")
     rest = f"floor(aggregate(slice(o, 1, {int(n)}), 100D, (t, x) -> t + x.neg) * 10D + 0.5D) / 10D"
     words = f"""array_join(flatten(transform(array({ordered}), o -> concat(
@@ -38,10 +43,10 @@ def register_city_remark(spark: SparkSession, name: str = "groupby_city_count",
             if(size(o) > {int(n)}, array(concat('{label}:', cast({rest} AS STRING), '%')),
                cast(array() AS ARRAY<STRING>))))), ',')"""
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {name}(cities ARRAY<STRUCT<item: STRING, count: BIGINT>>,
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(cities ARRAY<STRUCT<item: STRING, count: STRING>>,
                                                     clicks BIGINT DEFAULT NULL)
-        RETURNS STRING RETURN if(clicks IS NOT NULL AND clicks <> {total},
-            raise_error('{name}: a group has more cities than are counted exactly'), {words})""")
+        RETURNS STRING RETURN element_at(transform(array({pairs}), p -> if(clicks IS NOT NULL AND clicks <> {total},
+            raise_error('{name}: a group has more cities than are counted exactly'), {words})), 1)""")
 
 
 def area_city_remark_sql(spark: SparkSession, actions: DataFrame, cities: DataFrame) -> DataFrame:
