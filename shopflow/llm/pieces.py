@@ -312,7 +312,7 @@ def _lists(rows: list[np.ndarray | None]) -> pa.Array:
 
 def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids", end: bool = True) -> DataFrame:
     """``docs`` with the ids of ``text`` (array<int>), the model's end id last if ``end``."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, unset=True)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary file, about 0.5 MB
 
     @F.arrow_udf("array<int>")
@@ -332,7 +332,7 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids"
 
 def decoded(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids``, as the library's ``decode(ids)`` gives it."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, unset=True)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")

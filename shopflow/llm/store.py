@@ -16,12 +16,13 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 PAUSE = 0.5  # seconds in which Spark's cleaner works off what a collection found
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches, where they are larger."""
+def small_batches(spark: SparkSession, unset: bool = False) -> None:
+    """Bound the session's Arrow batches, where they are larger. A setting that the session leaves at Spark's
+    default (10000 rows) reads as None here and is bounded only if ``unset``."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = spark.conf.get(key, None)
-        if now is not None and (not now.isdigit() or not 0 < int(now) <= most):
+        if unset if now is None else not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
 

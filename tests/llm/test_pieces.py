@@ -5,12 +5,14 @@ import random
 
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from shopflow.llm import pieces
+from shopflow.llm import pieces, store
 from shopflow.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,6 +81,26 @@ def test_frames(spark):
     assert pieces.decoded(pieces.encoded(df.limit(0), MODEL), MODEL).count() == 0
 
 
+@pytest.mark.parametrize("made", [lambda df: pieces.encoded(df, MODEL),
+                                  lambda df: pieces.decoded(df.withColumn("ids", F.array(F.lit(5))), MODEL)])
+def test_workers_get_small_batches_where_the_session_sets_none(spark, made):
+    session = spark.newSession()  # Spark's defaults: up to 10000 rows
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        session.conf.unset(f"spark.sql.execution.arrow.{key}")
+
+    @F.arrow_udf("struct<rows: long, bytes: long>")
+    def met(texts: pa.Array) -> pa.Array:
+        return pa.array([{"rows": len(texts), "bytes": texts.nbytes}] * len(texts))
+
+    def largest(n: int, text) -> tuple:
+        df = session.range(0, n, 1, 1).select(text.alias("text"))
+        made(df)
+        return tuple(df.select(met("text").alias("m")).agg(F.max("m.rows"), F.max("m.bytes")).first())
+
+    assert largest(2500, F.lit("a b"))[0] == store.BATCH_ROWS
+    assert largest(400, F.repeat(F.lit("word "), 20000))[1] <= store.BATCH_BYTES + 200_000  # 40 MB in all
+
+
 def test_other_models_are_refused():
     from sentencepiece import sentencepiece_model_pb2 as pb
     proto = pb.ModelProto()
